@@ -1,0 +1,49 @@
+"""Compare a query with its SQL in DuckDB: names, row count and values, without row order."""
+
+from __future__ import annotations
+
+import glob
+import os
+
+import duckdb
+import pandas as pd
+
+
+def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    for path in glob.glob(f"{sf_dir}/*.parquet"):
+        name = os.path.basename(path).removesuffix(".parquet")
+        con.execute(f"create view {name} as select * from '{path}'")
+    return con
+
+
+def _cell(value) -> str:
+    if value is None or value is pd.NaT or (isinstance(value, float) and value != value):
+        return "NULL"
+    if isinstance(value, bool):
+        return str(value)
+    if isinstance(value, float) and value.is_integer():
+        return str(int(value))
+    return str(value)
+
+
+def _rows(columns: list[str], rows) -> list[tuple]:
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    return sorted(tuple(_cell(row[i]) for i in order) for row in rows)
+
+
+def difference(spark, sf_dir: str, run, sql: str) -> str | None:
+    """None if both results are equal, else what differs."""
+    frame = run(spark, sf_dir)
+    got = _rows(frame.columns, [tuple(r) for r in frame.collect()])
+    con = connect(sf_dir)
+    result = con.execute(sql)
+    names = [d[0] for d in result.description]
+    want = _rows(names, result.fetchall())
+    if sorted(names) != sorted(frame.columns):
+        return f"columns {sorted(frame.columns)} instead of {sorted(names)}"
+    if got != want:
+        extra = [r for r in got if r not in set(want)][:2]
+        lacking = [r for r in want if r not in set(got)][:2]
+        return f"{len(got)} rows instead of {len(want)}; only here {extra}; only there {lacking}"
+    return None
