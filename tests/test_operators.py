@@ -1,0 +1,156 @@
+"""Keyed and ordered operators, with one key that holds most of the rows."""
+
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidegate.operators import chunks as C, latest as T, ledger as L, lookup as K, oplog as O
+from tidegate.plans.oplog_capture import capture_changes
+
+
+def hot_rows(spark, n=3000):
+    """Two thirds of the rows have key 0, some have none."""
+    key = F.when(F.col("id") % 3 != 0, 0).when(F.col("id") % 30 == 0, None).otherwise(F.col("id") % 50)
+    return spark.range(n).select(F.col("id").alias("row"), key.cast("int").alias("k"))
+
+
+def pairs(frame):
+    return sorted((tuple(r) for r in frame.collect()), key=str)
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_salted_joins_equal_the_plain_join(spark, how):
+    left = hot_rows(spark)
+    right = spark.range(40).select(F.col("id").cast("int").alias("k"), F.concat(F.lit("n"), "id").alias("name"))
+    want = pairs(left.join(right, ["k"], how))
+    assert pairs(K.salted_join(left, right, ["k"], how, ["row"], salts=4)) == want
+    assert pairs(K.split_hot_keys_join(left, right, ["k"], how, ["row"], hot_rows=100, salts=4)) == want
+
+
+def test_salted_join_refuses_a_join_that_keeps_right_rows(spark):
+    with pytest.raises(ValueError):
+        K.salted_join(hot_rows(spark), hot_rows(spark), ["k"], "full", ["row"])
+
+
+def test_measured_bytes_count_the_text(spark):
+    small = spark.createDataFrame([("a",)], "s string")
+    large = spark.createDataFrame([("a" * 10_000,)] * 3, "s string")
+    sizes = K.measure_bytes({"small": small, "large": large, "none": small.limit(0)})
+    assert sizes["large"] > 30_000 > sizes["small"] > 0 == sizes["none"]
+
+
+def test_latest_per_key_takes_the_highest_version_of_a_hot_key(spark):
+    rows = hot_rows(spark).withColumn("text", F.concat(F.lit("t"), "row"))
+    got = {r["k"]: (r["row"], r["text"]) for r in T.latest_per_key(rows, ["k"], ["row"]).collect()}
+    want = {}
+    for r in rows.collect():
+        if r["k"] not in want or want[r["k"]][0] < r["row"]:
+            want[r["k"]] = (r["row"], r["text"])
+    assert got == want
+
+
+def test_latest_per_key_reduces_before_the_shuffle(spark):
+    plan = T.latest_per_key(hot_rows(spark), ["k"], ["row"])._jdf.queryExecution().executedPlan().toString()
+    assert "partial_max_by" in plan and "Window" not in plan
+
+
+def test_an_older_change_does_not_win(spark):
+    new = spark.createDataFrame([(1, 5, "new")], "id int, v int, doc string")
+    old = spark.createDataFrame([(1, 3, "old"), (2, 1, "other")], "id int, v int, doc string")
+    assert pairs(T.upserted(new, old, ["id"], ["v"])) == [(1, 5, "new"), (2, 1, "other")]
+
+
+def test_chunks_across_spans(spark):
+    """Offsets with gaps, one partition that holds most rows, spans far smaller than a partition."""
+    rows = hot_rows(spark).select(F.coalesce("k", F.lit(-1)).alias("p"), (F.col("row") * 7).alias("offset"))
+    got = {(r["p"], r["offset"]): r["chunk_id"] for r in C.with_chunks(rows, ["p"], "offset", size=10, span=100).collect()}
+    per_partition = {}
+    for r in rows.collect():
+        per_partition.setdefault(r["p"], []).append(r["offset"])
+    want = {(p, o): i // 10 for p, offsets in per_partition.items() for i, o in enumerate(sorted(offsets))}
+    assert got == want
+
+
+def test_ledger(spark):
+    records = spark.createDataFrame(
+        [("t", 0, 5), ("t", 0, 7), ("t", 1, 3), ("u", 0, 1)], "topic string, partition int, offset bigint"
+    )
+    new = L.until_offsets(records).withColumn("group_id", F.lit("g"))
+    new = new.select("topic", "group_id", "partition_id", "until_offset")
+    assert L.starting_offsets_option(L.positions_of(new, "t", "g")) == '{"t":{"0":8,"1":4}}'
+    assert L.starting_offsets_option(L.positions_of(new, "none", "g")) == "latest"
+    merged = L.merge_positions(new.withColumn("until_offset", F.lit(6).cast("bigint")), new)
+    assert {(r["topic"], r["partition_id"]): r["until_offset"] for r in merged.collect()} == {
+        ("t", 0): 8,
+        ("t", 1): 6,
+        ("u", 0): 6,
+    }
+    rest = L.resume_from(records, L.until_offsets(records.filter("offset < 6 and topic = 't'")))
+    assert pairs(rest.select("topic", "partition", "offset")) == [("t", 0, 7), ("u", 0, 1)]
+
+
+def test_relational_positions_read_missing_numbers_as_zero(spark):
+    rows = spark.createDataFrame(
+        [("g", "t", None, 1), ("g", "t", 9, None), ("h", "t", 4, 2)],
+        "group_id string, topic string, topic_offset bigint, partition_id int",
+    )
+    assert pairs(L.positions_from_rows(rows, "t", "g")) == [("t", 0, 9), ("t", 1, 0)]
+
+
+LOG = [
+    (1, "crm.saas_clue.7", "i", '{"_id":"a","id":"a","n":1}', None),
+    (2, "crm.saas_clue.7", "u", '{"$set":{"n":2}}', '{"_id":"a"}'),
+    (3, "crm.saas_clue.7", "u", '{"$set":{"n":3}}', '{"_id":"a"}'),
+    (4, "crm.saas_clue.7", "d", '{"_id":"gone"}', None),
+    (5, "crm.saas_clue.7", "u", '{"$set":{"n":3}}', '{"_id":"gone"}'),
+    (6, "crm.saas_clue.7", "n", "{}", None),
+    (7, "crm.other", "i", '{"_id":"b"}', None),
+    (8, "crm.saas_clue", "i", '{"_id":{"$oid":"ff"},"id":"c"}', None),
+]
+
+
+def log(spark):
+    from tidegate.functions import payload as P
+
+    raw = spark.createDataFrame(LOG, "ts bigint, ns string, op string, o string, o2 string")
+    return raw.withColumn("o", P.parse_object(F.col("o"))).withColumn("o2", P.parse_object(F.col("o2")))
+
+
+@pytest.mark.parametrize("tombstones", [False, True])
+def test_oplog_capture(spark, tombstones):
+    from tidegate.functions import payload as P
+
+    current = spark.createDataFrame(
+        [("crm.saas_clue.7", "a", '{"_id":"a","id":"a","n":3}')], "ns string, doc_id string, doc string"
+    ).withColumn("doc", P.parse_object(F.col("doc")))
+    followed = O.namespaces(spark.createDataFrame([("saas_clue.7",), ("saas_clue",), ("other",)], "name string"))
+    rows = capture_changes(log(spark), current, followed, tombstones=tombstones).collect()
+    got = {r["ts"]: json.loads(r["value"]) for r in rows}
+
+    def envelope(data, op, table="saas_clue.7"):
+        return {"data": data, "database": "crm", "table": table, "type": op}
+
+    want = {
+        1: envelope({"id": "a", "n": 1}, "insert"),
+        2: envelope({"id": "a", "n": 3}, "update"),
+        3: envelope({"id": "a", "n": 3}, "update"),
+        8: envelope({"id": "c"}, "insert", "saas_clue"),
+    }
+    if tombstones:
+        want[4] = envelope({"id": "gone"}, "delete")
+    assert got == want and len(rows) == len(want)
+
+
+def test_cursor_moves_over_entries_that_emit_nothing(spark):
+    assert O.high_water_mark(log(spark).filter("ts <= 6")).first()["cursor_ts"] == 6
+    saved = spark.createDataFrame([(6,)], "cursor_ts bigint")
+    after = O.after_cursor(log(spark), O.start_cursor(log(spark), saved))
+    assert sorted(r["ts"] for r in after.collect()) == [7, 8]
+    assert O.start_cursor(log(spark), saved.limit(0)).first()["cursor_ts"] == 1
+
+
+def test_namespace_with_a_single_dot_has_no_tenant(spark):
+    parts = {r["ts"]: r for r in O.with_namespace_parts(log(spark)).collect()}
+    assert (parts[8]["collection"], parts[8]["base_table"], parts[8]["tenant_id"]) == ("saas_clue", "saas_clue", None)
+    assert (parts[1]["database"], parts[1]["base_table"], parts[1]["tenant_id"]) == ("crm", "saas_clue", 7)

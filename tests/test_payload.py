@@ -1,0 +1,134 @@
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidegate.functions import payload as P, text as X
+from tidegate.operators import envelopes as E
+
+
+def one(spark, text, column):
+    frame = spark.createDataFrame([(text,)], "v string")
+    frame = frame.withColumn("o", P.parse_object(F.col("v")))
+    return frame.select(column.alias("r")).first()["r"]
+
+
+@pytest.mark.parametrize(
+    "text",
+    [None, "", "null", "{bad", "[1]", "3", '{"a":1} x', '{"a":1}{"b":2}', '{"a":1,"a":2}', '{"a":1'],
+)
+def test_text_without_a_single_object_is_null(spark, text):
+    assert one(spark, text, P.to_text(F.col("o"))) is None
+
+
+@pytest.mark.parametrize(
+    "text", ["{}", '{"a":1}', ' {"b":null,"a":{"x":[1,null,"y"]}} ', '{"s":"é\\"\\n"}', '{"n":-1.5}']
+)
+def test_objects_survive_a_round_trip(spark, text):
+    assert json.loads(one(spark, text, P.to_text(F.col("o")))) == json.loads(text)
+
+
+@pytest.mark.parametrize(
+    "value, expected",
+    [("12", 12), ('"12"', 12), ("null", None), ('"x"', None), ("99999999999", None), ('""', None)],
+)
+def test_get_int(spark, value, expected):
+    assert one(spark, f'{{"k":{value}}}', P.get_int(F.col("o"), "k")) == expected
+
+
+@pytest.mark.parametrize(
+    "value, bad", [("12", False), ("null", False), ('""', False), ('"x"', True), ("99999999999", True), ("{}", True)]
+)
+def test_bad_int(spark, value, bad):
+    assert one(spark, f'{{"k":{value}}}', P.is_bad_int(F.col("o"), "k")) is bad
+
+
+def test_missing_key_is_no_bad_int(spark):
+    assert one(spark, "{}", P.is_bad_int(F.col("o"), "k")) is False
+    assert one(spark, "{}", P.get_long_or_zero(F.col("o"), "k")) == 0
+
+
+@pytest.mark.parametrize(
+    "value, text", [("1.50", "1.5"), ("true", "true"), ('{"x":1}', '{"x":1}'), ('"s"', "s"), ("null", None)]
+)
+def test_get_string(spark, value, text):
+    assert one(spark, f'{{"k":{value}}}', P.get_string(F.col("o"), "k")) == text
+
+
+def test_put_replaces_and_adds(spark):
+    put = P.to_text(P.put(F.col("o"), "k", F.lit(7)))
+    assert json.loads(one(spark, '{"k":1,"z":2}', put)) == {"k": 7, "z": 2}
+    assert json.loads(one(spark, '{"z":2}', put)) == {"z": 2, "k": 7}
+    null = P.to_text(P.put(F.col("o"), "k", F.lit(None).cast("string")))
+    assert json.loads(one(spark, "{}", null)) == {"k": None}
+
+
+def test_overlay_last_wins(spark):
+    def obj(**entries):
+        parts = [x for k, v in entries.items() for x in (F.lit(k), F.lit(v).cast("variant"))]
+        return F.create_map(*parts)
+
+    merged = P.to_text(P.overlay(F.col("o"), obj(a="1", b="1"), obj(b="2", c="2")))
+    assert json.loads(one(spark, '{"a":0,"c":0,"d":0}', merged)) == {"a": "1", "b": "2", "c": "2", "d": 0}
+    assert json.loads(one(spark, '{"d":0}', merged)) == {"a": "1", "b": "2", "c": "2", "d": 0}
+
+
+@pytest.mark.parametrize(
+    "text, filled",
+    [(None, False), ("", False), (" \t\n", False), ("　", False), ("a", True), (" a ", True), (" ", True)],
+)
+def test_is_not_blank(spark, text, filled):
+    frame = spark.createDataFrame([(text,)], "v string")
+    assert frame.select(X.is_not_blank(F.col("v")).alias("r")).first()["r"] is filled
+
+
+@pytest.mark.parametrize(
+    "text, number",
+    [("12", 12), ("+5", 5), ("-5", -5), (" 12", None), ("1.0", None), ("", None), ("99999999999", None), (None, None)],
+)
+def test_to_int(spark, text, number):
+    frame = spark.createDataFrame([(text,)], "v string")
+    assert frame.select(X.to_int(F.col("v")).alias("r")).first()["r"] == number
+
+
+def test_splits(spark):
+    frame = spark.createDataFrame([("saas_clue.a.123",), ("plain",)], "v string")
+    v = F.col("v")
+    rows = frame.select(
+        X.before_last_dot(v), X.after_last_dot(v), X.before_first_dot(v), X.after_first_dot(v)
+    ).collect()
+    assert tuple(rows[0]) == ("saas_clue.a", "123", "saas_clue", "a.123")
+    assert tuple(rows[1])[:2] == ("", "")
+
+
+def test_parse_envelopes_keeps_every_record_with_a_reason(spark):
+    texts = [
+        (1, '{"table":"t","type":"insert","ts":1,"data":{"id":1},"old":{"id":0}}'),
+        (2, None),
+        (3, "{bad"),
+        (4, '{"table":"t","data":{"a":1,"a":2}}'),
+        (5, '{"table":"t","data":"text"}'),
+        (6, '{"table":"t"} {}'),
+        (7, '{"table":"t","data":null}'),
+    ]
+    rows = E.parse_envelopes(spark.createDataFrame(texts, "n int, value string")).collect()
+    reasons = {r["n"]: r["reject_reason"] for r in rows}
+    assert reasons == {
+        1: None,
+        2: E.NULL_RECORD,
+        3: E.MALFORMED,
+        4: E.DUPLICATE_KEY,
+        5: E.MALFORMED,
+        6: E.MALFORMED,
+        7: None,
+    }
+
+
+def test_envelope_text_drops_any_id_type(spark):
+    for value in ("1", '{"$oid":"60b7"}', '"x"', "null"):
+        text = one(
+            spark,
+            f'{{"_id":{value},"a":1}}',
+            E.envelope_text(F.col("o"), F.lit("crm"), F.lit("saas_clue.7"), F.lit("insert")),
+        )
+        assert json.loads(text) == {"data": {"a": 1}, "database": "crm", "table": "saas_clue.7", "type": "insert"}

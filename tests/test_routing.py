@@ -1,0 +1,71 @@
+import json
+import re
+
+from hypothesis import HealthCheck, given, settings, strategies as st
+from pyspark.sql import functions as F
+
+from tidegate import fixed_values as V
+from tidegate.operators import envelopes as E, routing as R
+
+NAMES = st.sampled_from(
+    ["sys_user2", "user", "saas_clue.7", "saas_clue.a.12", "saas_clue.x", "saas_clue.", "saas_clue", "other", "saas_record.-3", None]
+)
+DATA = st.sampled_from([None, {}, {"id": 1}, {"id": 2, "tenantId": 9}, {"a": None}])
+
+
+def model(table, data):
+    """(topic, payload) of a row, "reject", or None for a row that is dropped."""
+    if not data:
+        return None
+    if table is None:
+        return "reject"
+    if table in V.EXACT_TABLES:
+        return "ods_" + table, data
+    if not table.startswith(V.TENANT_PREFIXES):
+        return None
+    base, tenant = table.rsplit(".", 1)
+    if not re.fullmatch(r"[+-]?[0-9]+", tenant):
+        return "reject"
+    return "ods_" + base, {**data, "tenantId": int(tenant)}
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(NAMES, DATA), min_size=20, max_size=60))
+def test_router_equals_the_model(spark, cases):
+    texts = [(i, json.dumps({"table": t, "type": "update", "data": d})) for i, (t, d) in enumerate(cases)]
+    routed = R.route_by_table(E.parse_envelopes(spark.createDataFrame(texts, "n int, value string")))
+    rows = routed.select("n", "topic", "reject_reason", F.to_json("payload").alias("p")).collect()
+    assert len(rows) == len(cases)
+    for row in rows:
+        want = model(*cases[row["n"]])
+        if want == "reject":
+            assert row["reject_reason"] in (R.NO_TABLE, R.BAD_TENANT) and row["topic"] is None
+        elif want is None:
+            assert row["topic"] is None and row["reject_reason"] is None
+        else:
+            assert (row["topic"], json.loads(row["p"])) == want
+
+
+def test_rules_admit_by_operation(spark):
+    cases = [("order_info", "insert"), ("order_info", "update"), ("user_info", "delete"), ("other", "insert"), (None, "insert")]
+    texts = [(i, json.dumps({"table": t, "type": op, "data": {"id": i}})) for i, (t, op) in enumerate(cases)]
+    rows = R.route_by_rules(E.parse_envelopes(spark.createDataFrame(texts, "n int, value string"))).collect()
+    topics = {r["n"]: r["topic"] for r in rows}
+    assert topics == {0: "ods_order_info", 1: None, 2: "ods_user_info", 3: None, 4: None}
+    assert {r["n"]: r["reject_reason"] for r in rows}[4] == R.NO_TABLE
+
+
+def test_messages_are_keyed_by_id_and_rejects_have_their_topic(spark):
+    texts = [
+        ('{"table":"user","data":{"id":5}}',),
+        ("{bad",),
+        ('{"table":"saas_clue.x","data":{"id":6}}',),
+        ('{"table":"other","data":{"id":7}}',),
+    ]
+    routed = R.route_by_table(E.parse_envelopes(spark.createDataFrame(texts, "value string")))
+    got = {(r["topic"], r["key"], r["value"]) for r in R.publishable_with_rejects(routed).collect()}
+    assert got == {
+        ("ods_user", "5", '{"id":5}'),
+        (R.REJECT_TOPIC, None, "{bad"),
+        (R.REJECT_TOPIC, "6", '{"table":"saas_clue.x","data":{"id":6}}'),
+    }

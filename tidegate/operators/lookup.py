@@ -13,6 +13,7 @@ SALTS_CONF = "spark.tidegate.join.salts"
 SALTS_DEFAULT = 16
 ROW_OVERHEAD_BYTES = 32
 SURELY_LARGE_FACTOR = 64
+UNKNOWN_SIZE = 2**60
 
 
 def broadcast_limit(frame: DataFrame) -> int:
@@ -45,9 +46,12 @@ def measure_bytes(tables: Mapping[str, DataFrame]) -> dict[str, int]:
 
 
 def surely_large(table: DataFrame) -> bool:
-    """The planner's estimate is so far above the limit that measuring would be wasted."""
-    estimate = table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(estimate)) > SURELY_LARGE_FACTOR * broadcast_limit(table)
+    """The planner's estimate is so far above the limit that measuring would be wasted.
+
+    An estimate beyond all storage means that the planner knows nothing of the table.
+    """
+    estimate = int(str(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return SURELY_LARGE_FACTOR * broadcast_limit(table) < estimate < UNKNOWN_SIZE
 
 
 def fits_broadcast(table: DataFrame) -> bool:

@@ -118,9 +118,14 @@ def _ids(payload: Column) -> dict[str, Column]:
 
 
 def _bad_integer(payload: Column) -> Column:
-    """Name of the first id key that holds no integer."""
-    keys = (V.TENANT_KEY, *V.USER_ROLE_KEYS)
-    return F.coalesce(*(F.when(P.is_bad_int(payload, k), F.lit(f"bad_int:{k}")) for k in keys))
+    """Name of the first id key that holds no integer. Ids that were read settle most rows."""
+    read = {"_tenant": V.TENANT_KEY, **{f"_user{i}": role for i, role in enumerate(V.USER_ROLE_KEYS)}}
+    return F.coalesce(
+        *(
+            F.when(F.col(column).isNull() & P.is_bad_int(payload, key), F.lit(f"bad_int:{key}"))
+            for column, key in read.items()
+        )
+    )
 
 
 def _one_name(key: str, name: Column, hit: Column) -> Column:
@@ -221,7 +226,7 @@ def enrich_clues(
     reason = _bad_integer(F.col(payload))
     if "reject_reason" in docs.columns:
         reason = F.coalesce(F.col("reject_reason"), reason)
-    keyed = with_computed(docs, **_ids(F.col(payload)), reject_reason=reason)
+    keyed = with_computed(docs, **_ids(F.col(payload))).withColumn("reject_reason", reason)
     named = _in_place_names(keyed, dims, plan, payload)
     custom, fixed = F.col("custom_names"), F.col("_fixed_names")
     found = _shuffled_names(keyed, dims, plan, row_key, payload)
