@@ -158,7 +158,7 @@ def test_a_running_query_sees_new_dimension_rows(spark, folder):
         users.upsert(spark.createDataFrame([(5, text, v)], "id int, real_name string, v int"))
 
     index = IndexTable(spark, f"{folder}/index", ["id"], list(S.POSITION))
-    sink = S.enrichment_sink(open_dimensions, index)
+    sink = S.enrichment_sink(open_dimensions, index, f"{folder}/rejects")
     calls = []
 
     def sink_and_rename(batch, key):
@@ -177,6 +177,39 @@ def test_a_running_query_sees_new_dimension_rows(spark, folder):
     assert got["b"] == {"id": "b", "creatorId": 5, "publicSeaId": "1", "publicSeasName": "North", "creatorIdName": "second"}
 
 
+def test_enrichment_keeps_what_it_cannot_index(spark, folder):
+    index = IndexTable(spark, f"{folder}/index", ["id"], list(S.POSITION))
+    dims = ClueDimensions.from_tables(
+        spark.createDataFrame([], "id int, tenant_id int, field_id int, param_id string, display string"),
+        spark.createDataFrame([], "id int, tenant_id int, field_id int, field_key string"),
+        spark.createDataFrame([("1", "North")], "id string, public_seas_name string"),
+        spark.createDataFrame([(1, "Ann")], "id int, real_name string"),
+    )
+    sink = S.enrichment_sink(lambda: dims, index, f"{folder}/rejects")
+    values = ['{"id":"a"}', '{"n":1}', '{"n":2}', '{"id":"b","creatorId":"x"}', "{bad", None]
+    sink(records(spark, values), "q-0")
+    assert [r["id"] for r in index.read().collect()] == ["a"]
+    reasons = [r["reject_reason"] for r in spark.read.parquet(f"{folder}/rejects").collect()]
+    assert sorted(reasons) == ["bad_id", "bad_id", "bad_int:creatorId", "malformed", "null_record"]
+
+
+def test_user_dimension(spark, folder):
+    table = SnapshotTable(spark, f"{folder}/users", ["id"], list(S.POSITION))
+    sink = S.user_dimension_sink(table, f"{folder}/rejects")
+    sink(records(spark, ['{"id":1,"status":1,"password":"-"}', '{"id":1,"status":0}', '{"status":1}']), "q-0")
+    row = table.read().collect()
+    assert [(r["id"], r["statusName"]) for r in row] == [(1, "非冻结")] and "password" not in row[0]
+    assert spark.read.parquet(f"{folder}/rejects").count() == 1
+
+
+def test_router_takes_the_rules_by_operation(spark, folder):
+    from tidegate.operators.routing import route_by_rules
+
+    values = [f'{{"table":"order_info","type":"{op}","data":{{"id":1}}}}' for op in ("insert", "update")]
+    S.router_sink(folder, route_by_rules)(records(spark, values), "q-0")
+    assert rows(spark.read.parquet(folder).select("topic", "offset")) == [("ods_order_info", 0)]
+
+
 def test_failed_sink_is_repeated_by_the_next_start(spark, folder):
     source, out = f"{folder}/source", f"{folder}/out"
     append(records(spark, ["1", "2"]), source)

@@ -6,6 +6,8 @@ from typing import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from tidegate.operators.lookup import fits_broadcast
+
 
 def latest_per_key(rows: DataFrame, keys: Sequence[str], version: Sequence[str]) -> DataFrame:
     """The row of each key with the highest version; versions of a key must be distinct.
@@ -27,10 +29,20 @@ def upserted(
     keys: Sequence[str],
     version: Sequence[str],
 ) -> DataFrame:
-    """State after ``changes``; older versions in the changes lose, so replays change nothing."""
+    """State after ``changes``; older versions in the changes lose, so replays change nothing.
+
+    Keys are not NULL and unique in ``previous``. If the changed keys fit a broadcast, rows of the
+    state that they do not touch stay where they are and only the touched ones are shuffled.
+    """
     if previous is None:
         return latest_per_key(changes, keys, version)
-    return latest_per_key(previous.unionByName(changes), keys, version)
+    touched = changes.select(*keys).distinct()
+    if not fits_broadcast(touched):
+        return latest_per_key(previous.unionByName(changes), keys, version)
+    touched = F.broadcast(touched)
+    untouched = previous.join(touched, list(keys), "left_anti")
+    before = previous.join(touched, list(keys), "left_semi")
+    return untouched.unionByName(latest_per_key(before.unionByName(changes), keys, version))
 
 
 def live(state: DataFrame, deleted: str = "deleted") -> DataFrame:

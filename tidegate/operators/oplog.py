@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidegate import fixed_values as V
 from tidegate.functions import payload as P, text as X
+from tidegate.operators.computed import with_computed
 from tidegate.operators.lookup import fits_broadcast, split_hot_keys_join
 
 # Entries of one document above this count are spread over several tasks.
@@ -55,10 +56,16 @@ def start_cursor(log: DataFrame, saved: DataFrame | None, by: Sequence[str] = ()
     first = first_cursor(log, by)
     if saved is None:
         return first
-    saved = saved.select(*by, F.col("cursor_ts").alias("_saved"))
-    # Without ``by`` both sides are a single row.
-    joined = first.join(saved, list(by), "left") if by else first.join(saved, how="left")
-    return joined.select(*by, F.coalesce("_saved", "cursor_ts").alias("cursor_ts"))
+    unknown = F.lit(None).cast("bigint")
+    known = saved.select(*by, F.col("cursor_ts").alias("_saved"), unknown.alias("_first"))
+    started = first.select(*by, unknown.alias("_saved"), F.col("cursor_ts").alias("_first"))
+    return (
+        started.unionByName(known)
+        .groupBy(*by)
+        .agg(F.max("_saved").alias("_saved"), F.min("_first").alias("_first"))
+        .filter(F.col("_first").isNotNull())
+        .select(*by, F.coalesce("_saved", "_first").alias("cursor_ts"))
+    )
 
 
 def after_cursor(log: DataFrame, cursor: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -109,6 +116,11 @@ def document_key(entry: Column) -> Column:
     return P.get_string(entry, "_id")
 
 
+def with_document_key(log: DataFrame, entry: Column) -> DataFrame:
+    """Add ``doc_id``, computed once, since joins on it also test it for NULL."""
+    return with_computed(log, doc_id=document_key(entry))
+
+
 def change_counts(log: DataFrame) -> DataFrame:
     return log.groupBy("ns", "op").agg(F.count(F.lit(1)).alias("entries"))
 

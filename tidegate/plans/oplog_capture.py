@@ -26,15 +26,15 @@ def capture_changes(
     """
     entries = O.dispatched(O.with_namespace_parts(O.in_namespaces(log, followed)))
     fields = ["ts", "ns", "database", "collection", "type", "doc_id"]
-    inserts = entries.filter(F.col("op") == "i").withColumn("doc_id", O.document_key(F.col("o")))
+    inserts = O.with_document_key(entries.filter(F.col("op") == "i"), F.col("o"))
     inserts = inserts.select(*fields, F.col("o").alias("doc"))
     key = F.when(F.col("op") == "u", F.col("o2")).otherwise(F.col("o"))
     looked_up = ("u",) if tombstones else ("u", "d")
-    keyed = entries.filter(F.col("op").isin(*looked_up)).withColumn("doc_id", O.document_key(key))
+    keyed = O.with_document_key(entries.filter(F.col("op").isin(*looked_up)), key)
     images = O.with_image(keyed.select(*fields), current.select(*on, "doc"), on).select(*fields, "doc")
     changes = inserts.unionByName(images)
     if tombstones:
-        gone = entries.filter(F.col("op") == "d").withColumn("doc_id", O.document_key(F.col("o")))
+        gone = O.with_document_key(entries.filter(F.col("op") == "d"), F.col("o"))
         key_only = F.create_map(F.lit("id"), F.col("doc_id").cast("variant"))
         changes = changes.unionByName(gone.select(*fields, key_only.alias("doc")))
     return changes.select(

@@ -100,7 +100,7 @@ def clue_enriched(spark, sf):
 )
 def oplog_update_image(spark, sf):
     updates = I.oplog(spark, sf).filter(F.col("op") == "u")
-    keyed = updates.select("ts", "ns", O.document_key(F.col("o2")).alias("doc_id"))
+    keyed = O.with_document_key(updates, F.col("o2")).select("ts", "ns", "doc_id")
     current = I.current_docs(spark, sf).select("doc_id", "name")
     return O.with_image(keyed, current, ["doc_id"]).select("ts", "ns", "doc_id", "name")
 
@@ -113,7 +113,7 @@ def oplog_update_image(spark, sf):
 )
 def oplog_delete_image(spark, sf):
     deletes = I.oplog(spark, sf).filter(F.col("op") == "d")
-    keyed = deletes.select("ts", "ns", O.document_key(F.col("o")).alias("doc_id"))
+    keyed = O.with_document_key(deletes, F.col("o")).select("ts", "ns", "doc_id")
     current = I.current_docs(spark, sf).select("doc_id", "name")
     return O.with_image(keyed, current, ["doc_id"]).select("ts", "ns", "doc_id", "name")
 

@@ -70,7 +70,7 @@ def sink_user_dim_upsert(spark, sf):
     )
     users = SnapshotTable(spark, workspace(spark, "users"), ["id"], ["timestamp", "partition", "offset"])
     for batch in (I.with_position(before, "ods_sys_user2", "n"), now):
-        users.upsert(E.accepted(user_changes(batch)).drop("reject_reason"))
+        users.upsert(E.accepted(user_changes(batch)).drop("value", "reject_reason"))
     return users.read().select(
         "id",
         F.col("realName").alias("real_name"),

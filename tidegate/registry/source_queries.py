@@ -131,7 +131,7 @@ def oplog_namespaces(spark, sf):
 def src_current_docs(spark, sf):
     log = I.oplog(spark, sf).filter(F.col("op").isin("u", "d"))
     key = F.when(F.col("op") == "u", F.col("o2")).otherwise(F.col("o"))
-    keyed = log.select(O.document_key(key).alias("doc_id"))
+    keyed = O.with_document_key(log, key)
     return O.touched_documents(keyed, I.current_docs(spark, sf), ["doc_id"]).select("doc_id", "name")
 
 

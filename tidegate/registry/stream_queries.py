@@ -80,7 +80,7 @@ def stream_enrich(spark, sf):
     folder = workspace(spark, "enrich")
     docs = I.table_stream(spark, sf, "orders").selectExpr("o_orderkey", f"{I.CLUE_DOC} as value")
     index = IndexTable(spark, f"{folder}/index", ["id"], list(S.POSITION))
-    sink = S.enrichment_sink(lambda: clue_dimensions(spark, sf), index)
+    sink = S.enrichment_sink(lambda: clue_dimensions(spark, sf), index, f"{folder}/rejects")
     records = I.with_position(docs, "ods_saas_clue", "o_orderkey")
     S.start(records, sink, f"{folder}/checkpoint").awaitTermination()
     return index.read().select("id", "doc")

@@ -11,7 +11,7 @@ from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidegate.operators.latest import latest_per_key, live, upserted
+from tidegate.operators.latest import live, upserted
 
 
 def _filesystem(spark: SparkSession, path: str):
@@ -110,8 +110,10 @@ class IndexTable:
         bases, batches = self._bases_and_batches()
         if not bases and not batches:
             raise ValueError(f"no committed batch below {self.path}")
-        rows = self.spark.read.parquet(*bases[-1:], *batches)
-        return latest_per_key(rows, self.keys, self.version)
+        base = self.spark.read.parquet(bases[-1]) if bases else None
+        if not batches:
+            return base
+        return upserted(base, self.spark.read.parquet(*batches), self.keys, self.version)
 
     def read(self) -> DataFrame:
         state = self.state()

@@ -9,12 +9,14 @@ from __future__ import annotations
 
 from typing import Callable, Mapping, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tidegate import fixed_values as V
 from tidegate.functions import payload as P
 from tidegate.operators import dimensions as D
+from tidegate.operators.computed import with_computed
 from tidegate.operators.envelopes import (
     BAD_ID,
     accepted,
@@ -28,6 +30,7 @@ from tidegate.operators.oplog import high_water_mark
 from tidegate.operators.routing import publishable_with_rejects, route_by_table
 from tidegate.plans.clue_enrichment import ClueDimensions, enrich_clues
 from tidegate.plans.oplog_capture import capture_changes
+from tidegate.schemas import USER
 from tidegate.sinks.publish import publish_to_files
 from tidegate.sinks.tables import IndexTable, SnapshotTable
 
@@ -75,15 +78,15 @@ def positions_table(spark, path: str) -> SnapshotTable:
     return SnapshotTable(spark, path, ("topic", "group_id", "partition_id"), ("until_offset",))
 
 
-def router_sink(path: str) -> BatchSink:
+def router_sink(path: str, route: Callable[[DataFrame], DataFrame] = route_by_table) -> BatchSink:
     """Change envelopes to topics below ``path``; rejected records go to a topic of their own."""
 
-    def route(batch: DataFrame, key: str) -> None:
-        routed = route_by_table(parse_envelopes(batch.drop("topic")))
+    def publish(batch: DataFrame, key: str) -> None:
+        routed = route(parse_envelopes(batch.drop("topic")))
         messages = publishable_with_rejects(routed, carry=["type", *POSITION])
         publish_to_files(messages, path, key)
 
-    return route
+    return publish
 
 
 def dimension_changes(batch: DataFrame, op: str | None = None) -> DataFrame:
@@ -103,47 +106,63 @@ def dimension_changes(batch: DataFrame, op: str | None = None) -> DataFrame:
     )
 
 
-def dimension_sink(table: SnapshotTable, rejects: str, op: str | None = None) -> BatchSink:
-    """Latest document per id; unusable records are kept below ``rejects``."""
+def split_sink(
+    judge: Callable[[DataFrame], DataFrame], write: BatchSink, rejects: str
+) -> BatchSink:
+    """Write what ``judge`` accepts, keep what it rejects below ``rejects``.
+
+    The judged batch is kept for both writes; if an executor is lost, Spark computes it again.
+    """
 
-    def upsert(batch: DataFrame, key: str) -> None:
-        changes = dimension_changes(batch, op).persist()
+    def sink(batch: DataFrame, key: str) -> None:
+        judged = judge(batch).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            unusable = rejected(changes).select("value", "reject_reason", *POSITION)
+            unusable = rejected(judged).select("value", "reject_reason", *POSITION)
             unusable.write.mode("overwrite").parquet(f"{rejects}/batch={key}")
-            table.upsert(accepted(changes).drop("value", "reject_reason"))
+            write(accepted(judged).drop("value", "reject_reason"), key)
         finally:
-            changes.unpersist()
+            judged.unpersist()
 
-    return upsert
+    return sink
+
+
+def dimension_sink(table: SnapshotTable, rejects: str, op: str | None = None) -> BatchSink:
+    """Latest document per id."""
+    return split_sink(
+        lambda batch: dimension_changes(batch, op), lambda changes, _: table.upsert(changes), rejects
+    )
 
 
 def user_changes(batch: DataFrame) -> DataFrame:
     """User records as typed, labelled rows; one without id is rejected."""
-    users = D.with_user_labels(D.typed_users(batch.select("value", *POSITION)))
+    kept = with_computed(batch.select("value", *POSITION), _user=F.from_json("value", USER))
+    users = D.with_user_labels(kept.select("value", *POSITION, "_user.*"))
     return users.withColumn("reject_reason", F.when(F.col("id").isNull(), BAD_ID))
 
 
-def user_dimension_sink(table: SnapshotTable) -> BatchSink:
-    def upsert(batch: DataFrame, _: str) -> None:
-        table.upsert(accepted(user_changes(batch)).drop("reject_reason"))
-
-    return upsert
+def user_dimension_sink(table: SnapshotTable, rejects: str) -> BatchSink:
+    """Latest typed row per user."""
+    return split_sink(user_changes, lambda changes, _: table.upsert(changes), rejects)
 
 
-def enrichment_sink(open_dimensions: Callable[[], ClueDimensions], index: IndexTable) -> BatchSink:
-    """Clue payloads to enriched documents in the index, with the dimensions of this moment."""
+def enriched_documents(batch: DataFrame, dims: ClueDimensions) -> DataFrame:
+    """Clue records as index documents ``id, doc``; one without id is rejected."""
+    clues = enrich_clues(parse_payloads(batch), dims, ROW_KEY)
+    no_id = F.when(F.col("id").isNull(), BAD_ID)
+    return (
+        clues.withColumn("id", P.get_string(F.col("payload"), "id"))
+        .withColumn("reject_reason", F.coalesce(F.col("reject_reason"), no_id))
+        .select("id", P.to_text(F.col("enriched")).alias("doc"), *POSITION, "value", "reject_reason")
+    )
 
-    def enrich(batch: DataFrame, key: str) -> None:
-        clues = enrich_clues(parse_payloads(batch), open_dimensions(), ROW_KEY)
-        documents = accepted(clues).select(
-            P.get_string(F.col("payload"), "id").alias("id"),
-            P.to_text(F.col("enriched")).alias("doc"),
-            *POSITION,
-        )
-        index.write(documents, key)
 
-    return enrich
+def enrichment_sink(
+    open_dimensions: Callable[[], ClueDimensions], index: IndexTable, rejects: str
+) -> BatchSink:
+    """Clue payloads to enriched documents in the index, with the dimensions of this moment."""
+    return split_sink(
+        lambda batch: enriched_documents(batch, open_dimensions()), index.write, rejects
+    )
 
 
 def oplog_sink(
