@@ -53,10 +53,15 @@ def get_int(obj: Column, key: str) -> Column:
     return F.try_variant_get(obj[key], "$", "int")
 
 
+def holds_text(obj: Column, key: str) -> Column:
+    """The key holds something that should have been readable."""
+    text = get_string(obj, key)
+    return text.isNotNull() & ~text.isin("", "null")
+
+
 def is_bad_int(obj: Column, key: str) -> Column:
     """The key holds text or a number that is no INT. Most rows are settled by the first test."""
-    text = get_string(obj, key)
-    return get_int(obj, key).isNull() & text.isNotNull() & ~text.isin("", "null")
+    return get_int(obj, key).isNull() & holds_text(obj, key)
 
 
 def get_long_or_zero(obj: Column, key: str) -> Column:

@@ -122,7 +122,7 @@ def _bad_integer(payload: Column) -> Column:
     read = {"_tenant": V.TENANT_KEY, **{f"_user{i}": role for i, role in enumerate(V.USER_ROLE_KEYS)}}
     return F.coalesce(
         *(
-            F.when(F.col(column).isNull() & P.is_bad_int(payload, key), F.lit(f"bad_int:{key}"))
+            F.when(F.col(column).isNull() & P.holds_text(payload, key), F.lit(f"bad_int:{key}"))
             for column, key in read.items()
         )
     )

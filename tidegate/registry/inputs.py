@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidegate.functions import payload as P
+from tidegate.sources.spread import spread_few_pieces
 
 # Records before this moment play the part of what was processed earlier.
 SPLIT_TIME = "2024-01-15 00:00:00"
@@ -14,6 +15,11 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def work_table(spark: SparkSession, sf: str, name: str, key: str) -> DataFrame:
+    """A table whose rows are costly to process."""
+    return spread_few_pieces(table(spark, sf, name), key)
+
+
 def table_stream(spark: SparkSession, sf: str, name: str) -> DataFrame:
     """The table as a stream of files. The glob lets the table be one file or a folder of them."""
     schema = table(spark, sf, name).schema
@@ -122,7 +128,7 @@ def clues(spark, sf):
 
 
 def clue_docs(spark, sf):
-    return table(spark, sf, "orders").selectExpr("o_orderkey as id", f"{CLUE_DOC} as doc")
+    return work_table(spark, sf, "orders", "o_orderkey").selectExpr("o_orderkey as id", f"{CLUE_DOC} as doc")
 
 
 def clue_payloads(spark, sf):
@@ -155,11 +161,11 @@ OP_ENVELOPE = _envelope(
 
 
 def envelopes(spark, sf):
-    return table(spark, sf, "events").selectExpr("event_id", f"{ENVELOPE} as value")
+    return work_table(spark, sf, "events", "event_id").selectExpr("event_id", f"{ENVELOPE} as value")
 
 
 def op_envelopes(spark, sf):
-    return table(spark, sf, "events").selectExpr("event_id", f"{OP_ENVELOPE} as value")
+    return work_table(spark, sf, "events", "event_id").selectExpr("event_id", f"{OP_ENVELOPE} as value")
 
 
 RECORDS = [
@@ -329,7 +335,8 @@ VIEWS: dict[str, tuple[str, tuple[str, ...]]] = {
         "select event_id, value, json_extract_string(value,'$.type') as op_type, "
         "json_extract_string(value,'$.table') as table_name, "
         "nullif(cast(json_extract(value,'$.data') as varchar),'null') as data "
-        "from envelopes where value is not null and json_valid(value)",
+        "from (select event_id, case when json_valid(value) then value end as value from envelopes) "
+        "where value is not null",
         ("envelopes",),
     ),
     "routed": (
