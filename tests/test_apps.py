@@ -1,0 +1,99 @@
+"""All applications in a row: operation log and change topic to enriched documents."""
+
+import json
+
+from pyspark.sql import functions as F
+
+from tidegate import fixed_values as V
+from tidegate.functions import payload as P
+from tidegate.operators import oplog as O
+from tidegate.streaming import apps as A
+
+
+def envelope(table, data):
+    return json.dumps({"database": "crm", "table": table, "type": "insert", "data": data})
+
+
+RELATIONAL = [
+    envelope("sys_user2", {"id": 1, "realName": "Ann", "status": 0}),
+    envelope("sys_user2", {"id": 1, "realName": "Anna", "status": 1}),
+    envelope("clue_saas_crm_customer_field", {"id": 1, "tenant_id": 7, "field_id": 10, "field_key": "level"}),
+    envelope("clue_saas_crm_customer_param_field", {"id": 1, "tenant_id": 7, "field_id": 10, "param_id": "a", "display": "High"}),
+    envelope("clue_saas_customer_public_sea", {"id": 3, "public_seas_name": "North"}),
+    envelope("saas_customer_public_sea", {"id": 3, "public_seas_name": "South"}),
+    envelope("saas_clue.x", {"id": "bad"}),
+    None,
+]
+
+
+def run(*queries):
+    for query in queries:
+        query.awaitTermination()
+
+
+def test_from_change_to_document(spark, tmp_path):
+    root, changes = str(tmp_path), f"{tmp_path}/bus"
+    schema = "key string, value string, partition int, offset bigint, timestamp timestamp"
+
+    def open_stream(topic):
+        """Change topic and routed topics are files; a routed topic is a partition of its folder."""
+        if topic == V.CHANGE_TOPIC:
+            return spark.readStream.schema(f"{schema}, topic string").parquet(changes)
+        routed = spark.readStream.schema(f"{schema}, batch string, topic string").parquet(f"{root}/topics")
+        return routed.filter(F.col("topic") == topic).drop("batch")
+
+    def publish(values, start):
+        data = [(None, v, 0, start + i, start + i, V.CHANGE_TOPIC) for i, v in enumerate(values)]
+        frame = spark.createDataFrame(data, "key string, value string, partition int, offset bigint, s bigint, topic string")
+        frame.withColumn("timestamp", F.timestamp_seconds("s")).drop("s").write.mode("append").parquet(changes)
+
+    site = A.Site(spark, open_stream, root, seconds=None)
+    clue = {"id": "c1", "tenantId": 0, "level": "a", "publicSeaId": "3", "creatorId": 1}
+
+    # Clues come from the operation log of two shards, the rest from relational change capture.
+    log = spark.createDataFrame(
+        [
+            (1, "crm.saas_clue.7", "i", json.dumps({"_id": "k1", **clue}), None, "shard1"),
+            (1, "crm.saas_clue.8", "u", '{"$set":{}}', '{"_id":"k2"}', "shard2"),
+            (2, "crm.saas_clue.8", "n", "{}", None, "shard2"),
+        ],
+        "ts bigint, ns string, op string, o string, o2 string, shard string",
+    )
+    log.write.parquet(f"{root}/log")
+    entries = spark.readStream.schema(log.schema).parquet(f"{root}/log")
+    entries = entries.withColumn("o", P.parse_object(F.col("o"))).withColumn("o2", P.parse_object(F.col("o2")))
+    current = spark.createDataFrame(
+        [("crm.saas_clue.8", "k2", '{"_id":"k2","id":"c2","creatorId":5}')], "ns string, doc_id string, doc string"
+    ).withColumn("doc", P.parse_object(F.col("doc")))
+    followed = O.namespaces(spark.createDataFrame([("saas_clue.7",), ("saas_clue.8",)], "name string"))
+    run(A.start_oplog(site, entries, lambda: current, followed, f"{root}/captured"))
+    captured = [r["value"] for r in spark.read.parquet(f"{root}/captured").orderBy("table").collect()]
+    assert len(captured) == 2
+
+    publish(RELATIONAL, 0)
+    publish(captured, 100)
+    run(A.start_router(site, f"{root}/topics"))
+    run(A.start_users(site), *A.start_dimensions(site).values())
+    run(A.start_clues(site))
+
+    got = {r["id"]: json.loads(r["doc"]) for r in site.index("saas_clue").read().collect()}
+    assert got == {
+        "c1": {
+            **clue,
+            "tenantId": 7,
+            "levelName": "High",
+            "publicSeasName": "North",
+            "creatorIdName": "Anna",
+        },
+        "c2": {"id": "c2", "creatorId": 5, "tenantId": 8},
+    }
+    cursors = spark.read.parquet(f"{root}/cursors").collect()
+    assert {(r["shard"], r["cursor_ts"]) for r in cursors} == {("shard1", 1), ("shard2", 2)}
+    rejected = spark.read.parquet(f"{root}/topics").filter("topic = 'rejected'").collect()
+    assert sorted(r["reject_reason"] for r in rejected) == ["bad_tenant", "null_record"]
+
+
+def test_clues_before_any_dimension(spark, tmp_path):
+    site = A.Site(spark, lambda topic: None, str(tmp_path), seconds=None)
+    dims = A.clue_dimensions(site)
+    assert dims.users.count() == dims.seas.count() == dims.params.count() == 0
