@@ -202,6 +202,30 @@ def test_user_dimension(spark, folder):
     assert spark.read.parquet(f"{folder}/rejects").count() == 1
 
 
+def test_outcomes_of_a_batch_are_reported(spark, folder):
+    reported, written = {}, []
+    sink = S.split_sink(
+        S.dimension_changes, lambda rows, key: written.append(rows.count()), f"{folder}/rejects", reported.__setitem__
+    )
+    sink(records(spark, ['{"id":1}', '{"id":2}', "{bad", None]), "q-0")
+    sink(records(spark, []), "q-1")
+    assert reported == {"q-0": {"ok": 2, "failed": 2}, "q-1": {"ok": 0, "failed": 0}} and written == [2, 0]
+
+
+def test_fixed_interval(spark, folder):
+    source = f"{folder}/source"
+    append(records(spark, ["1"]), source)
+    sink = lambda batch, key: publish_to_files(batch, f"{folder}/out", key)
+    query = S.start(file_stream(spark, source), sink, f"{folder}/checkpoint", seconds=1)
+    try:
+        query.processAllAvailable()
+        append(records(spark, ["2"], start=1), source)
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert rows(spark.read.parquet(f"{folder}/out").select("value", "offset")) == [("1", 0), ("2", 1)]
+
+
 def test_router_takes_the_rules_by_operation(spark, folder):
     from tidegate.operators.routing import route_by_rules
 

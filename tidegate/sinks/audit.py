@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+import logging
+from typing import Mapping
+
+from pyspark.sql import Column, DataFrame, Observation, functions as F
+
+logger = logging.getLogger("tidegate")
 
 
 def outcome(reject_reason: Column) -> Column:
@@ -17,9 +22,15 @@ def write_audit(rows: DataFrame) -> DataFrame:
     ).agg(F.count(F.lit(1)).alias("docs"))
 
 
-def observed(rows: DataFrame, name: str) -> DataFrame:
-    """The same rows, counting outcomes on the way to the sink; a stream reports them per batch."""
+def observed(rows: DataFrame, observation: Observation) -> DataFrame:
+    """The same rows; ``observation`` gets the counts of outcomes from the write itself."""
     failed = F.col("reject_reason").isNotNull()
     return rows.observe(
-        name, F.count_if(~failed).alias("ok"), F.count_if(failed).alias("failed")
+        observation, F.count_if(~failed).alias("ok"), F.count_if(failed).alias("failed")
     )
+
+
+def log_outcome(batch: str, counts: Mapping[str, int]) -> None:
+    """Counts only: rows may hold personal data."""
+    level = logging.WARNING if counts["failed"] else logging.INFO
+    logger.log(level, "batch %s: %d rows written, %d rejected", batch, counts["ok"], counts["failed"])

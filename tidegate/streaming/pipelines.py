@@ -10,7 +10,7 @@ from __future__ import annotations
 from typing import Callable, Mapping, Sequence
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tidegate import fixed_values as V
@@ -31,6 +31,7 @@ from tidegate.operators.routing import publishable_with_rejects, route_by_table
 from tidegate.plans.clue_enrichment import ClueDimensions, enrich_clues
 from tidegate.plans.oplog_capture import capture_changes
 from tidegate.schemas import USER
+from tidegate.sinks.audit import log_outcome, observed
 from tidegate.sinks.publish import publish_to_files
 from tidegate.sinks.tables import IndexTable, SnapshotTable
 
@@ -107,9 +108,12 @@ def dimension_changes(batch: DataFrame, op: str | None = None) -> DataFrame:
 
 
 def split_sink(
-    judge: Callable[[DataFrame], DataFrame], write: BatchSink, rejects: str
+    judge: Callable[[DataFrame], DataFrame],
+    write: BatchSink,
+    rejects: str,
+    report: Callable[[str, Mapping[str, int]], None] = log_outcome,
 ) -> BatchSink:
-    """Write what ``judge`` accepts, keep what it rejects below ``rejects``.
+    """Write what ``judge`` accepts, keep what it rejects below ``rejects``, report both counts.
 
     The judged batch is kept for both writes; if an executor is lost, Spark computes it again.
     """
@@ -117,9 +121,11 @@ def split_sink(
     def sink(batch: DataFrame, key: str) -> None:
         judged = judge(batch).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            unusable = rejected(judged).select("value", "reject_reason", *POSITION)
+            counts = Observation()
+            unusable = rejected(observed(judged, counts)).select("value", "reject_reason", *POSITION)
             unusable.write.mode("overwrite").parquet(f"{rejects}/batch={key}")
             write(accepted(judged).drop("value", "reject_reason"), key)
+            report(key, counts.get)
         finally:
             judged.unpersist()
 
