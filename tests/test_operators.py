@@ -28,6 +28,26 @@ def test_salted_joins_equal_the_plain_join(spark, how):
     assert pairs(K.split_hot_keys_join(left, right, ["k"], how, ["row"], hot_rows=100, salts=4)) == want
 
 
+def test_keys_beyond_the_hottest_are_joined_too(spark, monkeypatch):
+    monkeypatch.setattr(K, "HOT_KEYS_MAX", 1)
+    left = hot_rows(spark)
+    right = spark.range(40).select(F.col("id").cast("int").alias("k"), F.concat(F.lit("n"), "id").alias("name"))
+    got = K.split_hot_keys_join(left, right, ["k"], "inner", ["row"], hot_rows=5, salts=4)
+    assert pairs(got) == pairs(left.join(right, ["k"], "inner"))
+
+
+def test_oplog_images_of_a_hot_document(spark):
+    """The wide, spread form gives what the broadcast form gives."""
+    entries = hot_rows(spark).select(F.col("row").alias("ts"), F.col("k").cast("string").alias("doc_id"))
+    current = spark.range(30).select(F.col("id").cast("string").alias("doc_id"), F.lit("d").alias("doc"))
+    want = pairs(O.with_image(entries, current, ["doc_id"]))
+    spark.conf.set(K.BROADCAST_LIMIT_CONF, "1")
+    try:
+        assert pairs(O.with_image(entries, current, ["doc_id"], hot_rows=100)) == want
+    finally:
+        spark.conf.unset(K.BROADCAST_LIMIT_CONF)
+
+
 def test_salted_join_refuses_a_join_that_keeps_right_rows(spark):
     with pytest.raises(ValueError):
         K.salted_join(hot_rows(spark), hot_rows(spark), ["k"], "full", ["row"])
@@ -150,6 +170,19 @@ def test_cursor_moves_over_entries_that_emit_nothing(spark):
     assert O.start_cursor(log(spark), saved.limit(0)).first()["cursor_ts"] == 1
 
 
+def test_bounded_reads_in_a_row_cover_the_log(spark):
+    """The first entry is the start and is not read itself."""
+    cursor, seen = O.start_cursor(log(spark), None), []
+    while True:
+        part = O.bounded_read(O.after_cursor(log(spark), cursor), rows=3).select("ts")
+        read = [r["ts"] for r in part.collect()]
+        if not read:
+            break
+        seen += read
+        cursor = spark.createDataFrame([(max(read),)], "cursor_ts bigint")
+    assert seen == [2, 3, 4, 5, 6, 7, 8]
+
+
 def test_namespace_with_a_single_dot_has_no_tenant(spark):
     parts = {r["ts"]: r for r in O.with_namespace_parts(log(spark)).collect()}
     assert (parts[8]["collection"], parts[8]["base_table"], parts[8]["tenant_id"]) == ("saas_clue", "saas_clue", None)

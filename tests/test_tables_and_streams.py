@@ -56,6 +56,14 @@ def test_snapshots(spark, folder):
     assert rows(table.read()) == [(1, 2, "c"), (2, 3, "back")]
 
 
+def test_old_versions_expire(spark, folder):
+    table = SnapshotTable(spark, f"{folder}/dim", ["id"], ["v"], keep=2)
+    for v in range(4):
+        table.upsert(spark.createDataFrame([(1, v)], "id int, v int"))
+    assert committed_folders(spark, f"{folder}/dim") == ["v=000000000002", "v=000000000003"]
+    assert rows(table.read()) == [(1, 3)]
+
+
 def test_an_uncommitted_version_is_not_read(spark, folder):
     table = SnapshotTable(spark, f"{folder}/dim", ["id"], ["v"])
     table.upsert(spark.createDataFrame([(1, 1)], "id int, v int"))
@@ -264,6 +272,22 @@ def test_positions_mirror(spark, folder):
     assert rows(ledger.read()) == [("t", "g", 0, 3)]
 
 
+def test_a_few_pieces_are_spread_and_many_are_left(spark):
+    from tidegate.sources.spread import spread_few_pieces
+
+    cores = spark.sparkContext.defaultParallelism
+    few, many = spark.range(100, numPartitions=1), spark.range(100, numPartitions=cores)
+    assert spread_few_pieces(few, "id").rdd.getNumPartitions() == cores
+    assert spread_few_pieces(many, "id") is many
+
+
+def test_workspace_lies_below_the_shared_folder(spark):
+    from tidegate.workspace import workspace
+
+    one, two = workspace(spark, "x"), workspace(spark, "x")
+    assert one != two and one.startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
 # ---- options --------------------------------------------------------------------------------
 
 

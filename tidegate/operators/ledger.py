@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tidegate.operators.lookup import fits_broadcast
+from tidegate.operators.lookup import lookup_join
 
 
 def until_offsets(records: DataFrame, partition: str = "partition", offset: str = "offset") -> DataFrame:
@@ -73,10 +73,8 @@ def resume_from(
     at = positions.select(
         "topic", F.col("partition_id").alias(partition), F.col("until_offset").alias("_from")
     )
-    if fits_broadcast(at):
-        at = F.broadcast(at)
     return (
-        records.join(at, ["topic", partition], "left")
+        lookup_join(records, at, ["topic", partition], [offset])
         .filter(F.col(offset) >= F.coalesce(F.col("_from"), F.lit(0)))
         .drop("_from")
     )

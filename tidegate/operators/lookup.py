@@ -14,6 +14,7 @@ SALTS_DEFAULT = 16
 ROW_OVERHEAD_BYTES = 32
 SURELY_LARGE_FACTOR = 64
 UNKNOWN_SIZE = 2**60
+HOT_KEYS_MAX = 10_000
 
 
 def broadcast_limit(frame: DataFrame) -> int:
@@ -109,18 +110,14 @@ def split_hot_keys_join(
 ) -> DataFrame:
     """As ``salted_join`` for a wide right side: only keys with over ``hot_rows`` rows are spread.
 
-    The hot keys come from a count that is reduced before its shuffle. There are fewer than
-    ``rows / hot_rows`` of them; their table is broadcast only if its measured size allows.
+    The hot keys come from a count that is reduced before its shuffle. The hottest
+    ``HOT_KEYS_MAX`` of them are spread, so their table is small enough to broadcast. Any further
+    key holds less than one row in ``HOT_KEYS_MAX`` and is joined like all others.
     """
     salts = salts or salt_count(left)
-    hot = (
-        left.groupBy(*on)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") > hot_rows)
-        .select(*on, F.lit(True).alias("_hot"))
-    )
-    if fits_broadcast(hot):
-        hot = F.broadcast(hot)
+    counts = left.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows)
+    hottest = counts.orderBy(F.desc("_n"), *on).limit(HOT_KEYS_MAX)
+    hot = F.broadcast(hottest.select(*on, F.lit(True).alias("_hot")))
     hash_salt = F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")
     salted = (
         left.join(hot, list(on), "left")

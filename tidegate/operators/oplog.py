@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tidegate import fixed_values as V
 from tidegate.functions import payload as P, text as X
 from tidegate.operators.computed import with_computed
-from tidegate.operators.lookup import fits_broadcast, split_hot_keys_join
+from tidegate.operators.lookup import fits_broadcast, lookup_join, split_hot_keys_join
 
 # Entries of one document above this count are spread over several tasks.
 HOT_DOCUMENT_ENTRIES = 1_000_000
@@ -32,10 +32,8 @@ def namespaces(
 
 
 def in_namespaces(log: DataFrame, followed: DataFrame) -> DataFrame:
-    """Entries of followed namespaces. The list of collections is broadcast if it is small."""
-    if fits_broadcast(followed):
-        followed = F.broadcast(followed)
-    return log.join(followed, "ns", "left_semi")
+    """Entries of followed namespaces. Most entries may lie in a single one."""
+    return lookup_join(log, followed, ["ns"], ["ts"], "left_semi")
 
 
 def first_entry(log: DataFrame) -> DataFrame:
@@ -72,8 +70,8 @@ def after_cursor(log: DataFrame, cursor: DataFrame, by: Sequence[str] = ()) -> D
     """Entries behind the cursor. There is one cursor per log or shard."""
     if not by:
         return log.filter(F.col("ts") > cursor.select("cursor_ts").scalar())
-    at = F.broadcast(cursor) if fits_broadcast(cursor) else cursor
-    return log.join(at, list(by)).filter(F.col("ts") > F.col("cursor_ts")).drop("cursor_ts")
+    at = lookup_join(log, cursor, by, ["ts"], "inner")
+    return at.filter(F.col("ts") > F.col("cursor_ts")).drop("cursor_ts")
 
 
 def bounded_read(log: DataFrame, rows: int = V.OPLOG_READ_ROWS) -> DataFrame:

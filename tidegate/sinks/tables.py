@@ -13,6 +13,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidegate.operators.latest import live, upserted
 
+# Versions that stay: some eight minutes of batches every five seconds.
+VERSIONS_KEPT = 100
+
 
 def _filesystem(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -48,15 +51,16 @@ def drop_folder(spark: SparkSession, folder: str) -> None:
 class SnapshotTable:
     """A dimension: each upsert writes the whole latest state as a new version.
 
-    Readers take the newest committed version, so they see a batch whole or not at all. Old
-    versions stay until ``expire``. Deleted keys stay as marked rows, so that a late or replayed
-    older change cannot bring them back.
+    Readers take the newest committed version, so they see a batch whole or not at all. ``keep``
+    versions stay for those that still read an older one. Deleted keys stay as marked rows, so that
+    a late or replayed older change cannot bring them back.
     """
 
     spark: SparkSession
     path: str
     keys: Sequence[str]
     version: Sequence[str]
+    keep: int = VERSIONS_KEPT
 
     def state(self) -> DataFrame | None:
         """The newest committed state with deleted keys, None before the first upsert."""
@@ -75,9 +79,10 @@ class SnapshotTable:
         upserted(previous, changes, self.keys, self.version).write.mode("overwrite").parquet(
             f"{self.path}/{target}"
         )
+        self.expire(self.keep)
 
-    def expire(self, keep: int = 3) -> None:
-        """Drop all but the newest ``keep`` versions; ``keep`` covers the longest reader."""
+    def expire(self, keep: int) -> None:
+        """Drop all but the newest ``keep`` versions."""
         for folder in committed_folders(self.spark, self.path)[:-keep]:
             drop_folder(self.spark, f"{self.path}/{folder}")
 
