@@ -55,6 +55,18 @@ def test_get_string(spark, value, text):
     assert one(spark, f'{{"k":{value}}}', P.get_string(F.col("o"), "k")) == text
 
 
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_emptiness_does_not_depend_on_the_session(spark, ansi):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        for text, empty in ((None, None), ("{}", True), ('{"a":1}', False)):
+            assert one(spark, text, P.is_empty(F.col("o"))) is empty
+            assert one(spark, text, P.is_non_empty(F.col("o"))) is (empty is False)
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
+
 def test_put_replaces_and_adds(spark):
     put = P.to_text(P.put(F.col("o"), "k", F.lit(7)))
     assert json.loads(one(spark, '{"k":1,"z":2}', put)) == {"k": 7, "z": 2}

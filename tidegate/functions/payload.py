@@ -81,7 +81,8 @@ def has_key(obj: Column, key: str) -> Column:
 
 
 def is_empty(obj: Column) -> Column:
-    return F.cardinality(obj) == 0
+    """NULL for no object, whatever the session takes the size of NULL to be."""
+    return F.when(obj.isNotNull(), F.cardinality(obj) == 0)
 
 
 def is_non_empty(obj: Column) -> Column:
