@@ -4,15 +4,18 @@ import pytest
 
 import __spark_entry__ as contract
 from oracle import difference
-
-QUERIES = contract.queries()
-ORACLES = contract.oracle_sql()
+from tidegate.registry import ORACLES, QUERIES
 
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLES)
 
 
+def test_contract_holds_every_query():
+    assert set(QUERIES) <= set(contract.queries())
+    assert set(contract.oracle_sql()) <= set(contract.queries())
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, sf_dir, name):
     assert difference(spark, sf_dir, QUERIES[name], ORACLES[name]) is None
