@@ -33,7 +33,11 @@ def _best(chars: Column, doc_id: Column) -> Column:
 
 
 def _split(rows: DataFrame, offset: int, width: int) -> DataFrame:
-    """One round: rows with the id, size and best row of the group that the digit puts them in."""
+    """One round: rows with the id, size and best row of the group that the digit puts them in.
+
+    The groups grow with the rows, so both sides are dealt by the digit at every size, and large partitions can
+    be split.
+    """
     cut = rows.withColumn("digit", F.substring("rest", 1, width)).withColumn("rest", F.expr(f"substring(rest, {width + 1})"))
     groups = (
         cut.groupBy(*_KEY)
@@ -42,7 +46,7 @@ def _split(rows: DataFrame, offset: int, width: int) -> DataFrame:
         .withColumn("next", F.monotonically_increasing_id())
     )
     groups = stored(groups, "radix-groups")
-    joined = cut.join(groups, _KEY, "left").drop("group", "digit")
+    joined = cut.join(groups.hint("merge"), _KEY, "left").drop("group", "digit")
     done = F.col("next").isNull() | (F.col("n_bytes") <= offset + width)
     return stored(
         joined.withColumn("done", done)

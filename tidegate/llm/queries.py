@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidegate.llm import exact_dedup, mixing
+from tidegate.llm import chat_format, exact_dedup, mixing, url_filter
 from tidegate.llm.store import table
 
 
@@ -17,5 +17,20 @@ def op2_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_classes(table(spark, sf_dir, "documents"))
 
 
-LLM_QUERIES = {q.__name__: q for q in (op1_mix_sources, op2_exact_dedup)}
-LLM_ORACLES = {"op2_exact_dedup": exact_dedup.ORACLE_SQL}
+def op4_url_filter(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    doc_id = F.regexp_extract(url_filter.host_and_path(F.col("url"))[1], r"^/[^/]+/(\d{1,18})", 1).try_cast("long")
+    marks = table(spark, sf_dir, "labels").select("doc_id", ((F.col("toxic") == 1) | (F.col("quality") == 0)).alias("bad"))
+    labels = pages.select("url", doc_id.alias("doc_id")).join(marks, "doc_id").select("url", "bad")
+    return url_filter.judged(pages, labels)
+
+
+def op7_chat_format(spark, sf_dir):
+    said = "</s>[INST] ok [/INST]"
+    more = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat_format.digests(given.unionByName(more))
+
+
+LLM_QUERIES = {q.__name__: q for q in (op1_mix_sources, op2_exact_dedup, op4_url_filter, op7_chat_format)}
+LLM_ORACLES = {"op2_exact_dedup": exact_dedup.ORACLE_SQL, "op7_chat_format": chat_format.ORACLE_SQL}
