@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
-from tidegate.llm import chat_format, exact_dedup, mixing, url_filter
+from tidegate.llm import chat_format, exact_dedup, mixing, token_counts, toxicity, url_filter
 from tidegate.llm.store import table
 
 
@@ -32,5 +33,17 @@ def op7_chat_format(spark, sf_dir):
     return chat_format.digests(given.unionByName(more))
 
 
-LLM_QUERIES = {q.__name__: q for q in (op1_mix_sources, op2_exact_dedup, op4_url_filter, op7_chat_format)}
+def op8_token_counts(spark, sf_dir):
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), limit=4096)
+
+
+def op10_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.scored(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")), threshold=0.7)
+
+
+LLM_QUERIES = {
+    q.__name__: q
+    for q in (op1_mix_sources, op2_exact_dedup, op4_url_filter, op7_chat_format, op8_token_counts, op10_toxicity)
+}
 LLM_ORACLES = {"op2_exact_dedup": exact_dedup.ORACLE_SQL, "op7_chat_format": chat_format.ORACLE_SQL}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tidegate.workspace import workspace
@@ -19,4 +21,9 @@ def stored(frame: DataFrame, name: str) -> DataFrame:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table. Python workers look for this package where the driver found it, besides their own path."""
+    here = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if here not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, (here, known)))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -13,9 +13,11 @@ in any grouping, so the spans of a text are scanned as a tree.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 SPACE = "▁"
@@ -104,22 +106,25 @@ class Transducer:
         return n
 
     def span(self, text: str) -> tuple[str, int, str | None]:
-        """State map of a span: head, tokens of whole words, tail; no tail if it has no beginning of a word."""
+        """State map of a span: its first part, tokens of the whole words in between, its last word.
+
+        Whether the first part begins or goes on with a word, the span before tells. Without a beginning of a word
+        inside there is no last word.
+        """
         head, *words = _words(text)
-        if not words:
-            return head, 0, None
-        return head, sum(map(self.word, words[:-1])), words[-1]
+        return (head, sum(map(self.word, words[:-1])), words[-1]) if words else (head, 0, None)
 
     def composed(self, a: tuple, b: tuple) -> tuple[str, int, str | None]:
-        if a[2] is None:
-            return a[0] + b[0], b[1], b[2]
-        if b[2] is None or (not b[0] and b[2][:1] == SPACE == a[2][-1:]):  # the tail goes on
-            joined = a[2] + b[0]
-            if b[2] is None:
-                return a[0], a[1], joined
-            if set(joined) == {SPACE}:  # spaces belong to the word behind them
-                return a[0], a[1] + b[1], joined + b[2]
-        return a[0], a[1] + self.word(a[2] + b[0]) + b[1], b[2]
+        """State map of two neighbouring spans."""
+        (head, n, tail), (next_head, m, last) = a, b
+        before = head if tail is None else tail
+        if next_head[0] == SPACE != before[-1]:  # a word begins at the border
+            n += 0 if tail is None else self.word(tail)
+            return (head, n, next_head) if last is None else (head, n + self.word(next_head) + m, last)
+        joined = before + next_head
+        if tail is None:
+            return joined, m, last
+        return (head, n, joined) if last is None else (head, n + self.word(joined) + m, last)
 
     def count(self, text: str | None) -> int:
         """Tokens of a whole text."""
@@ -127,30 +132,20 @@ class Transducer:
             return 0
         text = SPACE + text.replace(" ", SPACE)
         if len(text) <= SPAN:
-            return sum(map(self.word, _words(text)[1:]))
-        maps = [self.span(text[i : i + SPAN]) for i in _cuts(text)]
+            return sum(map(self.word, _words(text)))
+        maps = [self.span(text[i : i + SPAN]) for i in range(0, len(text), SPAN)]
         while len(maps) > 1:
             maps = [self.composed(*maps[i : i + 2]) if i + 1 < len(maps) else maps[i] for i in range(0, len(maps), 2)]
         head, n, tail = maps[0]
-        return n + self.word(tail)
+        return self.word(head) + n + (self.word(tail) if tail else 0)
 
 
 def _words(text: str) -> list[str]:
-    """What stands before the first space, then each word with its leading spaces."""
-    head, *rest = text.split(SPACE)
-    if "" not in rest[:-1] and (not rest or rest[-1]):
-        return [head, *(SPACE + w for w in rest)]
-    words, spaces = [head], ""
-    for w in rest:
-        spaces += SPACE
-        if w:
-            words.append(spaces + w)
-            spaces = ""
-    return [*words, spaces] if spaces else words
-
-
-def _cuts(text: str) -> range:
-    return range(0, len(text), SPAN)
+    """The text cut where spaces follow other text."""
+    first, *rest = text.split(SPACE)
+    if "" not in rest and (first or len(rest) > 1):
+        return [first, *(SPACE + w for w in rest)] if first else [SPACE + w for w in rest]
+    return re.findall(f"^[^{SPACE}]+|{SPACE}+[^{SPACE}]*", text)
 
 
 _COMPILED: dict[str, Transducer] = {}
@@ -177,7 +172,7 @@ def token_counts(docs: DataFrame, model_file: str, limit: int, doc_id: str = "do
         for batch in batches:
             texts = batch.column("text")
             tokens = [transducer.count(t.as_py()) for t in texts]
-            n_bytes = pa.compute.binary_length(texts).cast(pa.int64())
+            n_bytes = pc.binary_length(texts).cast(pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), n_bytes, pa.array(tokens, pa.int64())], ["doc_id", "n_bytes", "n_tokens"])
 
     return given.mapInArrow(counted, schema).withColumn("over_limit", F.col("n_tokens") > limit)

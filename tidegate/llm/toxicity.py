@@ -2,8 +2,9 @@
 
 The lexicon is learned: nodes of the trie of all words whose documents are nearly always labelled toxic. A node
 that most of its words end at is a closed term, any other an open stem with free endings. The trie is
-intersected with the Levenshtein automaton of each term, of one error for terms of ``FUZZY_FROM`` characters or
-more; the product is made deterministic state by state when first met, so a word costs a few table steps.
+intersected with the Levenshtein automaton of each entry, of one error for terms of ``FUZZY_TERM`` and stems of
+``FUZZY_STEM`` characters or more; the product is made deterministic state by state when first met, so a word
+costs a few table steps. Misspellings that clean documents of the sample hold are words of their own and no hits.
 
 Each hit is judged in its window of words: inside quotation marks beside a reporting word it counts as a
 quotation, else as abuse. A logistic model over the counted hits gives the score.
@@ -19,11 +20,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tidegate.llm.store import stored
+
 #: Rows that the lexicon and the model are fitted on, at most (in expectation; drawn by a hash of the id).
 TRAIN_ROWS = 16_000
 #: Entries of the lexicon, at most; those in the most toxic documents go first.
 LEXICON_ROWS = 2_000
-FUZZY_FROM = 5
+FUZZY_TERM, FUZZY_STEM = 5, 8
 PREFIXES = range(3, 13)
 WINDOW = 8
 MEMO = 400_000
@@ -48,13 +51,13 @@ def plain(word: str) -> str:
 class Lexicon:
     """Entries (text, closed) and the automaton that matches words against them."""
 
-    def __init__(self, entries: list[tuple[str, bool]]):
-        self.entries = entries
+    def __init__(self, entries: list[tuple[str, bool]], benign: list[str] = ()):
+        self.benign = frozenset(benign)
         self._children: list[dict[str, int]] = [{}]
         self._ends: list[tuple[bool, bool] | None] = [None]
         self._reach: list[int] = [0]
         for text, closed in entries:
-            at, errors = 0, int(len(text) >= FUZZY_FROM)
+            at, errors = 0, int(len(text) >= (FUZZY_TERM if closed else FUZZY_STEM))
             self._reach[0] = max(self._reach[0], errors)
             for c in text:
                 if c not in self._children[at]:
@@ -95,7 +98,7 @@ class Lexicon:
                 after.add((child, errors))
             if not errors:  # another letter, or one too many
                 after |= {(c, 1) for c in self._children[node].values() if self._reach[c]}
-                if self._reach[node] and node:
+                if self._reach[node]:
                     after.add((node, 1))
         self._moves[at][char] = move = self._intern(after)
         return move
@@ -123,7 +126,8 @@ class Lexicon:
             if len(self.memo) >= MEMO:
                 self.memo.clear()
             self._last = self._start
-            known = self.memo[word] = self.match(word)
+            known = self.match(word)
+            known = self.memo[word] = 0 if known == 2 and plain(word) in self.benign else known
         return known
 
     def features(self, text: str | None) -> tuple[int, int, int]:
@@ -169,15 +173,16 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def learned_lexicon(sample: DataFrame, rows: int = LEXICON_ROWS) -> list[tuple[str, bool]]:
-    """Entries from rows of ``text`` and ``toxic``: the shortest sure beginnings, each grown while most of it agrees.
+def learned_lexicon(sample: DataFrame, rows: int = LEXICON_ROWS) -> tuple[list[tuple[str, bool]], list[str]]:
+    """Entries, and misspellings that are no hits, from rows of ``text`` and ``toxic``.
 
-    The result is bounded by ``rows``.
+    The entries are the shortest sure beginnings, each grown while most of it agrees. There are at most ``rows`` of
+    them, and so of the misspellings, as those are within one error of a closed term or a stem's beginning.
     """
     counts = sample.mapInArrow(_counted, "whole boolean, term string, toxic long, clean long")
-    counts = counts.groupBy("whole", "term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-    total = sample.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
-    least = max(3, math.ceil(total[1] * 0.004))
+    counts = stored(counts.groupBy("whole", "term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")), "toxic-terms")
+    toxic = sample.agg(F.coalesce(F.sum("toxic"), F.lit(0))).first()[0]
+    least = max(4, math.ceil(toxic * 0.004))
     sure = counts.filter((F.col("toxic") >= least) & (F.col("clean") <= F.col("toxic") * 0.02))
     found = sure.orderBy(F.desc("toxic"), "term", "whole").limit(8 * rows).collect()
     nodes = {r.term: r.toxic for r in found if not r.whole}
@@ -192,7 +197,18 @@ def learned_lexicon(sample: DataFrame, rows: int = LEXICON_ROWS) -> list[tuple[s
     for word in words:  # shorter than any counted beginning
         if len(word) < PREFIXES[0]:
             entries[word] = True
-    return sorted(entries.items())[:rows]
+    lexicon = sorted(entries.items(), key=lambda e: (-nodes.get(e[0], 0), e[0]))[:rows]
+    misspelt = counts.filter("whole and clean > 0").select("term").mapInArrow(_misspelt(lexicon), "term string")
+    return lexicon, [r.term for r in misspelt.collect()]
+
+
+def _misspelt(lexicon: list[tuple[str, bool]]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made = Lexicon(lexicon)
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"term": pa.array([t for t in batch.column("term").to_pylist() if made.kind(t) == 2], pa.string())})
+
+    return run
 
 
 def fitted(features: np.ndarray, toxic: np.ndarray) -> np.ndarray:
@@ -207,9 +223,9 @@ def fitted(features: np.ndarray, toxic: np.ndarray) -> np.ndarray:
     return w
 
 
-def _hits(lexicon: list[tuple[str, bool]], keep: list[str]):
+def _hits(lexicon: list[tuple[str, bool]], benign: list[str], keep: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        made = Lexicon(lexicon)
+        made = Lexicon(lexicon, benign)
         for batch in batches:
             counts = [made.features(t.as_py()) for t in batch.column("text")]
             columns = {k: batch.column(k) for k in keep}
@@ -220,8 +236,8 @@ def _hits(lexicon: list[tuple[str, bool]], keep: list[str]):
 
 
 class Model:
-    def __init__(self, lexicon: list[tuple[str, bool]], weights: list[float]):
-        self.lexicon, self.weights = lexicon, weights
+    def __init__(self, lexicon: list[tuple[str, bool]], benign: list[str], weights: list[float]):
+        self.lexicon, self.benign, self.weights = lexicon, benign, weights
 
     def score(self) -> Column:
         z = F.lit(float(self.weights[0]))
@@ -234,19 +250,23 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Mod
     """Learn lexicon and weights from labelled documents that are not held out.
 
     ``labels`` has doc_id and toxic (0 or 1); other values and null ids are ignored. Some ``train_rows``
-    labels are drawn by a hash of their id, all of them if there are fewer.
+    labels are drawn by a hash of their id, all of them if there are fewer. Two thirds of them teach the lexicon, the
+    others the weights.
     """
     known = labels.filter("doc_id is not null and toxic in (0, 1)").filter(~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     n = known.count()
     share = min(1.0, train_rows / max(n, 1))
     drawn = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000)) if share < 1 else known
-    sample = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id").select("text", F.col("toxic").cast("int").alias("toxic"))
-    lexicon = learned_lexicon(sample)
-    hits = sample.mapInArrow(_hits(lexicon, ["toxic"]), "toxic int, " + ", ".join(f"{f} long" for f in FEATURES))
+    third = F.pmod(F.xxhash64("doc_id", F.lit("third")), F.lit(3)) == 0
+    sample = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id")
+    sample = stored(sample.select("text", F.col("toxic").cast("int").alias("toxic"), third.alias("third")), "toxic-sample")
+    lexicon, benign = learned_lexicon(sample.filter("not third").select("text", "toxic"))
+    rest = sample.filter("third").select("text", "toxic")
+    hits = rest.mapInArrow(_hits(lexicon, benign, ["toxic"]), "toxic int, " + ", ".join(f"{f} long" for f in FEATURES))
     rows = np.array(hits.groupBy("toxic", *FEATURES).count().collect(), dtype=float).reshape(-1, 5)
     weights = fitted(np.repeat(rows[:, 1:4], rows[:, 4].astype(int), axis=0), np.repeat(rows[:, 0], rows[:, 4].astype(int)))
-    return Model(lexicon, weights.tolist())
+    return Model(lexicon, benign, weights.tolist())
 
 
 def scored(docs: DataFrame, model: Model, threshold: float = 0.7) -> DataFrame:
@@ -257,7 +277,7 @@ def scored(docs: DataFrame, model: Model, threshold: float = 0.7) -> DataFrame:
     """
     given = docs.select("doc_id", "text")
     schema = f"doc_id {dict(given.dtypes)['doc_id']}, " + ", ".join(f"{f} long" for f in FEATURES)
-    hits = given.mapInArrow(_hits(model.lexicon, ["doc_id"]), schema).withColumn("score", model.score())
+    hits = given.mapInArrow(_hits(model.lexicon, model.benign, ["doc_id"]), schema).withColumn("score", model.score())
     return hits.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"), *FEATURES)
 
 
@@ -266,5 +286,5 @@ def without_toxic(docs: DataFrame, model: Model, threshold: float = 0.7) -> Data
     columns = docs.columns
     packed = docs.select(F.col("text").alias("text"), F.struct(*[f"`{c}`" for c in columns]).alias("row"))
     schema = f"row {packed.schema['row'].dataType.simpleString()}, " + ", ".join(f"{f} long" for f in FEATURES)
-    hits = packed.mapInArrow(_hits(model.lexicon, ["row"]), schema)
+    hits = packed.mapInArrow(_hits(model.lexicon, model.benign, ["row"]), schema)
     return hits.filter(model.score() < threshold).select("row.*")
