@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tidegate.llm import chat_format, exact_dedup, mixing, token_counts, toxicity, url_filter
+from tidegate.llm import chat_format, exact_dedup, mixing, simhash, token_counts, toxicity, url_filter
 from tidegate.llm.store import table
 
 
@@ -26,6 +26,10 @@ def op4_url_filter(spark, sf_dir):
     return url_filter.judged(pages, labels)
 
 
+def op6_simhash_near_dedup(spark, sf_dir):
+    return simhash.near_classes(table(spark, sf_dir, "documents"))
+
+
 def op7_chat_format(spark, sf_dir):
     said = "</s>[INST] ok [/INST]"
     more = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
@@ -44,6 +48,8 @@ def op10_toxicity(spark, sf_dir):
 
 LLM_QUERIES = {
     q.__name__: q
-    for q in (op1_mix_sources, op2_exact_dedup, op4_url_filter, op7_chat_format, op8_token_counts, op10_toxicity)
+    for q in (
+        op1_mix_sources, op2_exact_dedup, op4_url_filter, op6_simhash_near_dedup, op7_chat_format, op8_token_counts, op10_toxicity,
+    )
 }
 LLM_ORACLES = {"op2_exact_dedup": exact_dedup.ORACLE_SQL, "op7_chat_format": chat_format.ORACLE_SQL}
