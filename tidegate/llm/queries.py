@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tidegate.llm import chat_format, exact_dedup, mixing, simhash, token_counts, toxicity, url_filter
+from tidegate.llm import chat_format, exact_dedup, hash_search, mixing, segment_sampling, simhash, token_counts, toxicity, url_filter
 from tidegate.llm.store import table
 
 
@@ -26,6 +26,10 @@ def op4_url_filter(spark, sf_dir):
     return url_filter.judged(pages, labels)
 
 
+def op5_nearest_vectors(spark, sf_dir):
+    return hash_search.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
 def op6_simhash_near_dedup(spark, sf_dir):
     return simhash.near_classes(table(spark, sf_dir, "documents"))
 
@@ -41,6 +45,11 @@ def op8_token_counts(spark, sf_dir):
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), limit=4096)
 
 
+def op9_sampled_segmentations(spark, sf_dir):
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    return segment_sampling.sampled(table(spark, sf_dir, "documents"), model, k=2, with_ids=False)
+
+
 def op10_toxicity(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return toxicity.scored(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")), threshold=0.7)
@@ -49,7 +58,8 @@ def op10_toxicity(spark, sf_dir):
 LLM_QUERIES = {
     q.__name__: q
     for q in (
-        op1_mix_sources, op2_exact_dedup, op4_url_filter, op6_simhash_near_dedup, op7_chat_format, op8_token_counts, op10_toxicity,
+        op1_mix_sources, op2_exact_dedup, op4_url_filter, op5_nearest_vectors, op6_simhash_near_dedup, op7_chat_format, op8_token_counts,
+        op9_sampled_segmentations, op10_toxicity,
     )
 }
 LLM_ORACLES = {"op2_exact_dedup": exact_dedup.ORACLE_SQL, "op7_chat_format": chat_format.ORACLE_SQL}
