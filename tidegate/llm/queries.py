@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import functions as F
 
@@ -62,4 +63,5 @@ LLM_QUERIES = {
         op9_sampled_segmentations, op10_toxicity,
     )
 }
+LLM_QUERIES["pipeline"] = corpus_pipeline.run
 LLM_ORACLES = {"op2_exact_dedup": exact_dedup.ORACLE_SQL, "op7_chat_format": chat_format.ORACLE_SQL}

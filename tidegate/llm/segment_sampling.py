@@ -15,6 +15,7 @@ runs over either. Noise is a hash of the row's key and the place, so a row has t
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,7 +27,7 @@ from tidegate.llm.token_counts import SPACE, _words
 TEMPERATURE = 2e-4
 WORD_CHARS = 128
 #: Characters of the texts that share one table of word lattices, some.
-BATCH_CHARS = 1_000_000
+BATCH_CHARS = 2_000_000
 #: Score of a character that is no piece and goes out as bytes, below the least piece.
 BYTES_SCORE = -10.0
 _BYTES = -2
@@ -136,9 +137,19 @@ def uniform(seed: np.ndarray, *place) -> np.ndarray:
     return ((x >> np.uint64(11)).astype(np.float64) + 0.5) / 2.0**53
 
 
+def _uniform_one(seed: int, place: int) -> float:
+    """As ``uniform`` for one number."""
+    full = (1 << 64) - 1
+    x = (seed + place * 0x9E3779B97F4A7C15 + 1) & full
+    x = ((x ^ (x >> 30)) * 0xBF58476D1CE4E5B9) & full
+    x = ((x ^ (x >> 27)) * 0x94D049BB133111EB) & full
+    return (((x ^ (x >> 31)) >> 11) + 0.5) / 2.0**53
+
+
 def _truncated(log_mass: float, bound: float, u: float) -> float:
     """Best perturbed score of a set of this mass, given that it is below ``bound``."""
-    return float(log_mass - np.logaddexp(log_mass - bound, np.log(-np.log(u))))
+    a, b = log_mass - bound, math.log(-math.log(u))
+    return log_mass - (max(a, b) + math.log1p(math.exp(-abs(a - b))))
 
 
 class _Path:
@@ -161,17 +172,17 @@ class _Search:
     def __init__(self, seed: int, first: _Path):
         self.seed, self.drawn = seed, 0
         self.queue: list[tuple] = []
-        self.found = [(first, float(-np.log(-np.log(self._u()))))]
+        self.found = [(first, -math.log(-math.log(self._u())))]
         self._add_leaving(first, 0, len(first.row), self.found[0][1])
 
     def _u(self) -> float:
         self.drawn += 1
-        return float(uniform(np.uint64(self.seed), 0, self.drawn)[0])
+        return _uniform_one(self.seed, self.drawn)
 
     def _add_leaving(self, path: _Path, a: int, b: int, bound: float) -> None:
         lost = path.before[b] - path.before[a]
         if lost < 0:
-            self.queue.append((_truncated(path.before[a] + np.log(-np.expm1(lost)), bound, self._u()), path, a, b, ()))
+            self.queue.append((_truncated(float(path.before[a]) + math.log(-math.expm1(lost)), bound, self._u()), path, a, b, ()))
 
     def open_best(self, lattices: Lattices) -> tuple | None:
         """Open the best set: its bound, the path it leaves, the step and the edge it leaves by."""
@@ -182,7 +193,7 @@ class _Search:
         t = a
         if not taken:
             lost = path.before[b] - path.before[a]
-            level = path.before[a] + np.log(np.exp(lost) - np.expm1(lost) * self._u())
+            level = path.before[a] + math.log(max(math.exp(lost) - math.expm1(lost) * self._u(), 5e-324))
             t = min(a + int(np.searchsorted(-path.before[a + 1 : b + 1], -level)), b - 1)
             self._add_leaving(path, a, t, bound)
             self._add_leaving(path, t + 1, b, bound)
@@ -193,7 +204,7 @@ class _Search:
         edge = min(int(np.searchsorted(cum, self._u() * cum[-1], side="right")), int(np.nonzero(odds)[0][-1]))
         odds[edge] = 0
         if (left := odds.sum()) > 0:
-            self.queue.append((_truncated(path.before[t] + np.log(left), bound, self._u()), path, t, t + 1, (*taken, edge)))
+            self.queue.append((_truncated(float(path.before[t]) + math.log(left), bound, self._u()), path, t, t + 1, (*taken, edge)))
         return bound, path, t, edge
 
     def add(self, path: _Path, t: int, bound: float) -> None:
