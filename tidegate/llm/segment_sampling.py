@@ -26,6 +26,8 @@ from tidegate.llm.token_counts import SPACE, _words
 
 TEMPERATURE = 2e-4
 WORD_CHARS = 128
+#: Scores from here down mark pieces without a rank of their own, as runs of spaces; they count as the least rank.
+NO_RANK = -1e8
 #: Characters of the texts that share one table of word lattices, some.
 BATCH_CHARS = 2_000_000
 #: Score of a character that is no piece and goes out as bytes, below the least piece.
@@ -50,7 +52,7 @@ class Pieces:
         self.n_chars = len(chars) + 1
         moves: dict[tuple[int, int], int] = {}
         piece, score = [-1], [-np.inf]
-        least = min(max(model.get_score(i), -1e6) for i in plain)
+        least = min(model.get_score(i) for i in plain if model.get_score(i) > NO_RANK)
         for i in plain:
             node = 0
             for c in model.id_to_piece(i):
@@ -59,7 +61,7 @@ class Pieces:
                     moves[key] = len(piece)
                     piece.append(-1), score.append(-np.inf)
                 node = moves[key]
-            piece[node], score[node] = i, model.get_score(i) * TEMPERATURE
+            piece[node], score[node] = i, max(model.get_score(i), least) * TEMPERATURE
         self.longest = max(len(model.id_to_piece(i)) for i in plain)
         keys = np.array([a * self.n_chars + b for a, b in moves], np.int64)
         order = np.argsort(keys)
