@@ -6,7 +6,7 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tidegate.llm import chat_format, exact_dedup, hash_search, mixing, segment_sampling, simhash, token_counts, toxicity, url_filter
+from tidegate.llm import chat_format, exact_dedup, hash_search, mixing, passage_dedup, segment_sampling, simhash, token_counts, toxicity, url_filter
 from tidegate.llm.store import table
 
 
@@ -19,6 +19,10 @@ def op2_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_classes(table(spark, sf_dir, "documents"))
 
 
+def op3_repeated_passages(spark, sf_dir):
+    return passage_dedup.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op4_url_filter(spark, sf_dir):
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     doc_id = F.regexp_extract(url_filter.host_and_path(F.col("url"))[1], r"^/[^/]+/(\d{1,18})", 1).try_cast("long")
@@ -59,7 +63,7 @@ def op10_toxicity(spark, sf_dir):
 LLM_QUERIES = {
     q.__name__: q
     for q in (
-        op1_mix_sources, op2_exact_dedup, op4_url_filter, op5_nearest_vectors, op6_simhash_near_dedup, op7_chat_format, op8_token_counts,
+        op1_mix_sources, op2_exact_dedup, op3_repeated_passages, op4_url_filter, op5_nearest_vectors, op6_simhash_near_dedup, op7_chat_format, op8_token_counts,
         op9_sampled_segmentations, op10_toxicity,
     )
 }
