@@ -170,6 +170,20 @@ def test_cursor_moves_over_entries_that_emit_nothing(spark):
     assert O.start_cursor(log(spark), saved.limit(0)).first()["cursor_ts"] == 1
 
 
+def test_bounded_reads_lose_no_entry_of_equal_ts(spark):
+    rows = [("s1", t, n) for n, t in enumerate([1, 2, 2, 2, 3, 5])] + [("s2", t, n) for n, t in enumerate([1, 1, 4, 4])]
+    entries = spark.createDataFrame(rows, "shard string, ts long, n long")
+    cursor, seen = spark.createDataFrame([("s1", 0), ("s2", 0)], "shard string, cursor_ts long"), []
+    for _ in range(5):
+        part = O.bounded_read(O.after_cursor(entries, cursor, ["shard"]), rows=2, by=["shard"]).collect()
+        seen += [tuple(r[c] for c in ("shard", "ts", "n")) for r in part]
+        ends = {s: max([t for x, t, _ in seen if x == s], default=0) for s in ("s1", "s2")}
+        cursor = spark.createDataFrame(list(ends.items()), "shard string, cursor_ts long")
+    assert sorted(seen) == sorted(rows)
+    one = entries.filter("shard = 's1'")
+    assert sorted(r["n"] for r in O.bounded_read(one, rows=2).collect()) == [0, 1, 2, 3]
+
+
 def test_bounded_reads_in_a_row_cover_the_log(spark):
     """The first entry is the start and is not read itself."""
     cursor, seen = O.start_cursor(log(spark), None), []

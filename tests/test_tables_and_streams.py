@@ -292,10 +292,10 @@ def test_workspace_lies_below_the_shared_folder(spark):
 
 
 def test_kafka_options():
-    options = kafka_options("host:1", "report", max_offsets_per_trigger=5)
+    options = kafka_options("host:1", "changes", max_offsets_per_trigger=5)
     assert options["startingOffsets"] == "latest" and options["kafka.group.id"] == "report_group3"
     assert options["maxOffsetsPerTrigger"] == "5"
-    assert kafka_options("host:1", "report", "g", "earliest")["kafka.group.id"] == "g"
+    assert kafka_options("host:1", "changes", "g", "earliest")["kafka.group.id"] == "g"
     assert kafka_sink_options("host:1")["kafka.enable.idempotence"] == "true"
     assert index_options("host:2")["es.batch.size.entries"] == "1000"
 

@@ -41,7 +41,7 @@ OP_RULES = {
 OP_NAMES = {"i": "insert", "u": "update", "d": "delete"}
 
 # Topics and consumer groups.
-CHANGE_TOPIC = "report_maxwell"
+CHANGE_TOPIC = "changes"
 TOPIC_PREFIX = "ods_"
 GROUP_SUFFIX = "_group3"
 OPLOG_DATABASE = "crm"

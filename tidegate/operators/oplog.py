@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidegate import fixed_values as V
 from tidegate.functions import payload as P, text as X
@@ -74,9 +74,19 @@ def after_cursor(log: DataFrame, cursor: DataFrame, by: Sequence[str] = ()) -> D
     return at.filter(F.col("ts") > F.col("cursor_ts")).drop("cursor_ts")
 
 
-def bounded_read(log: DataFrame, rows: int = V.OPLOG_READ_ROWS) -> DataFrame:
-    """The next ``rows`` entries in log order: a top-k, not a full sort."""
-    return log.orderBy("ts").limit(rows)
+def bounded_read(log: DataFrame, rows: int = V.OPLOG_READ_ROWS, by: Sequence[str] = ()) -> DataFrame:
+    """The next ``rows`` entries in log order, per ``by`` (such as the shard), and all of the same ``ts`` as the last one.
+
+    A read that ended within a ``ts`` would lose the rest of it, as the next read begins behind the cursor. Only
+    the ``ts`` of the first rows is ordered, as a top-k.
+    """
+    if not by:
+        last = log.select("ts").orderBy("ts").limit(rows).agg(F.max("ts").alias("last_ts"))
+        return log.filter(F.col("ts") <= last.select("last_ts").scalar())
+    place = F.row_number().over(Window.partitionBy(*by).orderBy("ts"))
+    last = log.select(*by, "ts").withColumn("place", place).filter(F.col("place") <= rows)
+    last = last.groupBy(*by).agg(F.max("ts").alias("last_ts"))
+    return lookup_join(log, last, by, ["ts"], "inner").filter(F.col("ts") <= F.col("last_ts")).drop("last_ts")
 
 
 def with_namespace_parts(log: DataFrame) -> DataFrame:

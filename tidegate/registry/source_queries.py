@@ -71,19 +71,19 @@ def log_columns(log: DataFrame, *extra: str) -> DataFrame:
 
 @query(
     "oplog_scan_full",
-    "select ts, op, ns, o, o2 from followed_log where ts > (select min(ts) from oplog) order by ts limit 2000",
+    "select ts, op, ns, o, o2 from followed_log where ts > (select min(ts) from oplog)",
     ("followed_log",),
 )
 def oplog_scan_full(spark, sf):
     log = I.oplog(spark, sf)
     followed = O.in_namespaces(log, O.namespaces(I.collections(spark, sf)))
-    return log_columns(O.bounded_read(O.after_cursor(followed, O.start_cursor(log, None))))
+    return log_columns(O.after_cursor(followed, O.start_cursor(log, None)))
 
 
 @query(
     "oplog_scan_incremental",
     "select ts, op, ns, o, o2 from followed_log where ts > (select max(event_id) from events "
-    f"where ts < timestamp '{I.SPLIT_TIME}') order by ts limit 2000",
+    f"where ts < timestamp '{I.SPLIT_TIME}')",
     ("followed_log",),
 )
 def oplog_scan_incremental(spark, sf):
@@ -91,7 +91,7 @@ def oplog_scan_incremental(spark, sf):
     processed = I.table(spark, sf, "events").filter(F.col("ts") < I.SPLIT_TIME)
     saved = O.high_water_mark(processed.select(F.col("event_id").alias("ts")))
     followed = O.in_namespaces(log, O.namespaces(I.collections(spark, sf)))
-    return log_columns(O.bounded_read(O.after_cursor(followed, O.start_cursor(log, saved))))
+    return log_columns(O.after_cursor(followed, O.start_cursor(log, saved)))
 
 
 @query(

@@ -142,7 +142,7 @@ def stream_multi_dim(spark, sf):
 def stream_router(spark, sf):
     folder = workspace(spark, "router")
     envelopes = I.table_stream(spark, sf, "events").selectExpr("event_id", f"{I.ENVELOPE} as value")
-    records = I.with_position(envelopes, "report_maxwell", "event_id")
+    records = I.with_position(envelopes, "changes", "event_id")
     S.start(records, S.router_sink(f"{folder}/topics"), f"{folder}/checkpoint").awaitTermination()
     return spark.read.parquet(f"{folder}/topics").select("topic", "value")
 

@@ -111,7 +111,7 @@ def split_sink(
     judge: Callable[[DataFrame], DataFrame],
     write: BatchSink,
     rejects: str,
-    report: Callable[[str, Mapping[str, int]], None] = log_outcome,
+    on_counts: Callable[[str, Mapping[str, int]], None] = log_outcome,
 ) -> BatchSink:
     """Write what ``judge`` accepts, keep what it rejects below ``rejects``, report both counts.
 
@@ -125,7 +125,7 @@ def split_sink(
             unusable = rejected(observed(judged, counts)).select("value", "reject_reason", *POSITION)
             unusable.write.mode("overwrite").parquet(f"{rejects}/batch={key}")
             write(accepted(judged).drop("value", "reject_reason"), key)
-            report(key, counts.get)
+            on_counts(key, counts.get)
         finally:
             judged.unpersist()
 
