@@ -455,3 +455,37 @@ def test_toxicity_learns_from_its_rows_alone(documents, spark):
     empty = toxicity.fit(docs, labels.limit(0))
     assert toxicity.scored(docs, empty).filter("predicted = 1").count() == 0
     assert toxicity.scored(docs.limit(0), model).count() == 0
+
+
+# 3 passages
+
+
+@pytest.mark.parametrize("n", [0, 19, 20, 21, 90])
+def test_compact_windows_against_brute_force(n):
+    from tidegate.llm import passage_dedup
+
+    values = np.array([random.Random(n * 1000 + i).randrange(40) for i in range(n)], np.uint64)
+    want = set()
+    for i in range(n):
+        for j in range(i + 19, n):
+            left = right = centre = i + int(values[i : j + 1].argmin())
+            while left and values[left - 1] > values[centre]:
+                left -= 1
+            while right + 1 < n and values[right + 1] >= values[centre]:
+                right += 1
+            want.add((left, centre, right))
+    assert set(passage_dedup.compact_windows(values, 20)) == want
+
+
+def test_repeated_passages(documents):
+    from tidegate.llm import passage_dedup
+
+    shared = prose(900, 60)
+    rows = [(i, prose(i, 80) + " " + shared + " " + prose(i + 50, 40), "s") for i in range(3)]
+    rows += [(10, prose(10, 200), "s"), (11, None, "s"), (12, "", "s"), (13, "short text", "s"), (14, "short text", "s")]
+    rows += [(20, prose(20, 70), "s"), (21, prose(20, 70), "s"), (None, prose(30, 70), "s")]
+    got = {r["doc_id"]: r for r in passage_dedup.repeated_passages(documents(*rows)).collect()}
+    assert set(got) == {0, 1, 2, 20, 21}
+    assert {got[i]["class_id"] for i in (0, 1, 2)} == {0} and {got[i]["class_id"] for i in (20, 21)} == {20}
+    assert all(any(p["start"] <= 84 and p["end"] >= 136 for p in got[i]["passages"]) for i in (0, 1, 2))
+    assert passage_dedup.repeated_passages(documents(*rows).limit(0)).count() == 0
