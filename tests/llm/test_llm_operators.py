@@ -489,3 +489,17 @@ def test_repeated_passages(documents):
     assert {got[i]["class_id"] for i in (0, 1, 2)} == {0} and {got[i]["class_id"] for i in (20, 21)} == {20}
     assert all(any(p["start"] <= 84 and p["end"] >= 136 for p in got[i]["passages"]) for i in (0, 1, 2))
     assert passage_dedup.repeated_passages(documents(*rows).limit(0)).count() == 0
+
+
+def test_a_passage_that_no_representative_has(documents):
+    """All rows share a short line; only the two in the middle share the passage of exactly 50 words behind it."""
+    from tidegate.llm import passage_dedup
+
+    rng = np.random.default_rng(3)
+    words = lambda n: [f"v{x}" for x in rng.integers(0, 10**9, n)]
+    line, passage = words(20), words(30)
+    rows = [(i, " ".join(words(30) + line + (passage if i % 10 == 4 else words(30)) + words(30)), "s") for i in range(40)]
+    got = {r["doc_id"]: r for r in passage_dedup.repeated_passages(documents(*rows)).collect()}
+    assert set(got) == {4, 14, 24, 34}
+    assert {r["class_id"] for r in got.values()} == {4}
+    assert all(any(p["start"] <= 30 and p["end"] >= 75 for p in r["passages"]) for r in got.values())
