@@ -100,6 +100,9 @@ def test_ledger(spark):
     new = new.select("topic", "group_id", "partition_id", "until_offset")
     assert L.starting_offsets_option(L.positions_of(new, "t", "g")) == '{"t":{"0":8,"1":4}}'
     assert L.starting_offsets_option(L.positions_of(new, "none", "g")) == "latest"
+    now = spark.createDataFrame([("t", 0), ("t", 1), ("t", 2)], "topic string, partition_id int")
+    assert L.starting_offsets_option(L.positions_of(new, "t", "g"), partitions=now) == '{"t":{"0":8,"1":4,"2":-2}}'
+    assert L.starting_offsets_option(L.positions_of(new, "none", "g"), partitions=now) == "latest"
     merged = L.merge_positions(new.withColumn("until_offset", F.lit(6).cast("bigint")), new)
     assert {(r["topic"], r["partition_id"]): r["until_offset"] for r in merged.collect()} == {
         ("t", 0): 8,
@@ -158,7 +161,7 @@ def test_oplog_capture(spark, tombstones):
         8: envelope({"id": "c"}, "insert", "saas_clue"),
     }
     if tombstones:
-        want[4] = envelope({"id": "gone"}, "delete")
+        want[4] = envelope({"_id": "gone"}, "delete")
     assert got == want and len(rows) == len(want)
 
 

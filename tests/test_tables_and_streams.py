@@ -210,6 +210,91 @@ def test_user_dimension(spark, folder):
     assert spark.read.parquet(f"{folder}/rejects").count() == 1
 
 
+def test_users_are_parsed_like_other_payloads(spark, folder):
+    table = SnapshotTable(spark, f"{folder}/users", ["id"], list(S.POSITION))
+    values = ['{"id":"1","status":"1"}', '{"id":2,"status":1.0}', '{"id":4} x', '{"id":5,"id":6}', "{bad", None, '{"n":1}']
+    S.user_dimension_sink(table, f"{folder}/rejects")(records(spark, values), "q-0")
+    assert {r["id"]: r["statusName"] for r in table.read().collect()} == {1: "冻结", 2: "冻结"}
+    reasons = sorted(r["reject_reason"] for r in spark.read.parquet(f"{folder}/rejects").collect())
+    assert reasons == ["bad_id", "malformed", "malformed", "malformed", "null_record"]
+
+
+def test_the_offset_wins_over_an_earlier_timestamp_and_the_source_over_both(spark, folder):
+    table = SnapshotTable(spark, f"{folder}/dim", ["id"], list(S.POSITION))
+    sink = S.dimension_sink(table, f"{folder}/rejects")
+    late = records(spark, ['{"id":1,"n":"old"}', '{"id":1,"n":"new"}'])
+    sink(late.withColumn("timestamp", F.timestamp_seconds(100 - F.col("offset"))), "q-0")
+    assert [json.loads(r["doc"])["n"] for r in table.read().collect()] == ["new"]
+    by_source = records(spark, ['{"id":1,"n":"later"}', '{"id":1,"n":"earlier"}'], start=2).withColumns(
+        {"source_ts": F.lit(7).cast("bigint"), "xid": F.lit(1).cast("bigint"), "xoffset": 9 - F.col("offset")}
+    )
+    sink(by_source, "q-1")
+    assert [json.loads(r["doc"])["n"] for r in table.read().collect()] == ["later"]
+
+
+def test_router_writes_to_any_publisher_and_carries_the_source_position(spark):
+    from tidegate.sinks.publish import header_long, position_headers
+
+    seen, counts = [], {}
+
+    def write(messages, key):
+        headed = messages.withColumn("headers", position_headers())
+        back = [header_long(F.col("headers"), c).alias(f"h_{c}") for c in ("source_ts", "xid", "xoffset")]
+        seen.extend((key, r["topic"], r["h_source_ts"], r["h_xid"], r["h_xoffset"]) for r in headed.select("topic", *back).collect())
+
+    value = '{"table":"sys_user2","type":"insert","ts":5,"xid":6,"data":{"id":1}}'
+    S.router_sink(write, on_counts=counts.__setitem__)(records(spark, [value, "{bad"]), "q-0")
+    assert sorted(seen, key=str) == [("q-0", "ods_sys_user2", 5, 6, None), ("q-0", "rejected", None, None, None)]
+    assert counts == {"q-0": {"ok": 1, "failed": 1}}
+
+
+def test_oplog_entries_without_document_or_key_are_kept(spark, folder):
+    from tidegate.functions import payload as P
+    from tidegate.operators import oplog as O
+
+    raw = [
+        (1, "crm.saas_clue.7", "i", '{"_id":"a","id":1}', None),
+        (2, "crm.saas_clue.7", "i", "{bad", None),
+        (3, "crm.saas_clue.7", "i", '{"_id":"b"}', None),
+        (4, "crm.saas_clue.7", "u", '{"$set":{}}', "{bad"),
+        (5, "crm.saas_clue.7", "d", "{}", None),
+    ]
+    log = spark.createDataFrame(raw, "ts bigint, ns string, op string, o string, o2 string").withColumn("shard", F.lit("s"))
+    log = log.withColumns({c: P.parse_object(F.col(c)) for c in ("o", "o2")})
+    current = spark.createDataFrame([], "ns string, doc_id string, doc string").withColumn("doc", P.parse_object(F.col("doc")))
+    followed = O.namespaces(spark.createDataFrame([("saas_clue.7",)], "name string"))
+    cursors, counts, sent = SnapshotTable(spark, f"{folder}/cursors", ["shard"], ["cursor_ts"]), {}, []
+    write = lambda messages, _: sent.extend(r["ts"] for r in messages.collect())
+    sink = S.oplog_sink(lambda: current, followed, write, cursors, ["ns", "doc_id"], f"{folder}/rejects", counts.__setitem__)
+    sink(log, "q-0")
+    assert sent == [1] and counts == {"q-0": {"ok": 1, "failed": 4}}
+    kept = {r["ts"]: r["reject_reason"] for r in spark.read.parquet(f"{folder}/rejects").collect()}
+    assert kept == {2: "no_document", 3: "no_document", 4: "no_key", 5: "no_key"}
+    assert rows(cursors.read()) == [("s", 5)]
+
+
+def test_a_topic_starts_behind_its_saved_positions(spark, folder):
+    from tidegate.streaming import apps as A
+
+    assert A.topic_start(spark, folder, "t") == "latest"
+    site = A.Site(spark, lambda topic: file_stream(spark, f"{folder}/source"), folder, seconds=None)
+    append(records(spark, ["1", "2"]), f"{folder}/source")
+    seen = []
+    site.start_topic("q", "t", lambda batch, _: seen.append(batch.count())).awaitTermination()
+    partitions = spark.createDataFrame([("t", 0), ("t", 1)], "topic string, partition_id int")
+    assert seen == [2] and A.topic_start(spark, folder, "t", partitions) == '{"t":{"0":2,"1":-2}}'
+
+
+def test_enrichment_fills_a_given_writer(spark, folder):
+    from tidegate.streaming import apps as A
+
+    site = A.Site(spark, lambda topic: file_stream(spark, f"{folder}/source"), folder, seconds=None)
+    append(records(spark, ['{"id":"a"}', "{bad"]), f"{folder}/source")
+    seen = []
+    A.start_clues(site, lambda docs, _: seen.extend((r["id"], r["doc"]) for r in docs.collect())).awaitTermination()
+    assert seen == [("a", '{"id":"a"}')]
+
+
 def test_outcomes_of_a_batch_are_reported(spark, folder):
     reported, written = {}, []
     sink = S.split_sink(
@@ -293,7 +378,7 @@ def test_workspace_lies_below_the_shared_folder(spark):
 
 def test_kafka_options():
     options = kafka_options("host:1", "changes", max_offsets_per_trigger=5)
-    assert options["startingOffsets"] == "latest" and options["kafka.group.id"] == "report_group3"
+    assert options["startingOffsets"] == "latest" and options["kafka.group.id"] == "changes_group3"
     assert options["maxOffsetsPerTrigger"] == "5"
     assert kafka_options("host:1", "changes", "g", "earliest")["kafka.group.id"] == "g"
     assert kafka_sink_options("host:1")["kafka.enable.idempotence"] == "true"

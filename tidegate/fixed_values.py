@@ -25,6 +25,14 @@ TENANT_TABLES = (
 )
 TENANT_PREFIXES = tuple(name + "." for name in TENANT_TABLES)
 
+# Tables that the applications read.
+FIELD_TABLE = "clue_saas_crm_customer_field"
+PARAM_TABLE = "clue_saas_crm_customer_param_field"
+CLUE_SEA_TABLE = "clue_saas_customer_public_sea"
+CUSTOMER_SEA_TABLE = "saas_customer_public_sea"
+USER_TABLE = "sys_user2"
+CLUE_TABLE = "saas_clue"
+
 # Tables of the earlier router; None admits every operation.
 OP_RULES = {
     "order_info": ("insert",),

@@ -93,6 +93,11 @@ def drop_key(obj: Column, key: str) -> Column:
     return F.map_filter(obj, lambda k, _: k != key)
 
 
+def keep_key(obj: Column, key: str) -> Column:
+    """The object with this key alone."""
+    return F.map_filter(obj, lambda k, _: k == key)
+
+
 def put(obj: Column, key: str, value: Column) -> Column:
     """Add or replace one key."""
     return F.map_concat(drop_key(obj, key), F.create_map(F.lit(key), as_json_value(value)))

@@ -4,20 +4,26 @@ from __future__ import annotations
 
 from typing import Mapping, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidegate import fixed_values as V
-from tidegate.functions import text as X
+from tidegate.functions import payload as P, text as X
+from tidegate.operators.computed import with_computed
 from tidegate.operators.latest import latest_per_key
 from tidegate.schemas import USER
 
 
+def user_columns(user: Column) -> list[Column]:
+    """The fields of a user payload; one that does not fit its type is NULL, numeric text is a number."""
+    return [F.try_variant_get(user[f.name], "$", f.dataType.simpleString()).alias(f.name) for f in USER]
+
+
 def typed_users(records: DataFrame, value: str = "value") -> DataFrame:
-    """User documents as typed columns beside the record's own columns."""
+    """User documents as typed columns beside the record's own columns; NULL where ``value`` is no payload."""
     carried = [c for c in records.columns if c != value]
-    return records.withColumn("_user", F.from_json(F.col(value), USER)).select(
+    return with_computed(records, _user=P.parse_object(F.col(value))).select(
         *(F.col(c).alias(f"record_{c}") if c in USER.fieldNames() else c for c in carried),
-        "_user.*",
+        *user_columns(F.col("_user")),
     )
 
 

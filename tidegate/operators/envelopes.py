@@ -71,11 +71,11 @@ def require_ids(rows: DataFrame, payload: str = "payload", key: str = "id") -> D
     )
 
 
-def envelope_text(data: Column, database: Column, table: Column, op: Column) -> Column:
-    """Envelope JSON of a document; ``_id`` is no field of the document."""
+def envelope_text(data: Column, database: Column, table: Column, op: Column, whole: bool = False) -> Column:
+    """Envelope JSON of a document; ``_id`` is no field of the document and stays only in ``whole``."""
     return F.to_json(
         F.struct(
-            P.drop_key(data, "_id").alias("data"),
+            (data if whole else P.drop_key(data, "_id")).alias("data"),
             database.alias("database"),
             table.alias("table"),
             op.alias("type"),

@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidegate.operators.lookup import lookup_join
 
+# What a Kafka source takes for the earliest record of a partition.
+EARLIEST = -2
+
 
 def until_offsets(records: DataFrame, partition: str = "partition", offset: str = "offset") -> DataFrame:
     """Exclusive end position of each partition in these records."""
@@ -60,9 +63,23 @@ def starting_offsets(positions: DataFrame) -> DataFrame:
     )
 
 
-def starting_offsets_option(positions: DataFrame, otherwise: str = "latest") -> str:
-    """The ``startingOffsets`` option of the one topic in ``positions``."""
-    row = starting_offsets(positions).first()
+def with_all_partitions(positions: DataFrame, partitions: DataFrame) -> DataFrame:
+    """Positions of each of ``partitions`` (topic, partition_id) of a topic that has any.
+
+    A Kafka source wants all partitions of the topic in ``startingOffsets``. One without a saved position came
+    later and starts at its earliest record.
+    """
+    earliest = partitions.join(positions.select("topic").distinct(), "topic", "left_semi")
+    earliest = earliest.select("topic", "partition_id", F.lit(EARLIEST).cast("bigint").alias("until_offset"))
+    both = positions.select("topic", "partition_id", "until_offset").unionByName(earliest)
+    return both.groupBy("topic", "partition_id").agg(F.max("until_offset").alias("until_offset"))
+
+
+def starting_offsets_option(
+    positions: DataFrame, otherwise: str = "latest", partitions: DataFrame | None = None
+) -> str:
+    """The ``startingOffsets`` option of the one topic in ``positions``, complete for ``partitions`` if given."""
+    row = starting_offsets(positions if partitions is None else with_all_partitions(positions, partitions)).first()
     return row["starting_offsets"] if row else otherwise
 
 

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidegate.functions import payload as P, text as X
+from tidegate.operators.decode import tenant_key
 from tidegate.operators.envelopes import accepted, parse_envelopes
 from tidegate.operators.lookup import lookup_join
+from tidegate.operators.routing import is_exact_table
 from tidegate.registry import inputs as I
 from tidegate.registry.core import query
 
@@ -178,11 +180,11 @@ def fn_to_int(spark, sf):
     ("clues",),
 )
 def fn_null_safe_key(spark, sf):
-    """A missing tenant meets the region whose key is missing. There are five regions."""
-    regions = I.table(spark, sf, "region").selectExpr("nullif(r_regionkey,0) as region_key", "r_name as region")
-    clues = I.clues(spark, sf).selectExpr("id", "nullif(case when tenant_id=5 then 0 else tenant_id end,0) as tenant")
-    same = F.col("tenant").eqNullSafe(F.col("region_key"))
-    return clues.join(F.broadcast(regions), same, "left").select("id", "region")
+    """A missing tenant meets the region whose key is missing."""
+    regions = I.table(spark, sf, "region").select(tenant_key(F.expr("nullif(r_regionkey,0)")).alias("tenant"), F.col("r_name").alias("region"))
+    tenant = F.expr("nullif(case when tenant_id=5 then 0 else tenant_id end,0)")
+    clues = I.clues(spark, sf).select("id", tenant_key(tenant).alias("tenant"))
+    return lookup_join(clues, regions, ["tenant"], ["id"]).select("id", "region")
 
 
 @query(
@@ -202,7 +204,7 @@ def fn_lookup_default(spark, sf):
 )
 def fn_in_list(spark, sf):
     return I.table(spark, sf, "events").select(
-        "event_id", F.col("event_type").isin("signup", "view").alias("listed")
+        "event_id", is_exact_table(F.col("event_type"), ("signup", "view")).alias("listed")
     )
 
 

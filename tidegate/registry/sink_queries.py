@@ -10,7 +10,7 @@ from tidegate.registry.core import query
 from tidegate.sinks.audit import write_audit
 from tidegate.sinks.publish import publish_to_files
 from tidegate.sinks.tables import IndexTable, SnapshotTable
-from tidegate.streaming.pipelines import dimension_changes, positions_table, user_changes
+from tidegate.streaming.pipelines import POSITION, dimension_changes, positions_table, user_changes
 from tidegate.workspace import workspace
 
 
@@ -47,7 +47,7 @@ def dimension_records(spark, sf):
 def sink_dim_upsert(spark, sf):
     """An earlier part first, then everything: the repeated rows change nothing."""
     changes = E.accepted(dimension_changes(dimension_records(spark, sf))).drop("value", "reject_reason")
-    dimension = SnapshotTable(spark, workspace(spark, "dim"), ["id"], ["timestamp", "partition", "offset"])
+    dimension = SnapshotTable(spark, workspace(spark, "dim"), ["id"], list(POSITION))
     dimension.upsert(changes.filter(F.col("timestamp") < I.SPLIT_TIME))
     dimension.upsert(changes)
     return dimension.read().select("id", "doc")
@@ -68,7 +68,7 @@ def sink_user_dim_upsert(spark, sf):
     before = customers.selectExpr(
         """concat('{"id":',c_custkey,',"realName":"before"}') as value""", "0 as n"
     )
-    users = SnapshotTable(spark, workspace(spark, "users"), ["id"], ["timestamp", "partition", "offset"])
+    users = SnapshotTable(spark, workspace(spark, "users"), ["id"], list(POSITION))
     for batch in (I.with_position(before, "ods_sys_user2", "n"), now):
         users.upsert(E.accepted(user_changes(batch)).drop("value", "reject_reason"))
     return users.read().select(

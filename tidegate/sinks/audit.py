@@ -22,12 +22,14 @@ def write_audit(rows: DataFrame) -> DataFrame:
     ).agg(F.count(F.lit(1)).alias("docs"))
 
 
+def outcome_counts() -> list[Column]:
+    failed = F.col("reject_reason").isNotNull()
+    return [F.count_if(~failed).alias("ok"), F.count_if(failed).alias("failed")]
+
+
 def observed(rows: DataFrame, observation: Observation) -> DataFrame:
     """The same rows; ``observation`` gets the counts of outcomes from the write itself."""
-    failed = F.col("reject_reason").isNotNull()
-    return rows.observe(
-        observation, F.count_if(~failed).alias("ok"), F.count_if(failed).alias("failed")
-    )
+    return rows.observe(observation, *outcome_counts())
 
 
 def log_outcome(batch: str, counts: Mapping[str, int]) -> None:

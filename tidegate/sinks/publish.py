@@ -2,10 +2,35 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from typing import Callable
+
+from pyspark.sql import Column, DataFrame, functions as F
+
+from tidegate import fixed_values as V
 
 MESSAGE_COLUMNS = ("topic", "key", "value")
 
+# Where a change lies in its source; a message carries it as headers.
+SOURCE_POSITION = ("source_ts", "xid", "xoffset")
+
+Publisher = Callable[[DataFrame, str], None]
+
+
+def position_headers() -> Column:
+    """The source position as message headers; a part that is NULL has a header without value."""
+    return F.array(
+        *(
+            F.struct(F.lit(c).alias("key"), F.col(c).cast("string").cast("binary").alias("value"))
+            for c in SOURCE_POSITION
+        )
+    )
+
+
+def header_long(headers: Column, name: str) -> Column:
+    """The number in the first header of this name."""
+    found = F.get(F.filter(headers, lambda h: h["key"] == name), F.lit(0))
+    return found["value"].cast("string").try_cast("bigint")
+
 
 def kafka_sink_options(servers: str) -> dict[str, str]:
     return {"kafka.bootstrap.servers": servers, "kafka.enable.idempotence": "true"}
@@ -14,6 +39,8 @@ def kafka_sink_options(servers: str) -> dict[str, str]:
 def publish_to_kafka(messages: DataFrame, options: dict[str, str]) -> None:
     """Each message to the topic it names. A keyed message keeps its order per key."""
     columns = [c for c in MESSAGE_COLUMNS if c in messages.columns]
+    if set(SOURCE_POSITION) <= set(messages.columns):
+        columns.append(position_headers().alias("headers"))
     messages.select(*columns).write.format("kafka").options(**options).save()
 
 
@@ -25,7 +52,15 @@ def publish_to_files(messages: DataFrame, path: str, batch_key: str = "0") -> No
     messages.write.mode("overwrite").partitionBy("topic").parquet(f"{path}/batch={batch_key}")
 
 
-def index_options(nodes: str, id_field: str = "id", chunk_docs: int = 1000) -> dict[str, str]:
+def file_publisher(path: str) -> Publisher:
+    return lambda messages, batch_key: publish_to_files(messages, path, batch_key)
+
+
+def kafka_publisher(servers: str) -> Publisher:
+    return lambda messages, _: publish_to_kafka(messages, kafka_sink_options(servers))
+
+
+def index_options(nodes: str, id_field: str = "id", chunk_docs: int = V.INDEX_CHUNK_DOCS) -> dict[str, str]:
     """Options of a search-index connector: upsert by id, whole documents, fixed bulk size."""
     return {
         "es.nodes": nodes,

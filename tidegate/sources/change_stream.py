@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidegate import fixed_values as V
 from tidegate.schemas import RECORD
+from tidegate.sinks.publish import SOURCE_POSITION, header_long
 
 
 def kafka_options(
@@ -21,6 +22,7 @@ def kafka_options(
         "subscribe": topic,
         "startingOffsets": starting_offsets,
         "kafka.group.id": group_id or V.group_of(topic),
+        "includeHeaders": "true",
     }
     if max_offsets_per_trigger:
         options["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
@@ -36,6 +38,7 @@ def kafka_stream(spark: SparkSession, options: dict[str, str]) -> DataFrame:
         "partition",
         "offset",
         "timestamp",
+        *(header_long(F.col("headers"), c).alias(c) for c in SOURCE_POSITION),
     )
 
 

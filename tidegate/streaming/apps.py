@@ -11,17 +11,17 @@ from pyspark.sql.streaming import StreamingQuery
 from tidegate import fixed_values as V
 from tidegate.functions import payload as P
 from tidegate.operators.computed import with_computed
+from tidegate.operators.ledger import positions_of, starting_offsets_option
 from tidegate.operators.routing import route_by_table
 from tidegate.plans.clue_enrichment import ClueDimensions
+from tidegate.sinks.publish import Publisher
 from tidegate.sinks.tables import IndexTable, SnapshotTable
+from tidegate.sources.change_stream import kafka_options, kafka_stream
 from tidegate.streaming import pipelines as S
 
-FIELD_TABLE = "clue_saas_crm_customer_field"
-PARAM_TABLE = "clue_saas_crm_customer_param_field"
-CLUE_SEA_TABLE = "clue_saas_customer_public_sea"
-CUSTOMER_SEA_TABLE = "saas_customer_public_sea"
-USER_TABLE = "sys_user2"
-CLUE_TABLE = "saas_clue"
+FIELD_TABLE, PARAM_TABLE = V.FIELD_TABLE, V.PARAM_TABLE
+CLUE_SEA_TABLE, CUSTOMER_SEA_TABLE = V.CLUE_SEA_TABLE, V.CUSTOMER_SEA_TABLE
+USER_TABLE, CLUE_TABLE = V.USER_TABLE, V.CLUE_TABLE
 
 DIMENSION_TABLES = (FIELD_TABLE, PARAM_TABLE, CLUE_SEA_TABLE, CUSTOMER_SEA_TABLE)
 
@@ -51,18 +51,61 @@ class Site:
     def checkpoint(self, name: str) -> str:
         return f"{self.root}/checkpoints/{name}"
 
+    def positions(self, topic: str) -> SnapshotTable:
+        """The ledger of a topic; it has one writer, the query that reads the topic."""
+        return saved_positions(self.spark, self.root, topic)
+
     def start(self, name: str, records: DataFrame, sink: S.BatchSink) -> StreamingQuery:
         return S.start(records, sink, self.checkpoint(name), name, self.seconds)
 
+    def start_topic(self, name: str, topic: str, sink: S.BatchSink) -> StreamingQuery:
+        """Run ``sink`` over a topic; the positions of a batch are saved after it."""
+        save = S.positions_sink(self.positions(topic), V.group_of(topic))
+        return self.start(name, self.open_stream(topic), S.in_turn(sink, save))
+
+
+def saved_positions(spark: SparkSession, root: str, topic: str) -> SnapshotTable:
+    return S.positions_table(spark, f"{root}/positions/{topic}")
+
+
+def topic_start(spark: SparkSession, root: str, topic: str, partitions: DataFrame | None = None) -> str:
+    """``startingOffsets`` of a topic: behind the saved positions, else the latest record.
+
+    ``partitions`` (topic, partition_id) are those that the topic has now. The option only counts for a query
+    without checkpoint.
+    """
+    saved = saved_positions(spark, root, topic).state()
+    if saved is None:
+        return "latest"
+    return starting_offsets_option(positions_of(saved, topic, V.group_of(topic)), "latest", partitions)
+
+
+def kafka_topics(
+    spark: SparkSession,
+    servers: str,
+    root: str,
+    partitions_of: Callable[[str], DataFrame] | None = None,
+    max_offsets_per_trigger: int | None = None,
+) -> Callable[[str], DataFrame]:
+    """``open_stream`` of a site with a broker."""
+
+    def open_stream(topic: str) -> DataFrame:
+        begin = topic_start(spark, root, topic, partitions_of(topic) if partitions_of else None)
+        return kafka_stream(
+            spark, kafka_options(servers, topic, None, begin, max_offsets_per_trigger)
+        )
+
+    return open_stream
+
 
 def start_router(
     site: Site,
-    topics: str,
+    topics: str | Publisher,
     topic: str = V.CHANGE_TOPIC,
     route: Callable[[DataFrame], DataFrame] = route_by_table,
 ) -> StreamingQuery:
     """The change topic to one topic per table."""
-    return site.start("router", site.open_stream(topic), S.router_sink(topics, route))
+    return site.start_topic("router", topic, S.router_sink(topics, route))
 
 
 def start_dimensions(
@@ -70,9 +113,9 @@ def start_dimensions(
 ) -> dict[str, StreamingQuery]:
     """One query per dimension table, all in this session."""
     return {
-        table: site.start(
+        table: site.start_topic(
             table,
-            site.open_stream(V.ods_topic(table)),
+            V.ods_topic(table),
             S.dimension_sink(site.table(table), site.rejects(table)),
         )
         for table in tables
@@ -81,7 +124,7 @@ def start_dimensions(
 
 def start_users(site: Site) -> StreamingQuery:
     sink = S.user_dimension_sink(site.table(USER_TABLE), site.rejects(USER_TABLE))
-    return site.start(USER_TABLE, site.open_stream(V.ods_topic(USER_TABLE)), sink)
+    return site.start_topic(USER_TABLE, V.ods_topic(USER_TABLE), sink)
 
 
 def dimension_rows(site: Site, table: str, columns: Sequence[str]) -> DataFrame:
@@ -109,12 +152,11 @@ def clue_dimensions(site: Site) -> ClueDimensions:
     )
 
 
-def start_clues(site: Site) -> StreamingQuery:
-    """Clues to enriched documents in the index."""
-    sink = S.enrichment_sink(
-        lambda: clue_dimensions(site), site.index(CLUE_TABLE), site.rejects(CLUE_TABLE)
-    )
-    return site.start(CLUE_TABLE, site.open_stream(V.ods_topic(CLUE_TABLE)), sink)
+def start_clues(site: Site, index: IndexTable | S.BatchSink | None = None) -> StreamingQuery:
+    """Clues to enriched documents in the index: the site's own table, or what the given writer fills."""
+    index = site.index(CLUE_TABLE) if index is None else index
+    sink = S.enrichment_sink(lambda: clue_dimensions(site), index, site.rejects(CLUE_TABLE))
+    return site.start_topic(CLUE_TABLE, V.ods_topic(CLUE_TABLE), sink)
 
 
 def start_oplog(
@@ -122,10 +164,10 @@ def start_oplog(
     log: DataFrame,
     open_collection: Callable[[], DataFrame],
     followed: DataFrame,
-    topics: str,
+    topics: str | Publisher,
     on: Sequence[str] = ("ns", "doc_id"),
 ) -> StreamingQuery:
     """Operation-log entries of all shards (``shard`` names them) to the change topic."""
     cursors = SnapshotTable(site.spark, f"{site.root}/cursors", ["shard"], ["cursor_ts"])
-    sink = S.oplog_sink(open_collection, followed, topics, cursors, on)
+    sink = S.oplog_sink(open_collection, followed, topics, cursors, on, site.rejects("oplog"))
     return site.start("oplog", log, sink)

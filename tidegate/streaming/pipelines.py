@@ -16,7 +16,6 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from tidegate import fixed_values as V
 from tidegate.functions import payload as P
 from tidegate.operators import dimensions as D
-from tidegate.operators.computed import with_computed
 from tidegate.operators.envelopes import (
     BAD_ID,
     accepted,
@@ -29,13 +28,14 @@ from tidegate.operators.ledger import merge_positions, until_offsets
 from tidegate.operators.oplog import high_water_mark
 from tidegate.operators.routing import publishable_with_rejects, route_by_table
 from tidegate.plans.clue_enrichment import ClueDimensions, enrich_clues
-from tidegate.plans.oplog_capture import capture_changes
-from tidegate.schemas import USER
-from tidegate.sinks.audit import log_outcome, observed
-from tidegate.sinks.publish import publish_to_files
+from tidegate.plans.oplog_capture import capture_entries, judged_entries
+from tidegate.sinks.audit import log_outcome, observed, outcome_counts
+from tidegate.sinks.publish import SOURCE_POSITION, Publisher, file_publisher
 from tidegate.sinks.tables import IndexTable, SnapshotTable
 
-POSITION = ("timestamp", "partition", "offset")
+# The highest wins: the position in the source if the record carries it, else the offset. Records of an id lie
+# in one partition, in order. The timestamp comes from producers, so it decides nothing by itself.
+POSITION = (*SOURCE_POSITION, "offset", "partition", "timestamp")
 ROW_KEY = ("topic", "partition", "offset")
 
 BatchSink = Callable[[DataFrame, str], None]
@@ -79,15 +79,47 @@ def positions_table(spark, path: str) -> SnapshotTable:
     return SnapshotTable(spark, path, ("topic", "group_id", "partition_id"), ("until_offset",))
 
 
-def router_sink(path: str, route: Callable[[DataFrame], DataFrame] = route_by_table) -> BatchSink:
-    """Change envelopes to topics below ``path``; rejected records go to a topic of their own."""
+def positioned(batch: DataFrame) -> DataFrame:
+    """Records with a source position, NULL where they carry none."""
+    missing = {c: F.lit(None).cast("bigint") for c in SOURCE_POSITION if c not in batch.columns}
+    return batch.withColumns(missing) if missing else batch
 
-    def publish(batch: DataFrame, key: str) -> None:
-        routed = route(parse_envelopes(batch.drop("topic")))
-        messages = publishable_with_rejects(routed, carry=["type", *POSITION])
-        publish_to_files(messages, path, key)
 
-    return publish
+def in_turn(*sinks: BatchSink) -> BatchSink:
+    """One sink after the other, each after the one before has ended."""
+
+    def sink(batch: DataFrame, key: str) -> None:
+        for each in sinks:
+            each(batch, key)
+
+    return sink
+
+
+def _publisher(to: str | Publisher) -> Publisher:
+    return file_publisher(to) if isinstance(to, str) else to
+
+
+def router_sink(
+    to: str | Publisher,
+    route: Callable[[DataFrame], DataFrame] = route_by_table,
+    on_counts: Callable[[str, Mapping[str, int]], None] = log_outcome,
+) -> BatchSink:
+    """Change envelopes to topics: files below a path, or whatever a publisher such as ``kafka_publisher`` writes.
+
+    Rejected records go to a topic of their own. Messages carry the position of the change in its source.
+    """
+    publish = _publisher(to)
+
+    def sink(batch: DataFrame, key: str) -> None:
+        routed = route(parse_envelopes(batch.drop("topic", *SOURCE_POSITION)))
+        messages = publishable_with_rejects(
+            routed.withColumn("source_ts", F.col("ts")), carry=["type", *POSITION]
+        )
+        counts = Observation()
+        publish(observed(messages, counts), key)
+        on_counts(key, counts.get)
+
+    return sink
 
 
 def dimension_changes(batch: DataFrame, op: str | None = None) -> DataFrame:
@@ -95,7 +127,7 @@ def dimension_changes(batch: DataFrame, op: str | None = None) -> DataFrame:
 
     A delete is an ordinary change unless ``op`` names the column with the operation.
     """
-    rows = require_ids(parse_payloads(batch))
+    rows = require_ids(parse_payloads(positioned(batch)))
     deleted = F.coalesce(F.col(op) == "delete", F.lit(False)) if op else F.lit(False)
     return rows.select(
         "id",
@@ -140,10 +172,10 @@ def dimension_sink(table: SnapshotTable, rejects: str, op: str | None = None) ->
 
 
 def user_changes(batch: DataFrame) -> DataFrame:
-    """User records as typed, labelled rows; one without id is rejected."""
-    kept = with_computed(batch.select("value", *POSITION), _user=F.from_json("value", USER))
-    users = D.with_user_labels(kept.select("value", *POSITION, "_user.*"))
-    return users.withColumn("reject_reason", F.when(F.col("id").isNull(), BAD_ID))
+    """User records as typed, labelled rows; rejected for the same reasons as those of other dimensions."""
+    kept = require_ids(parse_payloads(positioned(batch).select("value", *POSITION)))
+    users = kept.select("value", "reject_reason", *POSITION, *D.user_columns(F.col("payload")))
+    return D.with_user_labels(users)
 
 
 def user_dimension_sink(table: SnapshotTable, rejects: str) -> BatchSink:
@@ -153,7 +185,7 @@ def user_dimension_sink(table: SnapshotTable, rejects: str) -> BatchSink:
 
 def enriched_documents(batch: DataFrame, dims: ClueDimensions) -> DataFrame:
     """Clue records as index documents ``id, doc``; one without id is rejected."""
-    clues = enrich_clues(parse_payloads(batch), dims, ROW_KEY)
+    clues = enrich_clues(parse_payloads(positioned(batch)), dims, ROW_KEY)
     no_id = F.when(F.col("id").isNull(), BAD_ID)
     return (
         clues.withColumn("id", P.get_string(F.col("payload"), "id"))
@@ -163,27 +195,49 @@ def enriched_documents(batch: DataFrame, dims: ClueDimensions) -> DataFrame:
 
 
 def enrichment_sink(
-    open_dimensions: Callable[[], ClueDimensions], index: IndexTable, rejects: str
+    open_dimensions: Callable[[], ClueDimensions], index: IndexTable | BatchSink, rejects: str
 ) -> BatchSink:
-    """Clue payloads to enriched documents in the index, with the dimensions of this moment."""
-    return split_sink(
-        lambda batch: enriched_documents(batch, open_dimensions()), index.write, rejects
-    )
+    """Clue payloads to enriched documents in the index, with the dimensions of this moment.
+
+    ``index`` is a table, or a writer of ``id, doc, position`` rows to another index.
+    """
+    write = index.write if isinstance(index, IndexTable) else index
+    return split_sink(lambda batch: enriched_documents(batch, open_dimensions()), write, rejects)
 
 
 def oplog_sink(
     open_collection: Callable[[], DataFrame],
     followed: DataFrame,
-    path: str,
+    to: str | Publisher,
     cursors: SnapshotTable,
     on: Sequence[str],
+    rejects: str | None = None,
+    on_counts: Callable[[str, Mapping[str, int]], None] = log_outcome,
 ) -> BatchSink:
-    """Log entries to envelopes on the change topic, then the cursor per shard."""
+    """Log entries to envelopes on the change topic, then the cursor per shard.
+
+    Entries without document or key are kept below ``rejects`` and counted. The batch is read once and the judged
+    entries are kept for all that is taken from them.
+    """
+    publish = _publisher(to)
 
     def capture(batch: DataFrame, key: str) -> None:
-        messages = capture_changes(batch, open_collection(), followed, on)
-        publish_to_files(messages.withColumn("topic", F.lit(V.CHANGE_TOPIC)), path, key)
-        cursors.upsert(high_water_mark(batch, ["shard"]))
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        judged = judged_entries(batch, followed).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            counts = judged.agg(*outcome_counts()).first().asDict()
+            if rejects:
+                unusable = rejected(judged).select(
+                    "ts", "ns", "op", "shard", "reject_reason", P.to_text(F.col("o")).alias("o"), P.to_text(F.col("o2")).alias("o2")
+                )
+                unusable.write.mode("overwrite").parquet(f"{rejects}/batch={key}")
+            messages = capture_entries(accepted(judged), open_collection(), on)
+            publish(messages.withColumn("topic", F.lit(V.CHANGE_TOPIC)), key)
+            cursors.upsert(high_water_mark(batch, ["shard"]))
+            on_counts(key, counts)
+        finally:
+            judged.unpersist()
+            batch.unpersist()
 
     return capture
 
