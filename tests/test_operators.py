@@ -28,14 +28,29 @@ def test_salted_joins_equal_the_plain_join(spark, how):
     assert pairs(K.split_hot_keys_join(left, right, ["k"], how, ["row"], hot_rows=100, salts=4)) == want
 
 
-def test_keys_beyond_the_hottest_are_joined_too(spark, monkeypatch):
-    monkeypatch.setattr(K, "HOT_KEYS_MAX", 1)
+@pytest.mark.parametrize("limit", ["1", "1000000"])
+def test_hot_keys_of_any_number_are_spread_by_their_rows(spark, limit):
     left = hot_rows(spark)
     right = spark.range(40).select(F.col("id").cast("int").alias("k"), F.concat(F.lit("n"), "id").alias("name"))
-    got = K.split_hot_keys_join(left, right, ["k"], "inner", ["row"], hot_rows=5, salts=4)
+    spark.conf.set(K.BROADCAST_LIMIT_CONF, limit)
+    try:
+        got = K.split_hot_keys_join(left, right, ["k"], "inner", ["row"], hot_rows=5)
+    finally:
+        spark.conf.unset(K.BROADCAST_LIMIT_CONF)
     assert pairs(got) == pairs(left.join(right, ["k"], "inner"))
 
 
+def test_a_small_batch_does_not_shuffle_the_collection(spark, tmp_path):
+    spark.range(2000).select(F.col("id").cast("string").alias("doc_id"), F.lit("d").alias("doc")).write.parquet(f"{tmp_path}/c")
+    current = spark.read.parquet(f"{tmp_path}/c")
+    entries = spark.createDataFrame([(1, "5"), (2, "5"), (3, "x")], "ts bigint, doc_id string")
+    touched = O.touched_documents(entries, current, ["doc_id"])
+    plan = touched._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert pairs(touched) == [("5", "d")]
+    assert pairs(O.with_image(entries, current, ["doc_id"])) == [("5", 1, "d"), ("5", 2, "d")]
+
+
 def test_oplog_images_of_a_hot_document(spark):
     """The wide, spread form gives what the broadcast form gives."""
     entries = hot_rows(spark).select(F.col("row").alias("ts"), F.col("k").cast("string").alias("doc_id"))

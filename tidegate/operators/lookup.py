@@ -14,7 +14,6 @@ SALTS_DEFAULT = 16
 ROW_OVERHEAD_BYTES = 32
 SURELY_LARGE_FACTOR = 64
 UNKNOWN_SIZE = 2**60
-HOT_KEYS_MAX = 10_000
 
 
 def broadcast_limit(frame: DataFrame) -> int:
@@ -110,24 +109,20 @@ def split_hot_keys_join(
 ) -> DataFrame:
     """As ``salted_join`` for a wide right side: only keys with over ``hot_rows`` rows are spread.
 
-    The hot keys come from a count that is reduced before its shuffle. The hottest
-    ``HOT_KEYS_MAX`` of them are spread, so their table is small enough to broadcast. Any further
-    key holds less than one row in ``HOT_KEYS_MAX`` and is joined like all others.
+    The hot keys come from a count that is reduced before its shuffle. Each is spread over as many partitions
+    as it holds times ``hot_rows`` rows, or over ``salts``. Their table is broadcast if its measured size allows.
     """
-    salts = salts or salt_count(left)
-    counts = left.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows)
-    hottest = counts.orderBy(F.desc("_n"), *on).limit(HOT_KEYS_MAX)
-    hot = F.broadcast(hottest.select(*on, F.lit(True).alias("_hot")))
-    hash_salt = F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")
-    salted = (
-        left.join(hot, list(on), "left")
-        .withColumn("_salt", F.when(F.col("_hot"), hash_salt).otherwise(F.lit(0)))
-        .drop("_hot")
-    )
-    last_salt = F.when(F.col("_hot"), F.lit(salts - 1)).otherwise(F.lit(0))
+    n = F.count(F.lit(1))
+    spread_over = F.lit(salts) if salts else F.ceil(F.col("_n") / hot_rows).cast("int")
+    hot = left.groupBy(*on).agg(n.alias("_n")).filter(F.col("_n") > hot_rows).select(*on, spread_over.alias("_salts"))
+    if fits_broadcast(hot):
+        hot = F.broadcast(hot)
+    hash_salt = F.pmod(F.xxhash64(*spread), F.coalesce("_salts", F.lit(1))).cast("int")
+    salted = left.join(hot, list(on), "left").withColumn("_salt", hash_salt).drop("_salts")
+    last_salt = F.coalesce("_salts", F.lit(1)) - 1
     repeated = (
         right.join(hot, list(on), "left")
         .withColumn("_salt", F.explode(F.sequence(F.lit(0), last_salt)))
-        .drop("_hot")
+        .drop("_salts")
     )
     return salted.join(repeated, [*on, "_salt"], how).drop("_salt")

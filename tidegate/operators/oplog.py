@@ -136,9 +136,11 @@ def change_counts(log: DataFrame) -> DataFrame:
 def touched_documents(log: DataFrame, current: DataFrame, on: Sequence[str]) -> DataFrame:
     """Current state of the documents that updates and deletes of the log name.
 
-    Keys are made distinct before the shuffle, so a document with many entries costs one row.
+    Keys are made distinct first, so a document with many entries costs one row. If they fit a broadcast, as
+    those of a batch do, the collection is not shuffled.
     """
-    return current.join(log.select(*on).distinct(), list(on), "left_semi")
+    keys = log.select(*on).distinct()
+    return current.join(F.broadcast(keys) if fits_broadcast(keys) else keys, list(on), "left_semi")
 
 
 def with_image(
@@ -147,7 +149,12 @@ def with_image(
     on: Sequence[str],
     hot_rows: int = HOT_DOCUMENT_ENTRIES,
 ) -> DataFrame:
-    """Entries with the current document of their key: state at read time, none if it is gone."""
-    if fits_broadcast(current):
-        return entries.join(F.broadcast(current), list(on), "inner")
+    """Entries with the current document of their key: state at read time, none if it is gone.
+
+    The keys of the entries are measured, not the collection. If they are few, only the documents that they name
+    are shuffled.
+    """
+    keys = entries.select(*on).distinct()
+    if fits_broadcast(keys):
+        current = current.join(F.broadcast(keys), list(on), "left_semi")
     return split_hot_keys_join(entries, current, on, "inner", ["ts"], hot_rows)
