@@ -48,7 +48,13 @@ def test_a_small_batch_does_not_shuffle_the_collection(spark, tmp_path):
     plan = touched._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
     assert pairs(touched) == [("5", "d")]
-    assert pairs(O.with_image(entries, current, ["doc_id"])) == [("5", 1, "d"), ("5", 2, "d")]
+    image = [("5", 1, "d"), ("5", 2, "d")]
+    assert pairs(O.with_image(entries, current, ["doc_id"])) == image
+    spark.conf.set(K.BROADCAST_LIMIT_CONF, "200")  # the keys fit, the collection does not
+    try:
+        assert pairs(O.with_image(entries, current, ["doc_id"])) == image
+    finally:
+        spark.conf.unset(K.BROADCAST_LIMIT_CONF)
 
 
 def test_oplog_images_of_a_hot_document(spark):

@@ -45,13 +45,17 @@ def measure_bytes(tables: Mapping[str, DataFrame]) -> dict[str, int]:
     return {name: found.get(name, 0) for name in tables}
 
 
+def estimated_bytes(table: DataFrame) -> int:
+    """The planner's estimate, taken without a job."""
+    return int(str(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def surely_large(table: DataFrame) -> bool:
     """The planner's estimate is so far above the limit that measuring would be wasted.
 
     An estimate beyond all storage means that the planner knows nothing of the table.
     """
-    estimate = int(str(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return SURELY_LARGE_FACTOR * broadcast_limit(table) < estimate < UNKNOWN_SIZE
+    return SURELY_LARGE_FACTOR * broadcast_limit(table) < estimated_bytes(table) < UNKNOWN_SIZE
 
 
 def fits_broadcast(table: DataFrame) -> bool:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tidegate import fixed_values as V
 from tidegate.functions import payload as P, text as X
 from tidegate.operators.computed import with_computed
-from tidegate.operators.lookup import fits_broadcast, lookup_join, split_hot_keys_join
+from tidegate.operators.lookup import broadcast_limit, estimated_bytes, fits_broadcast, lookup_join, split_hot_keys_join
 
 # Entries of one document above this count are spread over several tasks.
 HOT_DOCUMENT_ENTRIES = 1_000_000
@@ -151,9 +151,11 @@ def with_image(
 ) -> DataFrame:
     """Entries with the current document of their key: state at read time, none if it is gone.
 
-    The keys of the entries are measured, not the collection. If they are few, only the documents that they name
-    are shuffled.
+    A collection that is estimated and measured to be small is broadcast. Otherwise the keys of the entries are
+    measured, and if they are few, only the documents that they name are shuffled.
     """
+    if estimated_bytes(current) <= broadcast_limit(current) and fits_broadcast(current):
+        return entries.join(F.broadcast(current), list(on), "inner")
     keys = entries.select(*on).distinct()
     if fits_broadcast(keys):
         current = current.join(F.broadcast(keys), list(on), "left_semi")
