@@ -25,3 +25,22 @@ def test_entry(spark):
     frame = contract.entry(spark)
     assert frame.columns == ["id", "doc"]
     assert frame.limit(1).count() == 1
+
+
+LOOKUPS = (
+    "clue_enriched", "fn_lookup_default", "fn_null_safe_key", "join_dynamic_decode", "join_public_sea", "join_user_creator",
+    "oplog_delete_image", "oplog_ns_semi", "oplog_to_envelopes", "oplog_update_image", "sink_dim_upsert", "src_current_docs",
+)
+
+
+@pytest.mark.parametrize("name", LOOKUPS)
+def test_query_without_any_broadcast(spark, sf_dir, name):
+    """The forms for large tables give what the broadcast forms give."""
+    limits = {"spark.tidegate.broadcast.maxBytes": "1", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    for key, value in limits.items():
+        spark.conf.set(key, value)
+    try:
+        assert difference(spark, sf_dir, QUERIES[name], ORACLES[name]) is None
+    finally:
+        for key in limits:
+            spark.conf.unset(key)
