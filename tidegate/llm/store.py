@@ -8,16 +8,24 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidegate.workspace import workspace
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def stored(frame: DataFrame, name: str) -> DataFrame:
     """Write ``frame`` to the shared folder and read it again.
 
     Cuts the lineage: a lost executor costs the step that ran on it, not the steps before. Values made by
-    ``monotonically_increasing_id`` are fixed from here on.
+    ``monotonically_increasing_id`` are fixed from here on. The shuffle files of the step go as soon as it is written.
     """
-    place = workspace(frame.sparkSession, name)
-    frame.write.parquet(place)
-    return frame.sparkSession.read.schema(frame.schema).parquet(place)
+    spark = frame.sparkSession
+    place = workspace(spark, name)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        frame.write.parquet(place)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    return spark.read.schema(frame.schema).parquet(place)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
