@@ -503,3 +503,28 @@ def test_a_passage_that_no_representative_has(documents):
     assert set(got) == {4, 14, 24, 34}
     assert {r["class_id"] for r in got.values()} == {4}
     assert all(any(p["start"] <= 30 and p["end"] >= 75 for p in r["passages"]) for r in got.values())
+
+
+def test_all_passages_of_a_pair(documents):
+    """Two passages with other words between them, one of them twice in a text, and one that marks alone tie."""
+    from tidegate.llm import passage_dedup
+
+    rng = np.random.default_rng(4)
+    words = lambda n: [f"v{x}" for x in rng.integers(0, 10**9, n)]
+    p, q, long, line = words(60), words(60), words(120), words(20)
+    rows = [(1, p + words(100) + q, "s"), (2, q + words(100) + p + words(100) + p, "s"), (3, p + q, "s")]
+    rows += [(10 + i, words(30) + line + (long if i % 10 == 4 else words(30)) + words(30), "s") for i in range(40)]
+    got = {r["doc_id"]: r for r in passage_dedup.repeated_passages(documents(*[(i, " ".join(w), s) for i, w, s in rows])).collect()}
+    assert set(got) == {1, 2, 3, 14, 24, 34, 44}
+    want = {1: [(0, 60), (160, 220)], 2: [(0, 60), (160, 220), (320, 380)], 3: [(0, 60), (60, 120)]} | {i: [(50, 170)] for i in (14, 24, 34, 44)}
+    for i, spans in want.items():
+        assert all(any(p["start"] <= a and p["end"] >= b for p in got[i]["passages"]) for a, b in spans)
+
+
+def test_marks_of_a_pair_are_merged(spark):
+    from tidegate.llm import passage_dedup
+
+    marks = {cls: [(c, [1000 + c - shift - passage_dedup.STEP * i for i in range(len(passage_dedup.MARKS))]) for c in (shift + 50, shift + 70)] for cls, shift in ((1, 0), (2, 7))}
+    rows = [(cls, 400, c, m) for cls, of in marks.items() for c, m in of]
+    links = passage_dedup._marked_links(spark.createDataFrame(rows, "cls long, n int, c int, marks array<long>")).collect()
+    assert [tuple(r) for r in links] == [(1, 2, 8, 115, 15, 122)]
