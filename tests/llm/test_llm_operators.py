@@ -528,3 +528,19 @@ def test_marks_of_a_pair_are_merged(spark):
     rows = [(cls, 400, c, m) for cls, of in marks.items() for c, m in of]
     links = passage_dedup._marked_links(spark.createDataFrame(rows, "cls long, n int, c int, marks array<long>")).collect()
     assert [tuple(r) for r in links] == [(1, 2, 8, 115, 15, 122)]
+
+
+def test_similar_passages_around_a_hot_line(documents):
+    """All rows share a line; each two alone share a passage of 60 words around it, edited, with no 45 equal words."""
+    from tidegate.llm import passage_dedup
+
+    rng = np.random.default_rng(5)
+    words = lambda n: [f"v{x}" for x in rng.integers(0, 10**9, n)]
+    line, rows = words(26), []
+    for _ in range(80):
+        left, right = words(17), words(17)
+        rows += [words(30) + left + line + right + words(30), words(30) + left[:15] + words(1) + left[16:] + line + right + words(30)]
+    got = {r["doc_id"]: r for r in passage_dedup.repeated_passages(documents(*[(i, " ".join(r), "s") for i, r in enumerate(rows)])).collect()}
+    assert all(r["class_id"] == i - i % 2 and r["n_links"] == 1 for i, r in got.items())
+    assert all(any(p["start"] <= 30 and p["end"] >= 90 for p in r["passages"]) for r in got.values())
+    assert len(got) == 160
