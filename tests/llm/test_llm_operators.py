@@ -368,6 +368,41 @@ def test_samples_without_replacement(text):
         assert np.mean([sum(math.exp(p - i) for _, p, i in s) for s in made]) == pytest.approx(1, abs=0.02)
 
 
+@pytest.mark.parametrize("block", [65_536, 100])
+def test_samples_of_a_long_word(monkeypatch, block):
+    """The odds are those of the uncut lattice, and pieces run over any place."""
+    monkeypatch.setattr(segment_sampling, "BLOCK", block)
+    pieces = segment_sampling.loaded(MODEL)
+    library = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    text = "information" * 27 + "日本"
+    word = "▁" + text
+    plain = [i for i in range(library.get_piece_size()) if not (library.is_control(i) or library.is_unknown(i) or library.is_byte(i) or library.is_unused(i))]
+    least = min(s for i in plain if (s := library.get_score(i)) > segment_sampling.NO_RANK)
+    score = {library.id_to_piece(i): max(library.get_score(i), least) * segment_sampling.TEMPERATURE for i in plain}
+    mass = [0.0] + [-math.inf] * len(word)
+    for j in range(1, len(word) + 1):
+        edges = [mass[i] + score[word[i:j]] for i in range(max(0, j - pieces.longest), j) if word[i:j] in score]
+        edges += [] if word[j - 1] in score else [mass[j - 1] + pieces.bytes_score]
+        mass[j] = np.logaddexp.reduce(edges)
+    crossed = set()
+    for samples in segmentations_of(pieces, text, 200):
+        for ids, log_odds, _ in samples:
+            names, at, total = [library.id_to_piece(int(i)) for i in ids], 0, 0.0
+            raw = sum(library.is_byte(int(i)) for i in ids)
+            for name in names:
+                if name in score:
+                    crossed |= {c for c in (128, 256) if at < c < at + len(name)}
+                    at, total = at + len(name), total + score[name]
+            assert raw % 3 == 0
+            assert log_odds == pytest.approx(total + raw // 3 * pieces.bytes_score - mass[-1], abs=1e-6)
+            assert pieces.decoded(ids) == text
+    assert crossed == {128, 256}
+
+
+def segmentations_of(pieces, text, n):
+    return segment_sampling.segmentations(pieces, [text] * n, list(range(n)), 2)
+
+
 def test_samples_decode_and_repeat(documents, spark):
     texts = [None, "", " ", "a", "日本🙂\t\n ", "▁▁x", "ab" * 700, prose(2, 400), "  two  spaces ", "\x00\r\n"]
     docs = documents(*[(i, t, "s") for i, t in enumerate(texts)], (None, "no id", "s"), (3, "a", "s"))

@@ -8,8 +8,9 @@ it returns to the queue in parts, truncated at that bound. The paths come out in
 scores, which is a sample without replacement; the score after the last one gives their odds of inclusion.
 
 No piece runs over the beginning of a word, so the lattice of a text is a chain of lattices of words, and each
-distinct word is worked out once for many texts. Longer words than ``WORD_CHARS`` are cut there, which no piece
-runs over either. Noise is a hash of the row's key and the place, so a row has the same samples in any batch.
+distinct word is worked out once for many texts. Words longer than ``WORD_CHARS`` are worked out in blocks of
+places, with edges over the borders. Noise is a hash of the row's key and the place, so a row has the same samples
+in any batch.
 """
 
 from __future__ import annotations
@@ -26,6 +27,8 @@ from tidegate.llm.token_counts import SPACE, _words
 
 TEMPERATURE = 2e-4
 WORD_CHARS = 128
+#: Places of a longer word whose edges are looked up at once.
+BLOCK = 65_536
 #: Scores from here down mark pieces without a rank of their own, as runs of spaces; they count as the least rank.
 NO_RANK = -1e8
 #: Characters of the texts that share one table of word lattices, some.
@@ -94,6 +97,10 @@ class Lattices:
         self.char = np.zeros(total, np.uint32)
         for n in np.unique(self.length):
             index = np.nonzero(self.length == n)[0]
+            if n > WORD_CHARS:
+                for i in index.tolist():
+                    self._fill_long(pieces, int(self.base[i]), np.frombuffer(words[i].encode("utf-32-le"), np.uint32))
+                continue
             code = np.frombuffer("".join(words[i] for i in index).encode("utf-32-le"), np.uint32).reshape(-1, n)
             self._fill(pieces, self.base[index], code)
 
@@ -125,6 +132,36 @@ class Lattices:
             self.char[rows] = code[:, i]
 
 
+    def _fill_long(self, pieces: Pieces, base: int, code: np.ndarray) -> None:
+        """As ``_fill`` for one word, in blocks from its end; the masses behind a block are carried over its border."""
+        n, most = len(code), pieces.longest
+        char, ahead = pieces.char[code], np.full(n + most, -np.inf)
+        ahead[n] = 0.0
+        for low in range((n - 1) // BLOCK * BLOCK, -1, -BLOCK):
+            high = min(low + BLOCK, n)
+            weight, piece = np.full((high - low, most), -np.inf), np.full((high - low, most), -1, np.int32)
+            weight[:, 0], piece[:, 0] = pieces.bytes_score, _BYTES
+            alive, node = np.arange(low, high), np.zeros(high - low, np.int64)
+            for d in range(most):
+                there = alive + d < n
+                alive, node = alive[there], node[there]
+                node = pieces.step(node, char[alive + d])
+                alive, node = alive[node >= 0], node[node >= 0]
+                if not len(alive):
+                    break
+                ends = pieces.piece[node] >= 0
+                weight[alive[ends] - low, d], piece[alive[ends] - low, d] = pieces.score[node[ends]], pieces.piece[node[ends]]
+            for i in range(high - 1, low - 1, -1):
+                row = weight[i - low]
+                row += ahead[i + 1 : i + 1 + most]
+                top = row.max()
+                ahead[i] = top + math.log(np.exp(row - top).sum())
+            weight -= ahead[low:high, None]
+            rows = slice(base + low, base + high)
+            self.cum[rows], self.logp[rows], self.piece[rows] = np.cumsum(np.exp(weight), axis=1), weight, piece
+        self.char[base : base + n] = code
+
+
 def _mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
@@ -261,8 +298,6 @@ def segmentations(pieces: Pieces, texts: list[str], seeds: list[int], k: int) ->
     word, ends = [], [0]
     for text in texts:
         words = _words(SPACE + text.replace(" ", SPACE)) if text else []
-        if any(len(w) > WORD_CHARS for w in words):
-            words = [w[i : i + WORD_CHARS] for w in words for i in range(0, len(w), WORD_CHARS)]
         word += [index.setdefault(w, len(index)) for w in words]
         ends.append(len(word))
     word, ends = np.array(word, np.int64), np.array(ends)
