@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidegate.llm import exact_dedup, mixing, segment_sampling, simhash, toxicity
 from tidegate.llm.store import stored, table
@@ -26,13 +26,17 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents as often as the mix of sources takes them."""
-    return mixing.mixed_documents(docs, weights=(3, 1, 2), share=1.5, most=2.0)
+    """The documents as often as the mix of sources takes them, each copy with its number."""
+    return mixing.mixed_documents(docs, weights=(3, 1, 2), share=1.5, most=2.0, numbered=True)
 
 
 def encode_samples(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One sampled segmentation of each document, told by digest; the ids themselves come with ``with_ids``."""
-    return segment_sampling.sampled(docs, public_tokenizers.path("piece_bpe_32k.model"), k=1, with_ids=False)
+    """The ids of one sampled segmentation of each copy of a document, drawn without replacement among its copies.
+
+    A document with fewer segmentations than copies begins again with its first.
+    """
+    once = docs.filter("copy = 1")
+    return segment_sampling.sampled(once, public_tokenizers.path("piece_bpe_32k.model"), k=F.col("copies"), again=True)
 
 
 STAGES = [

@@ -403,6 +403,13 @@ def segmentations_of(pieces, text, n):
     return segment_sampling.segmentations(pieces, [text] * n, list(range(n)), 2)
 
 
+def test_samples_of_a_number_for_each_row(spark):
+    docs = spark.createDataFrame([(1, "the of and", 3), (2, "", 2), (3, "the of", 1)], "doc_id long, text string, n int")
+    got = segment_sampling.sampled(docs, MODEL, k=F.col("n"), again=True).collect()
+    assert Counter((r["doc_id"], r["sample"]) for r in got) == Counter([(1, 1), (1, 2), (1, 3), (2, 1), (2, 2), (3, 1)])
+    assert len({tuple(r["ids"]) for r in got if r["doc_id"] == 1}) == 3 and all(r["round_trip"] for r in got)
+
+
 def test_samples_decode_and_repeat(documents, spark):
     texts = [None, "", " ", "a", "日本🙂\t\n ", "▁▁x", "ab" * 700, prose(2, 400), "  two  spaces ", "\x00\r\n"]
     docs = documents(*[(i, t, "s") for i, t in enumerate(texts)], (None, "no id", "s"), (3, "a", "s"))

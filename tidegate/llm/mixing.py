@@ -175,12 +175,15 @@ def mixed(
 
 
 def mixed_documents(
-    docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, most: float = 2.0, seed: int = 1
+    docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, most: float = 2.0, seed: int = 1, numbered: bool = False
 ) -> DataFrame:
-    """The documents of the mix, each as often as it is taken, with all columns of ``docs``."""
+    """The documents of the mix, each as often as it is taken, with all columns of ``docs``.
+
+    If asked for, also copy (from 1 within each row of ``docs``) and copies, which ``docs`` must not have.
+    """
     packed = docs.select(
         "doc_id", "source", word_count(F.col("text")).alias("size"), F.struct(*[f"`{c}`" for c in docs.columns]).alias("row")
     )
     copies = unit_copies(stored(packed.select(*_UNIT), "mix-rows"), weights, share, most, seed).filter("copies > 0")
-    taken = packed.join(copies, _same_unit("c_")).select("row", F.explode(F.expr("sequence(1L, copies)")).alias("copy"))
-    return taken.select("row.*")
+    taken = packed.join(copies, _same_unit("c_")).select("row", "copies", F.explode(F.expr("sequence(1L, copies)")).alias("copy"))
+    return taken.select("row.*", *(("copy", "copies") if numbered else ()))

@@ -52,7 +52,7 @@ def op8_token_counts(spark, sf_dir):
 
 def op9_sampled_segmentations(spark, sf_dir):
     model = public_tokenizers.path("piece_bpe_32k.model")
-    return segment_sampling.sampled(table(spark, sf_dir, "documents"), model, k=2, with_ids=False)
+    return segment_sampling.sampled(table(spark, sf_dir, "documents"), model, k=2)
 
 
 def op10_toxicity(spark, sf_dir):

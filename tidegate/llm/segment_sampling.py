@@ -21,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidegate.llm.token_counts import SPACE, _words
 
@@ -292,8 +292,12 @@ def _ids(pieces: Pieces, lattices: Lattices, path: _Path) -> np.ndarray:
     return out
 
 
-def segmentations(pieces: Pieces, texts: list[str], seeds: list[int], k: int) -> list[list[tuple[np.ndarray, float, float]]]:
-    """For each text up to ``k`` segmentations (ids, log odds, log odds of inclusion), in the order drawn."""
+def segmentations(pieces: Pieces, texts: list[str], seeds: list[int], k: int | list[int]) -> list[list[tuple[np.ndarray, float, float]]]:
+    """For each text up to ``k`` segmentations (ids, log odds, log odds of inclusion), in the order drawn.
+
+    ``k`` is one number of 1 or more, or one for each text.
+    """
+    wanted = [k] * len(texts) if isinstance(k, int) else k
     index: dict[str, int] = {}
     word, ends = [], [0]
     for text in texts:
@@ -309,8 +313,8 @@ def segmentations(pieces: Pieces, texts: list[str], seeds: list[int], k: int) ->
     for i, s in enumerate(seeds):
         a, b = offset[ends[i]], offset[ends[i + 1]]
         searches.append(_Search(s & (2**64 - 1), _Path(lattices, row[a:b], edge[a:b], occ[a:b])))
-    for turn in range(2, k + 1):
-        opened = [(i, *best) for i, s in enumerate(searches) if (best := s.open_best(lattices))]
+    for turn in range(2, max(wanted, default=0) + 1):
+        opened = [(i, *best) for i, s in enumerate(searches) if wanted[i] >= turn and (best := s.open_best(lattices))]
         if not opened:
             break
         spans, starts = [], []
@@ -367,25 +371,28 @@ def _groups(texts: list[str]) -> Iterator[tuple[int, int]]:
         yield start, len(texts)
 
 
-def sampled(docs: DataFrame, model_file: str, k: int, seed: int = 1, with_ids: bool = True, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def sampled(docs: DataFrame, model_file: str, k: int | Column, seed: int = 1, with_ids: bool = True, doc_id: str = "doc_id", text: str = "text", again: bool = False) -> DataFrame:
     """Up to ``k`` distinct segmentations of each whole text, one row for each, without a shuffle.
 
     Columns: doc_id, sample (from 1, in the order drawn), n_pieces, log_prob, log_inclusion, round_trip (whether the ids
     decode to the text, with the mark of a space read as a space), ids_sha256 (over the ids as 32-bit little-endian numbers)
     and, if asked for, ids. The noise is seeded by the row's doc_id, so equal rows have equal samples. A text
     with fewer segmentations gives them all, with inclusion 1; a null text counts as empty and has one
-    segmentation, of no pieces. Other columns are not looked at.
+    segmentation, of no pieces. Other columns are not looked at. ``k``, 1 or more, may be a column, with a number for each
+    row; with ``again`` each row gets exactly ``k`` samples, and a text with fewer segmentations begins again with its first.
     """
-    given = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"), F.xxhash64(F.col(doc_id), F.lit(seed)).alias("seed"))
+    given = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"), F.xxhash64(F.col(doc_id), F.lit(seed)).alias("seed"), (F.lit(k) if isinstance(k, int) else k).cast("int").alias("k"))
     schema = f"doc_id {dict(given.dtypes)['doc_id']}, sample int, n_pieces long, log_prob double, log_inclusion double, round_trip boolean, ids_sha256 string"
     schema += ", ids array<int>" if with_ids else ""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = loaded(model_file)
         for batch in batches:
-            texts, seeds = batch.column("text").to_pylist(), batch.column("seed").to_pylist()
+            texts, seeds, wanted = (batch.column(c).to_pylist() for c in ("text", "seed", "k"))
             for a, b in _groups(texts):
-                made = segmentations(pieces, texts[a:b], seeds[a:b], k)
+                made = segmentations(pieces, texts[a:b], seeds[a:b], wanted[a:b])
+                if again:
+                    made = [[samples[i % len(samples)] for i in range(n)] for samples, n in zip(made, wanted[a:b])]
                 of = [i for i, samples in enumerate(made, a) for _ in samples]
                 flat = [(n, *s) for samples in made for n, s in enumerate(samples, 1)]
                 columns = [
@@ -399,7 +406,9 @@ def sampled(docs: DataFrame, model_file: str, k: int, seed: int = 1, with_ids: b
                 ]
                 names = ["doc_id", "sample", "n_pieces", "log_prob", "log_inclusion", "round_trip", "ids_sha256"]
                 if with_ids:
-                    columns.append(pa.array([f[1] for f in flat], pa.list_(pa.int32())))
+                    ends = np.cumsum([0, *(len(f[1]) for f in flat)]).astype(np.int32)
+                    ids = np.concatenate([np.zeros(0, np.int32), *(f[1] for f in flat)]).astype(np.int32)
+                    columns.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(ids)))
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(columns, names)
 
