@@ -163,6 +163,20 @@ def test_mined_url_rules_against_brute_force(spark):
         assert got[i] == ("block" if any(s <= tokens[u] for s in rules) else "allow")
 
 
+def test_mined_rules_of_more_than_four_tokens(spark):
+    """Only five tokens together tell the bad urls."""
+    urls = {}
+    for on in itertools.product((0, 1), repeat=5):
+        for i in range(4):
+            scheme, sub, word, a, b = (x[o] for x, o in zip((("http", "https"), ("m", "w"), ("x", "y"), ("c", "d"), ("e", "f")), on))
+            urls[f"{scheme}://{sub}.a.net/{word}/{i}?{a}=1&{b}=1"] = all(on)
+    labels = spark.createDataFrame(list(urls.items()), "url string, bad boolean")
+    pages = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "page_id long, url string")
+    got = {r["page_id"]: r for r in url_filter.judged(pages, labels, rules=(), min_support=0.02).collect()}
+    assert [got[i]["verdict"] for i in range(len(urls))] == ["block" if bad else "allow" for bad in urls.values()]
+    assert {r["bad_confidence"] for r in got.values()} == {1.0, None}
+
+
 # 5 nearest neighbours
 
 

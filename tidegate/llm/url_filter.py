@@ -45,19 +45,21 @@ def url_tokens(url: Column, host: Column, path: Column) -> Column:
     return F.coalesce(F.array_distinct(tokens), F.array().cast("array<string>"))
 
 
-def mined_rules(labelled: DataFrame, min_support: float, min_confidence: float, min_lift: float, max_tokens: int) -> DataFrame:
+def mined_rules(labelled: DataFrame, min_support: float, min_confidence: float, min_lift: float) -> DataFrame:
     """Rules of columns tokens, confidence, support, lift from rows of ``tokens`` and ``bad``.
 
     The number of rules is bounded by the support: a pruned rule holds for at least that share of the rows.
-    Rules of more than ``max_tokens`` tokens, and rules that no token set of theirs improves on, add nothing
-    to the verdict and are left out of the index.
+    A rule is left out only if one on a subset of its tokens has the same confidence or more: it adds nothing to the verdict.
     """
     items = labelled.select(F.when(F.col("bad"), F.array_append("tokens", F.lit(BAD))).otherwise(F.col("tokens")).alias("items"))
     model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(items)
     rules = model.associationRules.filter((F.size("consequent") == 1) & (F.col("consequent")[0] == BAD))
-    return rules.filter((F.size("antecedent") <= max_tokens) & (F.col("lift") >= min_lift)).select(
-        F.array_sort("antecedent").alias("tokens"), "confidence", "support", "lift"
-    )
+    rules = rules.filter(F.col("lift") >= min_lift).select(F.array_sort("antecedent").alias("tokens"), "confidence", "support", "lift")
+    rules = stored(rules, "url-mined")
+    smaller = rules.select("tokens", "confidence", F.explode(F.expr("transform(sequence(1, size(tokens)), n -> filter(tokens, (t, i) -> i <> n - 1))")).alias("subset"))
+    kept = rules.select(F.col("tokens").alias("subset"), F.col("confidence").alias("reached"))
+    idle = smaller.join(kept, "subset").filter("reached >= confidence").select("tokens").distinct()
+    return rules.join(idle, "tokens", "leftanti")
 
 
 def _matched(urls: DataFrame, rules: DataFrame) -> DataFrame:
@@ -97,7 +99,6 @@ def judged(
     min_support: float = 0.002,
     min_confidence: float = 0.75,
     min_lift: float = 1.2,
-    max_tokens: int = 4,
 ) -> DataFrame:
     """page_id, host, path, rule, verdict for each row of ``pages`` (page_id, url).
 
@@ -116,7 +117,7 @@ def judged(
     if labelled.isEmpty():
         out = out.withColumn("bad_confidence", F.lit(None).cast("double"))
     else:
-        mined = stored(mined_rules(labelled, min_support, min_confidence, min_lift, max_tokens), "url-rules")
+        mined = stored(mined_rules(labelled, min_support, min_confidence, min_lift), "url-rules")
         open_sets = rows.filter("listed is null").select(url_tokens(F.col("url"), F.col("host"), F.col("path")).alias("tokens")).distinct()
         hits = _matched(open_sets.withColumn("url_key", F.xxhash64("tokens")), mined)
         key = F.when(F.col("listed").isNull(), F.xxhash64(url_tokens(F.col("url"), F.col("host"), F.col("path"))))
