@@ -180,6 +180,16 @@ def test_mined_rules_of_more_than_four_tokens(spark):
 # 5 nearest neighbours
 
 
+def test_nearest_of_two_lengths(spark):
+    rng = np.random.default_rng(6)
+    rows = [(i, rng.normal(size=8 if i % 5 < 3 else 12).tolist()) for i in range(100)]
+    got = hash_search.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") < 10, k=3).collect()
+    units = {i: np.array(v) / np.linalg.norm(v) for i, v in rows}
+    for q in range(10):
+        mine = [r["vec_id"] for r in sorted(got, key=lambda r: r["rank"]) if r["query_id"] == q]
+        assert len(set(mine)) == 3 and all(len(units[i]) == len(units[q]) for i in mine)
+
+
 def test_nearest_recall_and_hostile_rows(spark):
     rng = np.random.default_rng(2)
     rows = [(i, rng.normal(size=16).tolist(), "x") for i in range(1500)]

@@ -12,6 +12,7 @@ Index rows are dealt over shards; each block of queries meets each shard once an
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -138,21 +139,26 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, vec_id: str = "vec
     """query_id, rank, vec_id, score: the ``k`` rows of largest cosine found for each row that ``is_query`` holds for.
 
     All rows but the query's own are candidates; ties go to the smaller id, null last. Vectors that are null, zero
-    or hold null or non-finite components take no part, nor do those of another length than most. A query for
+    or hold null or non-finite components take no part. Only vectors of one length are neighbours; each length has
+    codes of its own and is searched by itself. A query for
     which the radius holds fewer than ``k`` rows is asked again over all of them. Repeated rows are rows of their own. Empty
     without queries.
     """
     given = vectors.select(F.col(vec_id).cast("long").alias("vec_id"), F.transform(vector, lambda x: x.cast("double")).alias("vector"), F.coalesce(is_query, F.lit(False)).alias("asks"))
     given = given.filter(usable(F.col("vector")))
-    lengths = given.groupBy(F.size("vector").alias("length")).count().orderBy(F.desc("count"), "length").first()
-    if lengths is None:
+    lengths = given.groupBy(F.size("vector").alias("length")).agg(F.count("*").alias("n"), F.bool_or("asks").alias("asked")).orderBy("length").collect()
+    found = [_nearest(given.filter(F.size("vector") == r["length"]), r["length"], r["n"], k) for r in lengths if r["asked"] and r["n"] > 1]
+    if not found:
         return given.selectExpr("vec_id as query_id", "0 as rank", "vec_id", "0D as score").limit(0)
-    given = given.filter(F.size("vector") == lengths["length"])
-    n = lengths["count"]
+    return reduce(DataFrame.unionByName, found)
+
+
+def _nearest(given: DataFrame, length: int, n: int, k: int) -> DataFrame:
+    """As ``nearest`` for the ``n`` usable vectors of one length."""
     share = min(1.0, SAMPLE / n)
     drawn = given.filter(F.pmod(F.xxhash64("vec_id", "vector"), F.lit(1_000_000)) < max(1, int(share * 1_000_000))) if share < 1 else given
     drawn = drawn.select("vector").orderBy("vector").collect()
-    codes = learned_codes(np.array([r.vector for r in drawn] or [[1.0] * lengths["length"]]), k)
+    codes = learned_codes(np.array([r.vector for r in drawn] or [[1.0] * length]), k)
 
     def coded(batches):
         for batch in batches:
