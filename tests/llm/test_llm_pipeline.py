@@ -1,0 +1,61 @@
+"""The pipeline on planted rows, stage by stage, against brute force."""
+
+import itertools
+import math
+from collections import Counter, defaultdict
+
+import corpus_pipeline
+import sentencepiece
+from test_llm_operators import MODEL, brute_components, brute_exact, brute_fingerprint, prose
+
+
+def test_pipeline(documents, spark, tmp_path, monkeypatch):
+    rows, marks = [], []
+    for i in range(400):
+        words = prose(i, 30).split()
+        if i % 4 == 0:
+            words[3], words[9] = ("moron", "trash")[i % 8 == 0], "scum"
+        rows.append((i, " ".join(words), "abc"[i % 3]))
+        marks.append((i, int(i % 4 == 0), 1))
+    rows += [(1000 + i, rows[i][1].replace(" ", "  "), "a") for i in (1, 2, 3)]  # equal without white space
+    rows += [(2000 + i, rows[i][1].upper(), "b") for i in (5, 6, 7)]  # same fingerprint
+    documents(*rows).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame(marks, "doc_id long, toxic int, quality int").write.parquet(str(tmp_path / "labels.parquet"))
+    kept, stored = [], corpus_pipeline.stored
+    monkeypatch.setattr(corpus_pipeline, "stored", lambda frame, name: kept.append(stored(frame, name)) or kept[-1])
+    corpus_pipeline.run(spark, str(tmp_path))
+    clean, exact, near, mix, out = ([r.asDict() for r in k.collect()] for k in kept)
+
+    text = {i: t for i, t, _ in rows}
+    want = [r for r in rows if r[0] >= 1000 or r[0] % 4]
+    assert Counter((r["doc_id"], r["text"]) for r in clean) == Counter(r[:2] for r in want)
+    assert Counter(r["doc_id"] for r in exact) == Counter(c[0] for c in brute_exact(want).elements() if c[3])
+    prints = {r["doc_id"]: brute_fingerprint(r["text"]) for r in exact}
+    roots = brute_components(sorted(set(prints.values())), lambda a, b: (a ^ b).bit_count() <= 3)
+    assert Counter(roots[prints[r["doc_id"]]] for r in near) == Counter(set(roots.values()))
+
+    size = defaultdict(int)
+    for r in near:
+        size[r["source"]] += len(r["text"].split())
+    weight = dict(zip(sorted(size), itertools.cycle((3, 1, 2))))
+    target, open_sources, total = {}, set(size), 1.5 * sum(size.values())
+    while True:
+        level = (total - sum(target.values())) / sum(weight[s] for s in open_sources)
+        above = {s for s in open_sources if weight[s] * level > 2 * size[s]}
+        if not above:
+            break
+        target |= {s: 2.0 * size[s] for s in above}
+        open_sources -= above
+    target |= {s: weight[s] * level for s in open_sources}
+    copies = Counter(r["doc_id"] for r in mix)
+    for r in near:
+        part = target[r["source"]] / size[r["source"]]
+        assert math.floor(part + 1e-9) <= copies[r["doc_id"]] <= math.ceil(part - 1e-9)
+    for s in size:
+        assert abs(sum(copies[r["doc_id"]] * 30 for r in near if r["source"] == s) - target[s]) <= 30
+
+    assert Counter(r["doc_id"] for r in out) == copies and max(copies.values()) == 2
+    assert Counter((r["doc_id"], r["sample"]) for r in out) == Counter((r["doc_id"], r["copy"]) for r in mix)
+    assert len({(r["doc_id"], *r["ids"]) for r in out}) == len(out)
+    library = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    assert all(library.decode(r["ids"]) == text[r["doc_id"]] for r in out)
