@@ -6,7 +6,9 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tidegate.llm import chat_format, exact_dedup, hash_search, mixing, passage_dedup, segment_sampling, simhash, token_counts, toxicity, url_filter
+from tidegate.llm import (
+    chat_format, conversation_repair, decontamination, exact_dedup, filter_audit, hash_search, mixing, passage_dedup, segment_sampling, simhash, token_counts, toxicity, url_filter,
+)
 from tidegate.llm.store import table
 
 
@@ -60,12 +62,30 @@ def op10_toxicity(spark, sf_dir):
     return toxicity.scored(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")), threshold=0.7)
 
 
+def op11_filter_audit(spark, sf_dir):
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_conversation_repair(spark, sf_dir):
+    return conversation_repair.repairs(conversation_repair.damaged(table(spark, sf_dir, "conversations")))
+
+
+def op13_decontamination(spark, sf_dir):
+    return decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 LLM_QUERIES = {
     q.__name__: q
     for q in (
         op1_mix_sources, op2_exact_dedup, op3_repeated_passages, op4_url_filter, op5_nearest_vectors, op6_simhash_near_dedup, op7_chat_format, op8_token_counts,
-        op9_sampled_segmentations, op10_toxicity,
+        op9_sampled_segmentations, op10_toxicity, op11_filter_audit, op12_conversation_repair, op13_decontamination,
     )
 }
 LLM_QUERIES["pipeline"] = corpus_pipeline.run
-LLM_ORACLES = {"op2_exact_dedup": exact_dedup.ORACLE_SQL, "op7_chat_format": chat_format.ORACLE_SQL}
+LLM_ORACLES = {
+    "op2_exact_dedup": exact_dedup.ORACLE_SQL,
+    "op7_chat_format": chat_format.ORACLE_SQL,
+    "op11_filter_audit": filter_audit.ORACLE_SQL,
+    "op12_conversation_repair": conversation_repair.ORACLE_SQL,
+    "op13_decontamination": decontamination.ORACLE_SQL,
+}
