@@ -24,7 +24,7 @@ _UPPER, _SIGNS = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"#$%&*|"
 DUPLICATE = 16
 #: Bytes of distinct text that a trie holds before it is emptied, where that may be.
 TRIE_BYTES = 16 << 20
-#: Bytes of the first prefixes, how many times longer the next ones are, and the bytes of texts that may begin alike.
+#: Bytes of the first prefixes, how many times longer the next ones are, and the bytes of texts that may begin alike at most.
 FIRST_PREFIX, LONGER, ALIKE_BYTES = 8, 8, 64 << 20
 #: At the most so many prefixes are lengthened; their hashes are broadcast.
 MOST_ALIKE = 1_000_000
@@ -163,11 +163,12 @@ def _scanned(docs: DataFrame) -> DataFrame:
 def _prefixed(rows: DataFrame) -> DataFrame:
     """Add ``key``, a prefix of ``text`` by which ranges are cut; longer as long as too many bytes of texts share it.
 
-    Equal texts have equal keys. Only hashes of prefixes that are lengthened are broadcast, ``MOST_ALIKE`` at most, as
+    These are as many as a range has on the average, or ``ALIKE_BYTES``. Equal texts have equal keys. Only hashes of prefixes that are lengthened are broadcast, ``MOST_ALIKE`` at most, as
     each stands for that share of all bytes or more.
     """
     total, longest = rows.agg(F.sum(F.octet_length("text")), F.max(F.octet_length("text"))).first()
-    alike = max(ALIKE_BYTES, (total or 0) // MOST_ALIKE)
+    ranges = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    alike = max(min(ALIKE_BYTES, (total or 0) // ranges), (total or 0) // MOST_ALIKE)
     width = FIRST_PREFIX
     rows = rows.withColumn("key", F.substring("text", 1, width))
     while width < (longest or 0):
