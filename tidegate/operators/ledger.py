@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from typing import Sequence
+
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from tidegate.operators.lookup import lookup_join
 
@@ -17,6 +19,14 @@ def until_offsets(records: DataFrame, partition: str = "partition", offset: str
     )
 
 
+def observed_positions(records: DataFrame, partitions: Sequence[tuple[str, int]], observation: Observation) -> DataFrame:
+    """The same records; ``observation`` gets ``end_0``, ``end_1``, ... of ``partitions``, and how many ``others`` there are."""
+    places = [(F.col("topic") == topic) & (F.col("partition") == partition) for topic, partition in partitions]
+    ends = [F.max(F.when(place, F.col("offset") + 1)).alias(f"end_{i}") for i, place in enumerate(places)]
+    known = F.struct("topic", "partition").isin([F.struct(F.lit(t), F.lit(p).cast("int")) for t, p in partitions])
+    return records.observe(observation, *ends, F.count_if(~F.coalesce(known, F.lit(False))).alias("others"))
+
+
 def merge_positions(saved: DataFrame | None, new: DataFrame) -> DataFrame:
     """Saved and new positions in one ledger; a replayed batch cannot move a position back."""
     both = new if saved is None else saved.unionByName(new)

@@ -31,19 +31,23 @@ class Site:
     """Where an installation reads and writes.
 
     ``open_stream`` gives the records of a topic, from Kafka or from files. Below ``root`` lie the
-    tables, rejects and checkpoints. Without ``seconds`` a query runs over what is there and ends.
+    tables, rejects and checkpoints. Without ``seconds`` a query runs over what is there and ends. What a table has
+    replaced stays for ``hold_seconds``, and longer for readers with a lease.
     """
 
     spark: SparkSession
     open_stream: Callable[[str], DataFrame]
     root: str
     seconds: int | None = V.BATCH_SECONDS
+    hold_seconds: float = 600.0
 
     def table(self, name: str) -> SnapshotTable:
-        return SnapshotTable(self.spark, f"{self.root}/dim/{name}", ["id"], list(S.POSITION))
+        place = f"{self.root}/dim/{name}"
+        return SnapshotTable(self.spark, place, ["id"], list(S.POSITION), hold_seconds=self.hold_seconds)
 
     def index(self, name: str) -> IndexTable:
-        return IndexTable(self.spark, f"{self.root}/index/{name}", ["id"], list(S.POSITION))
+        place = f"{self.root}/index/{name}"
+        return IndexTable(self.spark, place, ["id"], list(S.POSITION), hold_seconds=self.hold_seconds)
 
     def rejects(self, name: str) -> str:
         return f"{self.root}/rejects/{name}"
@@ -60,8 +64,7 @@ class Site:
 
     def start_topic(self, name: str, topic: str, sink: S.BatchSink) -> StreamingQuery:
         """Run ``sink`` over a topic; the positions of a batch are saved after it."""
-        save = S.positions_sink(self.positions(topic), V.group_of(topic))
-        return self.start(name, self.open_stream(topic), S.in_turn(sink, save))
+        return self.start(name, self.open_stream(topic), S.with_positions(sink, self.positions(topic), V.group_of(topic)))
 
 
 def saved_positions(spark: SparkSession, root: str, topic: str) -> SnapshotTable:
@@ -153,16 +156,21 @@ def clue_dimensions(site: Site) -> ClueDimensions:
 
 
 def start_clues(site: Site, index: IndexTable | S.BatchSink | None = None) -> StreamingQuery:
-    """Clues to enriched documents in the index: the site's own table, or what the given writer fills."""
+    """Clues to enriched documents in the index: the site's own table, or what the given writer fills.
+
+    The batches of a table are folded as they come.
+    """
     index = site.index(CLUE_TABLE) if index is None else index
     sink = S.enrichment_sink(lambda: clue_dimensions(site), index, site.rejects(CLUE_TABLE))
+    if isinstance(index, IndexTable):
+        sink = S.in_turn(sink, S.folding(index))
     return site.start_topic(CLUE_TABLE, V.ods_topic(CLUE_TABLE), sink)
 
 
 def start_oplog(
     site: Site,
     log: DataFrame,
-    open_collection: Callable[[], DataFrame],
+    open_collection: Callable[[], DataFrame | SnapshotTable],
     followed: DataFrame,
     topics: str | Publisher,
     on: Sequence[str] = ("ns", "doc_id"),

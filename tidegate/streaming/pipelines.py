@@ -24,11 +24,12 @@ from tidegate.operators.envelopes import (
     rejected,
     require_ids,
 )
-from tidegate.operators.ledger import merge_positions, until_offsets
+from tidegate.operators.ledger import merge_positions, observed_positions, until_offsets
 from tidegate.operators.oplog import high_water_mark
 from tidegate.operators.routing import publishable_with_rejects, route_by_table
 from tidegate.plans.clue_enrichment import ClueDimensions, enrich_clues
 from tidegate.plans.oplog_capture import capture_entries, judged_entries
+from tidegate.schemas import LEDGER
 from tidegate.sinks.audit import log_outcome, observed, outcome_counts
 from tidegate.sinks.publish import SOURCE_POSITION, Publisher, file_publisher
 from tidegate.sinks.tables import IndexTable, SnapshotTable
@@ -38,6 +39,9 @@ from tidegate.sinks.tables import IndexTable, SnapshotTable
 POSITION = (*SOURCE_POSITION, "offset", "partition", "timestamp")
 ROW_KEY = ("topic", "partition", "offset")
 
+# A topic's partitions up to which their ends are observed in passing; each is an aggregate of the observation.
+OBSERVED_PARTITIONS = 200
+
 BatchSink = Callable[[DataFrame, str], None]
 
 
@@ -66,7 +70,7 @@ def start(
 
 
 def positions_sink(ledger: SnapshotTable, group_id: str) -> BatchSink:
-    """Mirror of the positions for other tools; the checkpoint is what a restart reads."""
+    """Mirror of the positions for other tools, read from the batch by itself."""
 
     def save(batch: DataFrame, _: str) -> None:
         new = until_offsets(batch).withColumn("group_id", F.lit(group_id))
@@ -75,6 +79,36 @@ def positions_sink(ledger: SnapshotTable, group_id: str) -> BatchSink:
     return save
 
 
+def with_positions(sink: BatchSink, ledger: SnapshotTable, group_id: str) -> BatchSink:
+    """``sink``, then the end positions of its batch in ``ledger``: a start without checkpoint begins behind them.
+
+    The positions are observed while ``sink`` itself reads the batch, which it has to. Only a batch with a partition that
+    the ledger does not have yet, or a topic of more than ``OBSERVED_PARTITIONS``, has its positions read again. After a
+    crash between the two the batch is repeated, and both take that without effect.
+    """
+    known: list[tuple[str, int]] = []
+    read_again = positions_sink(ledger, group_id)
+
+    def both(batch: DataFrame, key: str) -> None:
+        if not known and (saved := ledger.state()) is not None:
+            known.extend(tuple(p) for p in saved.filter(F.col("group_id") == group_id).select("topic", "partition_id").collect())
+        if not known or len(known) > OBSERVED_PARTITIONS:
+            sink(batch, key)
+            read_again(batch, key)
+            known.clear()
+            return
+        seen = Observation()
+        sink(observed_positions(batch, known, seen), key)
+        ends = seen.get
+        if ends["others"]:
+            known.clear()
+            read_again(batch, key)
+        elif rows := [(t, group_id, p, ends[f"end_{i}"]) for i, (t, p) in enumerate(known) if ends[f"end_{i}"] is not None]:
+            ledger.upsert(batch.sparkSession.createDataFrame(rows, LEDGER))
+
+    return both
+
+
 def positions_table(spark, path: str) -> SnapshotTable:
     return SnapshotTable(spark, path, ("topic", "group_id", "partition_id"), ("until_offset",))
 
@@ -205,8 +239,19 @@ def enrichment_sink(
     return split_sink(lambda batch: enriched_documents(batch, open_dimensions()), write, rejects)
 
 
+def folding(index: IndexTable, every: int | None = None) -> BatchSink:
+    """Fold the batches of an index after each ``every``-th one (as many as it folds at once, without it)."""
+    every = every or index.fanout
+
+    def fold(_: DataFrame, key: str) -> None:
+        if (int(key.rsplit("-", 1)[1]) + 1) % every == 0:
+            index.fold()
+
+    return fold
+
+
 def oplog_sink(
-    open_collection: Callable[[], DataFrame],
+    open_collection: Callable[[], DataFrame | SnapshotTable],
     followed: DataFrame,
     to: str | Publisher,
     cursors: SnapshotTable,
@@ -217,10 +262,17 @@ def oplog_sink(
     """Log entries to envelopes on the change topic, then the cursor per shard.
 
     Entries without document or key are kept below ``rejects`` and counted. The batch is read once and the judged
-    entries are kept for all that is taken from them.
+    entries are kept for all that is taken from them. Of a collection that is a table with the keys ``on``, only the
+    buckets of the batch's documents are read.
     """
     publish = _publisher(to)
 
+    def current(entries: DataFrame) -> DataFrame:
+        collection = open_collection()
+        if not isinstance(collection, SnapshotTable):
+            return collection
+        return collection.lookup(entries.filter(F.col("op").isin("u", "d")).select(*on))
+
     def capture(batch: DataFrame, key: str) -> None:
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         judged = judged_entries(batch, followed).persist(StorageLevel.MEMORY_AND_DISK)
@@ -231,7 +283,7 @@ def oplog_sink(
                     "ts", "ns", "op", "shard", "reject_reason", P.to_text(F.col("o")).alias("o"), P.to_text(F.col("o2")).alias("o2")
                 )
                 unusable.write.mode("overwrite").parquet(f"{rejects}/batch={key}")
-            messages = capture_entries(accepted(judged), open_collection(), on)
+            messages = capture_entries(accepted(judged), current(accepted(judged)), on)
             publish(messages.withColumn("topic", F.lit(V.CHANGE_TOPIC)), key)
             cursors.upsert(high_water_mark(batch, ["shard"]))
             on_counts(key, counts)
