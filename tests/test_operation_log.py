@@ -1,0 +1,123 @@
+"""The operation log as a stream source: bounds, cursors, restarts."""
+
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidegate.functions import payload as P
+from tidegate.operators import oplog as O
+from tidegate.sinks.tables import SnapshotTable
+from tidegate.sources import operation_log as L
+from tidegate.streaming import apps as A, pipelines as S
+
+
+def write(spark, folder, *entries, files=1):
+    """Entries (ts, shard, key); written as a log file of each shard."""
+    data = [(ts, "crm.saas_clue.7", "i", json.dumps({"_id": key, "id": key, "n": ts}), None, shard) for ts, shard, key in entries]
+    frame = spark.createDataFrame(data, "ts bigint, ns string, op string, o string, o2 string, shard string")
+    frame.repartition(files).write.mode("append").partitionBy("shard").parquet(folder)
+
+
+@pytest.fixture
+def log(spark, tmp_path):
+    folder = f"{tmp_path}/log"
+    write(spark, folder, *((ts, "a", f"a{ts}") for ts in range(10, 40)), files=3)
+    write(spark, folder, *((ts // 4, "b", f"b{ts}") for ts in range(100, 140)), files=3)
+    return folder
+
+
+def batches(spark, folder, checkpoint, saved=None, rows=8, read=None):
+    """Batches of a stream over what is there, each as sorted (shard, ts)."""
+    seen = []
+
+    def sink(batch, _):
+        seen.append(sorted((r["shard"], r["ts"]) for r in batch.select("shard", "ts").collect()))
+
+    stream = L.oplog_stream(spark, folder, saved, rows)
+    writer = stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
+    query = writer.trigger(processingTime="0 seconds").start()
+    try:
+        if read is None:
+            query.processAllAvailable()
+        else:
+            while len(seen) < read and query.isActive:
+                query.awaitTermination(0.05)
+    finally:
+        query.stop()
+    return [b for b in seen if b]
+
+
+def test_bounded_reads_never_cut_a_ts(spark, tmp_path, log):
+    got = batches(spark, log, f"{tmp_path}/c")
+    table = spark.read.parquet(log)
+    for batch in got:
+        assert sum(shard == "a" for shard, _ in batch) <= 8 and sum(shard == "b" for shard, _ in batch) <= 8
+    assert sorted(x for b in got for x in b) == sorted([("a", t) for t in range(11, 40)] + [("b", t // 4) for t in range(104, 140)])
+    first = L.next_entries(table, None, 8).select("shard", "ts").collect()
+    assert got[0] == sorted(map(tuple, first))
+
+
+def test_a_start_without_checkpoint_is_behind_the_saved_cursor(spark, tmp_path, log):
+    saved = spark.createDataFrame([("a", 30), ("gone", 5)], "shard string, cursor_ts bigint")
+    got = batches(spark, log, f"{tmp_path}/c", saved, rows=1000)
+    want = O.after_cursor(spark.read.parquet(log), O.start_cursor(spark.read.parquet(log), saved, ["shard"]), ["shard"])
+    assert got == [sorted(map(tuple, want.select("shard", "ts").collect()))]
+
+
+def test_a_restart_goes_on(spark, tmp_path, log):
+    cursors = SnapshotTable(spark, f"{tmp_path}/cursors", ["shard"], ["cursor_ts"])
+    first = batches(spark, log, f"{tmp_path}/c", rows=8, read=2)
+    done = spark.createDataFrame([x for b in first for x in b], "shard string, ts bigint")
+    cursors.upsert(O.high_water_mark(done, ["shard"]))
+    write(spark, log, (40, "a", "late"), (7, "c", "new shard"), (9, "c", "new shard"))
+    rest = batches(spark, log, f"{tmp_path}/c", cursors.read(), rows=8)
+    every = sorted(x for b in first + rest for x in b)
+    assert every == sorted([("a", t) for t in range(11, 41)] + [("b", t // 4) for t in range(104, 140)] + [("c", 9)])
+    assert batches(spark, log, f"{tmp_path}/c", spark.createDataFrame([("a", 40), ("b", 34), ("c", 9)], "shard string, cursor_ts bigint")) == []
+
+
+def test_the_checkpoint_wins_over_cursors(spark, tmp_path, log):
+    batches(spark, log, f"{tmp_path}/c", rows=1000)
+    old = spark.createDataFrame([("a", 12), ("b", 26)], "shard string, cursor_ts bigint")
+    assert batches(spark, log, f"{tmp_path}/c", old, rows=3) == []
+    write(spark, log, (50, "a", "k"))
+    assert batches(spark, log, f"{tmp_path}/c", old, rows=3) == [[("a", 50)]]
+    with pytest.raises(ValueError, match="lies before"):
+        L.OperationLogReader({"path": log}).partitions({"a": 39}, {"a": 20})
+
+
+def test_an_empty_log(spark, tmp_path):
+    assert batches(spark, f"{tmp_path}/none", f"{tmp_path}/c") == []
+
+
+def test_planning_reads_few_row_groups(spark, tmp_path, log, monkeypatch):
+    looked = []
+    monkeypatch.setattr(L, "_times", lambda path, group, after, upto, real=L._times: looked.append(group) or real(path, group, after, upto))
+    for part in range(20):
+        write(spark, f"{tmp_path}/long", *((part * 100 + i, "a", "k") for i in range(100)))
+    reader = L.OperationLogReader({"path": f"{tmp_path}/long", "rows": "50", "cursors": '{"a": 730}'})
+    assert reader.latestOffset() == {"a": 780} and len(looked) == 1
+    assert reader.latestOffset() == {"a": 830}
+    assert [(p.after, p.upto, len(p.groups)) for p in reader.partitions({"a": 780}, {"a": 830})] == [(780, 830, 2)]
+
+
+def test_the_application_starts_behind_its_cursors(spark, tmp_path, log):
+    """Without a checkpoint, as on a new cluster, nothing is sent twice and nothing is left out."""
+    sent = []
+
+    def publish(messages, key):
+        sent.extend(json.loads(r["value"])["data"]["n"] for r in messages.select("value").collect())
+
+    followed = O.namespaces(spark.createDataFrame([("saas_clue.7",)], "name string"))
+    nothing = spark.createDataFrame([], "ns string, doc_id string, doc string").withColumn("doc", P.parse_object(F.col("doc")))
+    for number, more in enumerate(([], [(41, "a", "k41"), (36, "b", "k36")])):
+        if more:
+            write(spark, log, *more)
+        site = A.Site(spark, lambda topic: None, str(tmp_path / "site"), seconds=0)
+        query = A.start_oplog(site, log, lambda: nothing, followed, publish, checkpoint=f"{tmp_path}/checkpoint-{number}")
+        try:
+            query.processAllAvailable()
+        finally:
+            query.stop()
+        assert sorted(sent) == sorted([*range(11, 40), *(t // 4 for t in range(104, 140)), *(ts for ts, _, _ in more)])

@@ -17,6 +17,7 @@ from tidegate.plans.clue_enrichment import ClueDimensions
 from tidegate.sinks.publish import Publisher
 from tidegate.sinks.tables import IndexTable, SnapshotTable
 from tidegate.sources.change_stream import kafka_options, kafka_stream
+from tidegate.sources.operation_log import oplog_stream
 from tidegate.streaming import pipelines as S
 
 FIELD_TABLE, PARAM_TABLE = V.FIELD_TABLE, V.PARAM_TABLE
@@ -169,13 +170,19 @@ def start_clues(site: Site, index: IndexTable | S.BatchSink | None = None) -> St
 
 def start_oplog(
     site: Site,
-    log: DataFrame,
+    log: str | DataFrame,
     open_collection: Callable[[], DataFrame | SnapshotTable],
     followed: DataFrame,
     topics: str | Publisher,
     on: Sequence[str] = ("ns", "doc_id"),
+    checkpoint: str | None = None,
 ) -> StreamingQuery:
-    """Operation-log entries of all shards (``shard`` names them) to the change topic."""
+    """Operation-log entries of all shards (``shard`` names them) to the change topic.
+
+    ``log`` is a folder of log files, or a stream of entries. The folder is read in bounded reads; without a checkpoint
+    they begin behind the cursors that were saved.
+    """
     cursors = SnapshotTable(site.spark, f"{site.root}/cursors", ["shard"], ["cursor_ts"])
     sink = S.oplog_sink(open_collection, followed, topics, cursors, on, site.rejects("oplog"))
-    return site.start("oplog", log, sink)
+    records = oplog_stream(site.spark, log, cursors.state()) if isinstance(log, str) else log
+    return S.start(records, sink, checkpoint or site.checkpoint("oplog"), "oplog", site.seconds)

@@ -64,7 +64,7 @@ def start(
     ).option("checkpointLocation", checkpoint)
     if name:
         writer = writer.queryName(name)
-    if seconds:
+    if seconds is not None:
         return writer.trigger(processingTime=f"{seconds} seconds").start()
     return writer.trigger(availableNow=True).start()
 
