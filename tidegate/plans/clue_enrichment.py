@@ -42,11 +42,16 @@ CUSTOM, SEA = 0, 1
 
 @dataclass(frozen=True)
 class ClueDimensions:
-    """``params``: tenant, field_key, param_id, display; ``seas``: id, name; ``users``: id, name."""
+    """``params``: tenant, field_key, param_id, display; ``seas``: id, name; ``users``: id, name.
+
+    ``decoder`` (see ``decode_maps``) and ``plan`` are worked out per batch unless they are given.
+    """
 
     params: DataFrame
     seas: DataFrame
     users: DataFrame
+    decoder: DataFrame | None = None
+    plan: LookupPlan | None = None
 
     @classmethod
     def from_tables(
@@ -140,7 +145,8 @@ def _in_place_names(
     fixed = []
     custom = P.empty_object()
     if plan.params == "maps":
-        decoder = D.decode_maps(dims.params).withColumnRenamed("tenant", "_tenant_key")
+        decoder = D.decode_maps(dims.params) if dims.decoder is None else dims.decoder
+        decoder = decoder.withColumnRenamed("tenant", "_tenant_key")
         docs = docs.withColumn("_tenant_key", D.tenant_key(F.col("_tenant")))
         docs = docs.join(F.broadcast(decoder), "_tenant_key", "left")
         custom = F.coalesce(D.decode_with_maps(F.col(payload), F.col("decoder")), custom)
@@ -221,7 +227,7 @@ def enrich_clues(
 
     A payload whose id keys hold no integers is not enriched but gets a ``reject_reason``.
     """
-    plan = plan or LookupPlan.measured(dims)
+    plan = plan or dims.plan or LookupPlan.measured(dims)
     columns = [c for c in docs.columns if c != "reject_reason"]
     reason = _bad_integer(F.col(payload))
     if "reject_reason" in docs.columns:

@@ -30,6 +30,8 @@ COLUMNS = ("ts", "ns", "op", "o", "o2")
 SCHEMA = "ts bigint, ns string, op string, o string, o2 string, shard string"
 #: Compressed bytes of row groups that one task reads.
 TASK_BYTES = 64 * 1024 * 1024
+#: ``rows`` of a read that takes all there is, as a query that ends does in its one batch.
+EVERY_ROW = 1 << 62
 _SHARD = "shard="
 
 
@@ -101,6 +103,8 @@ class OperationLogReader(DataSourceStreamReader):
     def _next(self, groups: list[_Group], after: int) -> int:
         """The ``ts`` of the ``rows``-th entry behind ``after``, or of the last one."""
         left = sorted((g for g in groups if g.high > after), key=lambda g: g.low)
+        if sum(g.rows for g in left) < self.rows:
+            return max((g.high for g in left), default=after)
         taken, n = [], 0
         while left:
             while left and n < self.rows:

@@ -14,10 +14,11 @@ from tidegate.operators.computed import with_computed
 from tidegate.operators.ledger import positions_of, starting_offsets_option
 from tidegate.operators.routing import route_by_table
 from tidegate.plans.clue_enrichment import ClueDimensions
+from tidegate.plans.derived_dimensions import DerivedDimensions
 from tidegate.sinks.publish import Publisher
 from tidegate.sinks.tables import IndexTable, SnapshotTable
 from tidegate.sources.change_stream import kafka_options, kafka_stream
-from tidegate.sources.operation_log import oplog_stream
+from tidegate.sources.operation_log import EVERY_ROW, oplog_stream
 from tidegate.streaming import pipelines as S
 
 FIELD_TABLE, PARAM_TABLE = V.FIELD_TABLE, V.PARAM_TABLE
@@ -156,13 +157,23 @@ def clue_dimensions(site: Site) -> ClueDimensions:
     )
 
 
+def derived_clue_dimensions(site: Site) -> DerivedDimensions:
+    """As ``clue_dimensions``, derived once per version of the tables."""
+    tables = {"params": PARAM_TABLE, "fields": FIELD_TABLE, "seas": CLUE_SEA_TABLE, "users": USER_TABLE}
+
+    def versions() -> dict[str, int]:
+        return {name: site.table(table).newest_version() for name, table in tables.items()}
+
+    return DerivedDimensions(site.spark, f"{site.root}/derived/{CLUE_TABLE}", versions, lambda: clue_dimensions(site))
+
+
 def start_clues(site: Site, index: IndexTable | S.BatchSink | None = None) -> StreamingQuery:
     """Clues to enriched documents in the index: the site's own table, or what the given writer fills.
 
     The batches of a table are folded as they come.
     """
     index = site.index(CLUE_TABLE) if index is None else index
-    sink = S.enrichment_sink(lambda: clue_dimensions(site), index, site.rejects(CLUE_TABLE))
+    sink = S.enrichment_sink(derived_clue_dimensions(site).current, index, site.rejects(CLUE_TABLE))
     if isinstance(index, IndexTable):
         sink = S.in_turn(sink, S.folding(index))
     return site.start_topic(CLUE_TABLE, V.ods_topic(CLUE_TABLE), sink)
@@ -184,5 +195,6 @@ def start_oplog(
     """
     cursors = SnapshotTable(site.spark, f"{site.root}/cursors", ["shard"], ["cursor_ts"])
     sink = S.oplog_sink(open_collection, followed, topics, cursors, on, site.rejects("oplog"))
-    records = oplog_stream(site.spark, log, cursors.state()) if isinstance(log, str) else log
+    rows = V.OPLOG_READ_ROWS if site.seconds is not None else EVERY_ROW
+    records = oplog_stream(site.spark, log, cursors.state(), rows) if isinstance(log, str) else log
     return S.start(records, sink, checkpoint or site.checkpoint("oplog"), "oplog", site.seconds)
