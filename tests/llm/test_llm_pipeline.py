@@ -5,9 +5,13 @@ import math
 from collections import Counter, defaultdict
 
 import corpus_pipeline
+import public_tokenizers
 import sentencepiece
+from pyspark.sql import functions as F
 from test_llm_operators import MODEL, brute_components, brute_exact, brute_fingerprint, prose
 
+from tidegate.llm import segment_sampling
+
 
 def test_pipeline(documents, spark, tmp_path, monkeypatch):
     rows, marks = [], []
@@ -59,3 +63,14 @@ def test_pipeline(documents, spark, tmp_path, monkeypatch):
     assert len({(r["doc_id"], *r["ids"]) for r in out}) == len(out)
     library = sentencepiece.SentencePieceProcessor(model_file=MODEL)
     assert all(library.decode(r["ids"]) == text[r["doc_id"]] for r in out)
+
+
+def test_many_samples_of_a_long_text_go_out_in_bounded_batches(spark, documents, monkeypatch):
+    """1 M characters in 3 samples, and 50 samples of a short text, in record batches of few ids."""
+    monkeypatch.setattr(segment_sampling, "OUT_IDS", 50_000)
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    given = documents((1, "some words again " * 60_000, "s"), (2, "a few words more to cut", "s"), (3, "", "s"), (4, None, "s"))
+    counts = F.when(F.col("doc_id") == 1, 3).when(F.col("doc_id") == 2, 50).otherwise(2)
+    rows = segment_sampling.sampled(given, model, k=counts, again=True).select("doc_id", "sample", "n_pieces", "round_trip", "ids_sha256").collect()
+    assert sorted((r.doc_id, r.sample) for r in rows) == sorted((i, n + 1) for i, k in ((1, 3), (2, 50), (3, 2), (4, 2)) for n in range(k))
+    assert all(r.round_trip for r in rows) and len({r.ids_sha256 for r in rows if r.doc_id == 2}) == 50

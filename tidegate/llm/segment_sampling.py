@@ -21,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidegate.llm.token_counts import SPACE, _words
@@ -31,8 +32,8 @@ WORD_CHARS = 128
 BLOCK = 65_536
 #: Scores from here down mark pieces without a rank of their own, as runs of spaces; they count as the least rank.
 NO_RANK = -1e8
-#: Characters of the texts that share one table of word lattices, some.
-BATCH_CHARS = 2_000_000
+#: Characters, times samples, of the texts that share one table of word lattices, and ids that go out at once, some.
+BATCH_CHARS, OUT_IDS = 500_000, 500_000
 #: Score of a character that is no piece and goes out as bytes, below the least piece.
 BYTES_SCORE = -10.0
 _BYTES = -2
@@ -89,48 +90,52 @@ class Lattices:
 
     def __init__(self, pieces: Pieces, words: list[str]):
         self.length = np.array([len(w) for w in words], np.int64)
-        self.base = np.concatenate([[0], np.cumsum(self.length)[:-1]]).astype(np.int64)
+        by_length = np.argsort(self.length, kind="stable")  # the rows of words of one length lie together
+        self.base = np.zeros(len(words), np.int64)
+        self.base[by_length] = np.cumsum(self.length[by_length]) - self.length[by_length]
         total, width = int(self.length.sum()), pieces.longest
         self.cum = np.ones((total, width), np.float32)
         self.logp = np.full((total, width), -np.inf)
         self.piece = np.full((total, width), -1, np.int32)
         self.char = np.zeros(total, np.uint32)
-        for n in np.unique(self.length):
-            index = np.nonzero(self.length == n)[0]
-            if n > WORD_CHARS:
+        for index in np.split(by_length, np.nonzero(np.diff(self.length[by_length]))[0] + 1) if len(words) else ():
+            if self.length[index[0]] > WORD_CHARS:
                 for i in index.tolist():
                     self._fill_long(pieces, int(self.base[i]), np.frombuffer(words[i].encode("utf-32-le"), np.uint32))
-                continue
-            code = np.frombuffer("".join(words[i] for i in index).encode("utf-32-le"), np.uint32).reshape(-1, n)
-            self._fill(pieces, self.base[index], code)
-
-    def _fill(self, pieces: Pieces, base: np.ndarray, code: np.ndarray) -> None:
-        words, n = code.shape
-        char, ahead = pieces.char[code], np.zeros((n + 1, words))
+            elif self.length[index[0]]:
+                self._fill(pieces, "".join(words[i] for i in index.tolist()), int(self.base[index[0]]), len(index))
+
+    def _fill(self, pieces: Pieces, text: str, base: int, words: int) -> None:
+        """Rows of ``words`` words of one length, whose characters follow each other in ``text``."""
+        code = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+        total, most = len(code), pieces.longest
+        n = total // words
+        rows = slice(base, base + total)
+        logp, piece = self.logp[rows], self.piece[rows]
+        logp[:, 0], piece[:, 0] = pieces.bytes_score, _BYTES
+        char, left = pieces.char[code], n - np.tile(np.arange(n), words)
+        alive, node = np.arange(total), np.zeros(total, np.int64)
+        for d in range(min(n, most)):
+            there = left[alive] > d
+            alive, node = alive[there], node[there]
+            node = pieces.step(node, char[alive + d])
+            alive, node = alive[node >= 0], node[node >= 0]
+            if not len(alive):
+                break
+            ends = pieces.piece[node] >= 0
+            logp[alive[ends], d], piece[alive[ends], d] = pieces.score[node[ends]], pieces.piece[node[ends]]
+        self.char[rows] = code
+        logp, cum, ahead = logp.reshape(words, n, most), self.cum[rows].reshape(words, n, most), np.zeros((words, n + 1))
         for i in range(n - 1, -1, -1):
-            width = min(pieces.longest, n - i)
-            weight, piece = np.full((width, words), -np.inf), np.full((width, words), -1, np.int32)
-            weight[0], piece[0] = pieces.bytes_score, _BYTES
-            alive, node = np.arange(words), np.zeros(words, np.int64)
-            for d in range(width):
-                node = pieces.step(node, char[alive, i + d])
-                alive, node = alive[node >= 0], node[node >= 0]
-                if not len(alive):
-                    break
-                ends = pieces.piece[node] >= 0
-                weight[d, alive[ends]], piece[d, alive[ends]] = pieces.score[node[ends]], pieces.piece[node[ends]]
-            weight += ahead[i + 1 : i + 1 + width]
-            top = weight.max(axis=0)
-            odds = np.exp(weight - top)
-            mass = odds.sum(axis=0)
-            ahead[i] = top + np.log(mass)
-            rows = base + i
-            self.cum[rows, :width] = np.cumsum(odds / mass, axis=0).T
-            self.cum[rows, width:] = self.cum[rows, width - 1][:, None]
-            self.logp[rows, :width] = (weight - ahead[i]).T
-            self.piece[rows, :width] = piece.T
-            self.char[rows] = code[:, i]
-
+            width = min(most, n - i)
+            weight = logp[:, i, :width] + ahead[:, i + 1 : i + 1 + width]
+            top = weight.max(axis=1)
+            odds = np.exp(weight - top[:, None])
+            mass = odds.sum(axis=1)
+            ahead[:, i] = top + np.log(mass)
+            cum[:, i, :width] = np.cumsum(odds / mass[:, None], axis=1)
+            cum[:, i, width:] = cum[:, i, width - 1, None]
+            logp[:, i, :width] = weight - ahead[:, i, None]
 
     def _fill_long(self, pieces: Pieces, base: int, code: np.ndarray) -> None:
         """As ``_fill`` for one word, in blocks from its end; the masses behind a block are carried over its border."""
@@ -360,15 +365,28 @@ def loaded(model_file: str) -> Pieces:
     return _LOADED[model_file]
 
 
-def _groups(texts: list[str]) -> Iterator[tuple[int, int]]:
+def _groups(sizes: list[int]) -> Iterator[tuple[int, int]]:
+    """Ranges of texts that are worked out together, by their characters times their samples."""
     start = size = 0
-    for i, t in enumerate(texts):
-        size += len(t)
+    for i, n in enumerate(sizes):
+        size += n
         if size >= BATCH_CHARS:
             yield start, i + 1
             start, size = i + 1, 0
-    if start < len(texts):
-        yield start, len(texts)
+    if start < len(sizes):
+        yield start, len(sizes)
+
+
+def _slices(sizes: list[int]) -> Iterator[tuple[int, int]]:
+    """Ranges of rows that go out together, by their ids."""
+    start = size = 0
+    for i, n in enumerate(sizes):
+        if size and size + n > OUT_IDS:
+            yield start, i
+            start, size = i, 0
+        size += n
+    if start < len(sizes):
+        yield start, len(sizes)
 
 
 def sampled(docs: DataFrame, model_file: str, k: int | Column, seed: int = 1, with_ids: bool = True, doc_id: str = "doc_id", text: str = "text", again: bool = False) -> DataFrame:
@@ -388,29 +406,34 @@ def sampled(docs: DataFrame, model_file: str, k: int | Column, seed: int = 1, wi
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = loaded(model_file)
         for batch in batches:
-            texts, seeds, wanted = (batch.column(c).to_pylist() for c in ("text", "seed", "k"))
-            for a, b in _groups(texts):
-                made = segmentations(pieces, texts[a:b], seeds[a:b], wanted[a:b])
+            wanted = batch.column("k").to_pylist()
+            for a, b in _groups([n * k for n, k in zip(pc.utf8_length(batch.column("text")).to_pylist(), wanted)]):
+                texts, seeds = (batch.column(c).slice(a, b - a).to_pylist() for c in ("text", "seed"))
+                made = segmentations(pieces, texts, seeds, wanted[a:b])
                 if again:
                     made = [[samples[i % len(samples)] for i in range(n)] for samples, n in zip(made, wanted[a:b])]
-                of = [i for i, samples in enumerate(made, a) for _ in samples]
+                of = [i for i, samples in enumerate(made) for _ in samples]
                 flat = [(n, *s) for samples in made for n, s in enumerate(samples, 1)]
-                columns = [
-                    batch.column("doc_id").take(pa.array(of, pa.int64())),
-                    pa.array([f[0] for f in flat], pa.int32()),
-                    pa.array([len(f[1]) for f in flat], pa.int64()),
-                    pa.array([f[2] for f in flat], pa.float64()),
-                    pa.array([f[3] for f in flat], pa.float64()),
-                    pa.array([pieces.decoded(f[1]) == texts[i].replace(SPACE, " ") for i, f in zip(of, flat)], pa.bool_()),
-                    pa.array([hashlib.sha256(f[1].astype("<i4").tobytes()).hexdigest() for f in flat], pa.string()),
-                ]
-                names = ["doc_id", "sample", "n_pieces", "log_prob", "log_inclusion", "round_trip", "ids_sha256"]
-                if with_ids:
-                    ends = np.cumsum([0, *(len(f[1]) for f in flat)]).astype(np.int32)
-                    ids = np.concatenate([np.zeros(0, np.int32), *(f[1] for f in flat)]).astype(np.int32)
-                    columns.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(ids)))
-                    names.append("ids")
-                yield pa.RecordBatch.from_arrays(columns, names)
+                for low, high in _slices([len(f[1]) for f in flat]):
+                    yield written(pieces, texts, batch.column("doc_id").slice(a, b - a), of[low:high], flat[low:high])
+
+    def written(pieces: Pieces, texts: list[str], doc_ids: pa.Array, of: list[int], flat: list[tuple]) -> pa.RecordBatch:
+        columns = [
+            doc_ids.take(pa.array(of, pa.int64())),
+            pa.array([f[0] for f in flat], pa.int32()),
+            pa.array([len(f[1]) for f in flat], pa.int64()),
+            pa.array([f[2] for f in flat], pa.float64()),
+            pa.array([f[3] for f in flat], pa.float64()),
+            pa.array([pieces.decoded(f[1]) == texts[i].replace(SPACE, " ") for i, f in zip(of, flat)], pa.bool_()),
+            pa.array([hashlib.sha256(f[1].astype("<i4").tobytes()).hexdigest() for f in flat], pa.string()),
+        ]
+        names = ["doc_id", "sample", "n_pieces", "log_prob", "log_inclusion", "round_trip", "ids_sha256"]
+        if with_ids:
+            ends = np.cumsum([0, *(len(f[1]) for f in flat)]).astype(np.int32)
+            ids = np.concatenate([np.zeros(0, np.int32), *(f[1] for f in flat)]).astype(np.int32)
+            columns.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(ids)))
+            names.append("ids")
+        return pa.RecordBatch.from_arrays(columns, names)
 
     return given.mapInArrow(run, schema)
 
