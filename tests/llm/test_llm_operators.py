@@ -141,6 +141,16 @@ def test_url_rules(spark):
         assert got[i]["verdict"] == (best[2] if best else "allow")
 
 
+def test_listed_urls_beside_mined_rules(spark):
+    """Rows of listed and other urls, repeated ones, and no pages at all."""
+    urls = ["https://a.example.org/es/1", "https://spam.net/x", "https://good.net/y", None, "https://spam.net/x"]
+    pages = spark.createDataFrame(list(enumerate(urls * 20)), "page_id long, url string")
+    labels = spark.createDataFrame([("https://spam.net/x", True), ("https://good.net/y", False)], "url string, bad boolean")
+    got = {r["page_id"]: r["verdict"] for r in url_filter.judged(pages, labels, min_support=0.1).collect()}
+    assert [got[i] for i in range(100)] == ["block", "block", "allow", "allow", "block"] * 20
+    assert url_filter.judged(pages.limit(0), labels).count() == 0
+
+
 def test_mined_url_rules_against_brute_force(spark):
     rnd = random.Random(5)
     made = [(f"http://{rnd.choice('abc')}.net/{rnd.choice(['x', 'y', 'z'])}/{rnd.randint(1, 999)}",) for _ in range(400)]

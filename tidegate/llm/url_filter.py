@@ -105,7 +105,7 @@ def judged(
     ``labels`` has url and bad (boolean); of a url with several labels the worst counts, null labels and urls are
     ignored. A url without listed rule is blocked if a mined rule fits, else allowed; so are urls that are null
     or have no host, for which both parts are empty. Without any label nothing is mined. Rows that repeat are
-    judged alike and each returned.
+    judged alike and each returned. No pages give no rows.
     """
     host, path = host_and_path(F.col("url"))
     name, verdict = listed_rule(F.col("host"), F.col("path"), rules)
@@ -120,7 +120,8 @@ def judged(
         mined = stored(mined_rules(labelled, min_support, min_confidence, min_lift), "url-rules")
         open_sets = rows.filter("listed is null").select(url_tokens(F.col("url"), F.col("host"), F.col("path")).alias("tokens")).distinct()
         hits = _matched(open_sets.withColumn("url_key", F.xxhash64("tokens")), mined)
-        key = F.when(F.col("listed").isNull(), F.xxhash64(url_tokens(F.col("url"), F.col("host"), F.col("path"))))
-        out = out.withColumn("url_key", key).join(hits, "url_key", "left")
+        key = F.xxhash64(url_tokens(F.col("url"), F.col("host"), F.col("path")))
+        unlisted = rows.filter("listed is null").withColumn("url_key", key).join(hits, "url_key", "left").drop("url_key")
+        out = rows.filter("listed is not null").withColumn("bad_confidence", F.lit(None).cast("double")).unionByName(unlisted)
     said = F.coalesce("listed", F.when(F.col("bad_confidence").isNotNull(), "block").otherwise("allow"))
     return out.select("page_id", "host", "path", "rule", said.alias("verdict"), "bad_confidence")
