@@ -193,12 +193,19 @@ def test_lookup_in_batches_and_runs(spark, index, change):
         index.fold()
     keys = spark.createDataFrame([(0,), (50,), (700,)], "id int")
     assert rows(index.lookup(keys)) == [(0, 0, "x0"), (50, 3, "x50")]
-    other = T.IndexTable(spark, index.path, ["id"], ["v"], fanout=1, buckets=7)  # a run has the buckets that it was written with
-    other.write(change(50, 51, 9), "q-9")
+    other = T.IndexTable(spark, index.path, ["id"], ["v"], fanout=3, buckets=7)  # a run has the buckets that it was written with
+    for n in (8, 9):
+        other.write(change(50, 51, n), f"q-{n}")
     other.fold()
+    assert sorted(run.rsplit("-", 1)[1] for run in other.folders()) == ["4", "7"]
     assert rows(other.lookup(keys)) == rows(index.lookup(keys)) == [(0, 0, "x0"), (50, 9, "x50")]
 
 
+def test_a_fold_needs_two(spark, index):
+    with pytest.raises(ValueError):
+        T.IndexTable(spark, index.path, ["id"], ["v"], fanout=1)
+
+
 def test_folding_goes_by_the_number_of_the_batch(index, change):
     fold = S.folding(index)
     for n in range(3):

@@ -242,6 +242,10 @@ class IndexTable:
     buckets: int = 1
     hold_seconds: float = 0.0
 
+    def __post_init__(self) -> None:
+        if self.fanout < 2:
+            raise ValueError("a fold takes two folders or more")
+
     @property
     def manifests(self) -> Manifests:
         return Manifests(self.spark, f"{self.path}/_manifests")
