@@ -8,10 +8,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidegate import fixed_values as V
 from tidegate.functions import payload as P, text as X
+from tidegate.operators.envelopes import DUPLICATE_KEY, MALFORMED, NULL_RECORD
 
 NO_TABLE = "no_table"
 BAD_TENANT = "bad_tenant"
 REJECT_TOPIC = "rejected"
+# Why the router rejects a record.
+REASONS = (NULL_RECORD, MALFORMED, DUPLICATE_KEY, NO_TABLE, BAD_TENANT)
 
 
 def is_exact_table(table: Column, names: Iterable[str] = V.EXACT_TABLES) -> Column:

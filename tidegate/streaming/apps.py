@@ -15,6 +15,7 @@ from tidegate.operators.ledger import positions_of, starting_offsets_option
 from tidegate.operators.routing import route_by_table
 from tidegate.plans.clue_enrichment import ClueDimensions
 from tidegate.plans.derived_dimensions import DerivedDimensions
+from tidegate.sinks.audit import AuditTable
 from tidegate.sinks.publish import Publisher
 from tidegate.sinks.tables import IndexTable, SnapshotTable
 from tidegate.sources.change_stream import kafka_options, kafka_stream
@@ -54,6 +55,10 @@ class Site:
     def rejects(self, name: str) -> str:
         return f"{self.root}/rejects/{name}"
 
+    def audit(self, name: str) -> AuditTable:
+        """Outcome counts of the batches of an application."""
+        return AuditTable(self.spark, f"{self.root}/audit/{name}")
+
     def checkpoint(self, name: str) -> str:
         return f"{self.root}/checkpoints/{name}"
 
@@ -110,7 +115,7 @@ def start_router(
     route: Callable[[DataFrame], DataFrame] = route_by_table,
 ) -> StreamingQuery:
     """The change topic to one topic per table."""
-    return site.start_topic("router", topic, S.router_sink(topics, route))
+    return site.start_topic("router", topic, S.router_sink(topics, route, audit=site.audit("router")))
 
 
 def start_dimensions(
@@ -121,14 +126,14 @@ def start_dimensions(
         table: site.start_topic(
             table,
             V.ods_topic(table),
-            S.dimension_sink(site.table(table), site.rejects(table)),
+            S.dimension_sink(site.table(table), site.rejects(table), audit=site.audit(table)),
         )
         for table in tables
     }
 
 
 def start_users(site: Site) -> StreamingQuery:
-    sink = S.user_dimension_sink(site.table(USER_TABLE), site.rejects(USER_TABLE))
+    sink = S.user_dimension_sink(site.table(USER_TABLE), site.rejects(USER_TABLE), site.audit(USER_TABLE))
     return site.start_topic(USER_TABLE, V.ods_topic(USER_TABLE), sink)
 
 
@@ -173,7 +178,7 @@ def start_clues(site: Site, index: IndexTable | S.BatchSink | None = None) -> St
     The batches of a table are folded as they come.
     """
     index = site.index(CLUE_TABLE) if index is None else index
-    sink = S.enrichment_sink(derived_clue_dimensions(site).current, index, site.rejects(CLUE_TABLE))
+    sink = S.enrichment_sink(derived_clue_dimensions(site).current, index, site.rejects(CLUE_TABLE), site.audit(CLUE_TABLE))
     if isinstance(index, IndexTable):
         sink = S.in_turn(sink, S.folding(index))
     return site.start_topic(CLUE_TABLE, V.ods_topic(CLUE_TABLE), sink)

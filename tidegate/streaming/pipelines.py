@@ -26,11 +26,11 @@ from tidegate.operators.envelopes import (
 )
 from tidegate.operators.ledger import merge_positions, observed_positions, until_offsets
 from tidegate.operators.oplog import high_water_mark
-from tidegate.operators.routing import publishable_with_rejects, route_by_table
+from tidegate.operators.routing import REASONS, publishable_with_rejects, route_by_table
 from tidegate.plans.clue_enrichment import ClueDimensions, enrich_clues
 from tidegate.plans.oplog_capture import capture_entries, judged_entries
 from tidegate.schemas import LEDGER
-from tidegate.sinks.audit import log_outcome, observed, outcome_counts
+from tidegate.sinks.audit import AuditTable, log_outcome, observed, observed_audit, outcome_counts, write_audit
 from tidegate.sinks.publish import SOURCE_POSITION, Publisher, file_publisher
 from tidegate.sinks.tables import IndexTable, SnapshotTable
 
@@ -137,10 +137,12 @@ def router_sink(
     to: str | Publisher,
     route: Callable[[DataFrame], DataFrame] = route_by_table,
     on_counts: Callable[[str, Mapping[str, int]], None] = log_outcome,
+    audit: AuditTable | None = None,
 ) -> BatchSink:
     """Change envelopes to topics: files below a path, or whatever a publisher such as ``kafka_publisher`` writes.
 
-    Rejected records go to a topic of their own. Messages carry the position of the change in its source.
+    Rejected records go to a topic of their own. Messages carry the position of the change in its source. ``audit``
+    gets the counts per reason, which the write itself has observed.
     """
     publish = _publisher(to)
 
@@ -150,8 +152,10 @@ def router_sink(
             routed.withColumn("source_ts", F.col("ts")), carry=["type", *POSITION]
         )
         counts = Observation()
-        publish(observed(messages, counts), key)
-        on_counts(key, counts.get)
+        publish(observed(messages, counts, REASONS), key)
+        if audit:
+            audit.keep(key, observed_audit(counts.get, REASONS))
+        on_counts(key, {outcome: counts.get[outcome] for outcome in ("ok", "failed")})
 
     return sink
 
@@ -178,10 +182,12 @@ def split_sink(
     write: BatchSink,
     rejects: str,
     on_counts: Callable[[str, Mapping[str, int]], None] = log_outcome,
+    audit: AuditTable | None = None,
 ) -> BatchSink:
     """Write what ``judge`` accepts, keep what it rejects below ``rejects``, report both counts.
 
-    The judged batch is kept for both writes; if an executor is lost, Spark computes it again.
+    The judged batch is kept for both writes, and for the counts per reason that ``audit`` gets; if an executor is lost,
+    Spark computes it again.
     """
 
     def sink(batch: DataFrame, key: str) -> None:
@@ -191,6 +197,8 @@ def split_sink(
             unusable = rejected(observed(judged, counts)).select("value", "reject_reason", *POSITION)
             unusable.write.mode("overwrite").parquet(f"{rejects}/batch={key}")
             write(accepted(judged).drop("value", "reject_reason"), key)
+            if audit:
+                audit.keep(key, map(tuple, write_audit(judged).collect()))
             on_counts(key, counts.get)
         finally:
             judged.unpersist()
@@ -198,10 +206,10 @@ def split_sink(
     return sink
 
 
-def dimension_sink(table: SnapshotTable, rejects: str, op: str | None = None) -> BatchSink:
+def dimension_sink(table: SnapshotTable, rejects: str, op: str | None = None, audit: AuditTable | None = None) -> BatchSink:
     """Latest document per id."""
     return split_sink(
-        lambda batch: dimension_changes(batch, op), lambda changes, _: table.upsert(changes), rejects
+        lambda batch: dimension_changes(batch, op), lambda changes, _: table.upsert(changes), rejects, audit=audit
     )
 
 
@@ -212,9 +220,9 @@ def user_changes(batch: DataFrame) -> DataFrame:
     return D.with_user_labels(users)
 
 
-def user_dimension_sink(table: SnapshotTable, rejects: str) -> BatchSink:
+def user_dimension_sink(table: SnapshotTable, rejects: str, audit: AuditTable | None = None) -> BatchSink:
     """Latest typed row per user."""
-    return split_sink(user_changes, lambda changes, _: table.upsert(changes), rejects)
+    return split_sink(user_changes, lambda changes, _: table.upsert(changes), rejects, audit=audit)
 
 
 def enriched_documents(batch: DataFrame, dims: ClueDimensions) -> DataFrame:
@@ -229,14 +237,14 @@ def enriched_documents(batch: DataFrame, dims: ClueDimensions) -> DataFrame:
 
 
 def enrichment_sink(
-    open_dimensions: Callable[[], ClueDimensions], index: IndexTable | BatchSink, rejects: str
+    open_dimensions: Callable[[], ClueDimensions], index: IndexTable | BatchSink, rejects: str, audit: AuditTable | None = None
 ) -> BatchSink:
     """Clue payloads to enriched documents in the index, with the dimensions of this moment.
 
     ``index`` is a table, or a writer of ``id, doc, position`` rows to another index.
     """
     write = index.write if isinstance(index, IndexTable) else index
-    return split_sink(lambda batch: enriched_documents(batch, open_dimensions()), write, rejects)
+    return split_sink(lambda batch: enriched_documents(batch, open_dimensions()), write, rejects, audit=audit)
 
 
 def folding(index: IndexTable, every: int | None = None) -> BatchSink:
