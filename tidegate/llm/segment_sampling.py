@@ -32,7 +32,8 @@ WORD_CHARS = 128
 BLOCK = 65_536
 #: Scores from here down mark pieces without a rank of their own, as runs of spaces; they count as the least rank.
 NO_RANK = -1e8
-#: Characters, times samples, of the texts that share one table of word lattices, and ids that go out at once, some.
+#: Characters of the texts that share one table of word lattices, and ids that go out at once, some. A sample of a text takes
+#: a sixteenth of its lattices' memory or less, and counts as that.
 BATCH_CHARS, OUT_IDS = 500_000, 500_000
 #: Score of a character that is no piece and goes out as bytes, below the least piece.
 BYTES_SCORE = -10.0
@@ -366,7 +367,7 @@ def loaded(model_file: str) -> Pieces:
 
 
 def _groups(sizes: list[int]) -> Iterator[tuple[int, int]]:
-    """Ranges of texts that are worked out together, by their characters times their samples."""
+    """Ranges of texts that are worked out together, by their characters and samples."""
     start = size = 0
     for i, n in enumerate(sizes):
         size += n
@@ -407,7 +408,7 @@ def sampled(docs: DataFrame, model_file: str, k: int | Column, seed: int = 1, wi
         pieces = loaded(model_file)
         for batch in batches:
             wanted = batch.column("k").to_pylist()
-            for a, b in _groups([n * k for n, k in zip(pc.utf8_length(batch.column("text")).to_pylist(), wanted)]):
+            for a, b in _groups([n * (15 + k) // 16 for n, k in zip(pc.utf8_length(batch.column("text")).to_pylist(), wanted)]):
                 texts, seeds = (batch.column(c).slice(a, b - a).to_pylist() for c in ("text", "seed"))
                 made = segmentations(pieces, texts, seeds, wanted[a:b])
                 if again:
