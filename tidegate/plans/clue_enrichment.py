@@ -1,20 +1,22 @@
 """Wide clue documents: custom fields decoded, public sea and user names added.
 
-Three shapes of plan, chosen by the measured size of the dimensions:
+Four shapes of plan, chosen by the measured size of the dimensions:
 
 * all fit a broadcast: one narrow stage over the documents, nothing is shuffled;
-* a dimension does not fit: only ``row key + looked-up id`` goes through its (salted) join. All
-  such results are gathered per document once and meet the documents in one join, so a payload is
-  shuffled once at most, however many lookups are large;
+* seas or users do not fit, but the rows that these documents name do: the distinct ids pick them at the
+  scan of the dimension, and the plan is the one above. It takes a ``place`` to keep them;
+* a dimension does not fit in any way: only ``row key + looked-up id`` goes through its join, in which ids
+  counted as hot are spread. All such results are gathered per document once and meet the documents in one join,
+  so a payload is shuffled once at most, however many lookups are large;
 * custom parameters fit a broadcast but one tenant has too many to scan per value: they are
   hash-joined instead, as narrow rows.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
-from typing import Sequence
+from typing import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -25,10 +27,13 @@ from tidegate.operators.computed import with_computed
 from tidegate.operators.dimensions import dedupe_dimension, join_param_fields
 from tidegate.operators.latest import latest_per_key
 from tidegate.operators.lookup import (
+    Narrowed,
     broadcast_limit,
+    hot_rows_of,
     lookup_join,
+    narrowed,
     row_bytes,
-    salted_join,
+    split_hot_keys_join,
     surely_large,
 )
 
@@ -44,7 +49,8 @@ CUSTOM, SEA = 0, 1
 class ClueDimensions:
     """``params``: tenant, field_key, param_id, display; ``seas``: id, name; ``users``: id, name.
 
-    ``decoder`` (see ``decode_maps``) and ``plan`` are worked out per batch unless they are given.
+    ``decoder`` (see ``decode_maps``) and ``plan`` are worked out per batch unless they are given. ``find_users`` opens the
+    users of given ids (``id``) without reading all of a large table.
     """
 
     params: DataFrame
@@ -52,10 +58,16 @@ class ClueDimensions:
     users: DataFrame
     decoder: DataFrame | None = None
     plan: LookupPlan | None = None
+    find_users: Callable[[DataFrame], DataFrame] | None = None
 
     @classmethod
     def from_tables(
-        cls, params: DataFrame, fields: DataFrame, seas: DataFrame, users: DataFrame
+        cls,
+        params: DataFrame,
+        fields: DataFrame,
+        seas: DataFrame,
+        users: DataFrame,
+        find_users: Callable[[DataFrame], DataFrame] | None = None,
     ) -> ClueDimensions:
         """From the dimension tables; a duplicate composite key keeps its highest ``id``."""
         tie = "id" if "id" in params.columns else "display"
@@ -77,6 +89,7 @@ class ClueDimensions:
             seas.select(F.col("id").cast("string").alias("id"), F.col("public_seas_name").alias("name"))
             .filter(X.is_not_blank(F.col("name"))),
             users.select(F.col("id").cast("int").alias("id"), F.col("real_name").alias("name")),
+            find_users=find_users,
         )
 
 
@@ -168,10 +181,51 @@ def _found(row_key: Sequence[str], hits: DataFrame, slot: Column, key: Column) -
     return hits.select(*row_key, slot.alias("_slot"), key.alias("_key"), F.col("name").alias("_name"))
 
 
+def _wanted_seas(docs: DataFrame, row_key: Sequence[str]) -> DataFrame:
+    """One row per document with a sea: row key and ``id``."""
+    return docs.select(*row_key, F.col("_sea").alias("id")).filter(X.is_not_blank(F.col("id")))
+
+
+def _wanted_users(docs: DataFrame, row_key: Sequence[str]) -> DataFrame:
+    """One row per document and role that names a user: row key, ``_slot``, ``_key`` of the name, and ``id``."""
+    roles = F.array(
+        *(
+            F.struct(
+                F.lit(SEA + 1 + i).alias("_slot"),
+                F.lit(role + V.NAME_SUFFIX).alias("_key"),
+                F.col(f"_user{i}").alias("id"),
+            )
+            for i, role in enumerate(V.USER_ROLE_KEYS)
+        )
+    )
+    return docs.select(*row_key, F.inline(roles)).filter(F.col("id").isNotNull())
+
+
+def _narrowed(
+    docs: DataFrame, dims: ClueDimensions, plan: LookupPlan, place: str
+) -> tuple[ClueDimensions, LookupPlan, Mapping[str, DataFrame]]:
+    """Large seas and users cut down to what ``docs`` name, the plan that follows, and the counted ids."""
+    parts: dict[str, Narrowed] = {}
+    if not plan.seas:
+        parts["seas"] = narrowed(dims.seas, _wanted_seas(docs, []), ["id"], f"{place}/seas")
+    if not plan.users:
+        users = _wanted_users(docs, []).select("id")
+        parts["users"] = narrowed(dims.users, users, ["id"], f"{place}/users", dims.find_users)
+    dims = replace(dims, **{name: part.rows for name, part in parts.items()})
+    plan = replace(plan, **{name: part.fits for name, part in parts.items()})
+    return dims, plan, {name: part.counts for name, part in parts.items()}
+
+
 def _shuffled_names(
-    docs: DataFrame, dims: ClueDimensions, plan: LookupPlan, row_key: Sequence[str], payload: str
+    docs: DataFrame,
+    dims: ClueDimensions,
+    plan: LookupPlan,
+    row_key: Sequence[str],
+    payload: str,
+    counts: Mapping[str, DataFrame],
 ) -> DataFrame | None:
     """Names from the dimensions that are not broadcast, one row per document."""
+    hot = hot_rows_of(docs)
     parts = []
     if plan.params != "maps":
         decoded = D.decode_by_join(
@@ -179,23 +233,15 @@ def _shuffled_names(
         )
         parts.append(_found(row_key, decoded, F.lit(CUSTOM), F.col("key")))
     if not plan.seas:
-        wanted = docs.select(*row_key, F.col("_sea").alias("_ref")).filter(X.is_not_blank(F.col("_ref")))
-        hits = salted_join(wanted, dims.seas.toDF("_ref", "name"), ["_ref"], "inner", row_key)
+        wanted = _wanted_seas(docs, row_key).withColumnRenamed("id", "_ref")
+        seas = dims.seas.toDF("_ref", "name")
+        hits = split_hot_keys_join(wanted, seas, ["_ref"], "inner", row_key, hot, counts=_counted(counts, "seas"))
         parts.append(_found(row_key, hits, F.lit(SEA), F.lit(V.SEA_NAME_KEY)))
     if not plan.users:
-        roles = F.array(
-            *(
-                F.struct(
-                    F.lit(SEA + 1 + i).alias("_slot"),
-                    F.lit(role + V.NAME_SUFFIX).alias("_key"),
-                    F.col(f"_user{i}").alias("_ref"),
-                )
-                for i, role in enumerate(V.USER_ROLE_KEYS)
-            )
-        )
-        wanted = docs.select(*row_key, F.inline(roles)).filter(F.col("_ref").isNotNull())
+        wanted = _wanted_users(docs, row_key).withColumnRenamed("id", "_ref")
         users = dims.users.toDF("_ref", "name")
-        hits = salted_join(wanted, users, ["_ref"], "inner", [*row_key, "_slot"])
+        spread = [*row_key, "_slot"]
+        hits = split_hot_keys_join(wanted, users, ["_ref"], "inner", spread, hot, counts=_counted(counts, "users"))
         parts.append(_found(row_key, hits, F.col("_slot"), F.col("_key")))
     if not parts:
         return None
@@ -208,6 +254,10 @@ def _shuffled_names(
     )
 
 
+def _counted(counts: Mapping[str, DataFrame], name: str) -> DataFrame | None:
+    return counts[name].withColumnRenamed("id", "_ref") if name in counts else None
+
+
 def _found_names(custom: bool) -> Column:
     chosen = F.filter(F.col("_found"), lambda f: (f["_slot"] == CUSTOM) == F.lit(custom))
     entries = F.transform(
@@ -222,10 +272,12 @@ def enrich_clues(
     row_key: Sequence[str],
     payload: str = "payload",
     plan: LookupPlan | None = None,
+    place: str | None = None,
 ) -> DataFrame:
     """Add ``enriched`` and ``custom_names`` to documents; ``row_key`` must be unique.
 
-    A payload whose id keys hold no integers is not enriched but gets a ``reject_reason``.
+    A payload whose id keys hold no integers is not enriched but gets a ``reject_reason``. With a folder ``place``, large
+    seas and users are narrowed at once to what these documents name; the result reads them there. Use a new one per call.
     """
     plan = plan or dims.plan or LookupPlan.measured(dims)
     columns = [c for c in docs.columns if c != "reject_reason"]
@@ -233,9 +285,12 @@ def enrich_clues(
     if "reject_reason" in docs.columns:
         reason = F.coalesce(F.col("reject_reason"), reason)
     keyed = with_computed(docs, **_ids(F.col(payload))).withColumn("reject_reason", reason)
+    counts: Mapping[str, DataFrame] = {}
+    if place and not (plan.seas and plan.users):
+        dims, plan, counts = _narrowed(keyed, dims, plan, place)
     named = _in_place_names(keyed, dims, plan, payload)
     custom, fixed = F.col("custom_names"), F.col("_fixed_names")
-    found = _shuffled_names(keyed, dims, plan, row_key, payload)
+    found = _shuffled_names(keyed, dims, plan, row_key, payload, counts)
     if found is not None:
         named = named.join(found, list(row_key), "left")
         custom = custom if plan.params == "maps" else _found_names(custom=True)

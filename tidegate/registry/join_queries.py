@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tidegate import fixed_values as V
 from tidegate.functions import payload as P
 from tidegate.operators import decode as D, dimensions as M, oplog as O
-from tidegate.operators.lookup import fits_broadcast
+from tidegate.operators.lookup import fits_broadcast, narrowed
 from tidegate.plans.clue_enrichment import (
     ClueDimensions,
     LookupPlan,
@@ -18,6 +18,7 @@ from tidegate.plans.clue_enrichment import (
 from tidegate.plans.oplog_capture import capture_changes
 from tidegate.registry import inputs as I
 from tidegate.registry.core import query
+from tidegate.workspace import workspace
 
 
 def clue_dimensions(spark, sf) -> ClueDimensions:
@@ -85,6 +86,21 @@ def join_user_belong_to(spark, sf):
     return user_role(spark, sf, "belongToId", "belong_to_id_name")
 
 
+@query("join_users_narrowed", "select id, creator_id_name, last_charger_name from clue_names", ("clue_names",))
+def join_users_narrowed(spark, sf):
+    """Names of two roles from the users that the clues name, picked at the scan of the users."""
+    roles = {"creator_id_name": "creatorId", "last_charger_name": "lastCharger"}
+    ids = {f"_{into}": P.get_int(F.col("payload"), role) for into, role in roles.items()}
+    clues = I.clue_payloads(spark, sf).withColumns(ids)
+    users = I.users(spark, sf).select(F.col("id").cast("int").alias("_user"), F.col("real_name").alias("_name"))
+    wanted = clues.select(F.explode(F.array(*ids)).alias("_user"))
+    part = narrowed(users, wanted, ["_user"], workspace(spark, "narrowed"))
+    for into, column in zip(roles, ids):
+        keyed = clues.withColumnRenamed(column, "_user")
+        clues = part.join(keyed, ["_user"], "left", ["id"]).drop("_user").withColumnRenamed("_name", into)
+    return clues.select("id", *roles)
+
+
 @query("clue_enriched", "select id, doc from enriched_docs", ("enriched_docs",))
 def clue_enriched(spark, sf):
     """Whole enriched documents."""

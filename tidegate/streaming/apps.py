@@ -150,15 +150,17 @@ def dimension_rows(site: Site, table: str, columns: Sequence[str]) -> DataFrame:
 def clue_dimensions(site: Site) -> ClueDimensions:
     """The dimensions of clues as they are now."""
     users = site.table(USER_TABLE)
-    if users.state() is None:
-        names = site.spark.createDataFrame([], "id int, real_name string")
-    else:
+    known = users.state() is not None
+    if known:
         names = users.read().select("id", F.col("realName").alias("real_name"))
+    else:
+        names = site.spark.createDataFrame([], "id int, real_name string")
     return ClueDimensions.from_tables(
         dimension_rows(site, PARAM_TABLE, ("tenant_id", "field_id", "param_id", "display")),
         dimension_rows(site, FIELD_TABLE, ("tenant_id", "field_id", "field_key")),
         dimension_rows(site, CLUE_SEA_TABLE, ("public_seas_name",)),
         names,
+        (lambda ids: users.lookup(ids).select("id", F.col("realName").alias("name"))) if known else None,
     )
 
 

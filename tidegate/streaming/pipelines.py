@@ -33,6 +33,7 @@ from tidegate.schemas import LEDGER
 from tidegate.sinks.audit import AuditTable, log_outcome, observed, observed_audit, outcome_counts, write_audit
 from tidegate.sinks.publish import SOURCE_POSITION, Publisher, file_publisher
 from tidegate.sinks.tables import IndexTable, SnapshotTable
+from tidegate.workspace import scratch
 
 # The highest wins: the position in the source if the record carries it, else the offset. Records of an id lie
 # in one partition, in order. The timestamp comes from producers, so it decides nothing by itself.
@@ -184,7 +185,7 @@ def split_sink(
     on_counts: Callable[[str, Mapping[str, int]], None] = log_outcome,
     audit: AuditTable | None = None,
 ) -> BatchSink:
-    """Write what ``judge`` accepts, keep what it rejects below ``rejects``, report both counts.
+    """Write what ``judge`` accepts, keep what it rejects below ``rejects``, tell both counts.
 
     The judged batch is kept for both writes, and for the counts per reason that ``audit`` gets; if an executor is lost,
     Spark computes it again.
@@ -225,9 +226,9 @@ def user_dimension_sink(table: SnapshotTable, rejects: str, audit: AuditTable |
     return split_sink(user_changes, lambda changes, _: table.upsert(changes), rejects, audit=audit)
 
 
-def enriched_documents(batch: DataFrame, dims: ClueDimensions) -> DataFrame:
+def enriched_documents(batch: DataFrame, dims: ClueDimensions, place: str | None = None) -> DataFrame:
     """Clue records as index documents ``id, doc``; one without id is rejected."""
-    clues = enrich_clues(parse_payloads(positioned(batch)), dims, ROW_KEY)
+    clues = enrich_clues(parse_payloads(positioned(batch)), dims, ROW_KEY, place=place)
     no_id = F.when(F.col("id").isNull(), BAD_ID)
     return (
         clues.withColumn("id", P.get_string(F.col("payload"), "id"))
@@ -241,10 +242,17 @@ def enrichment_sink(
 ) -> BatchSink:
     """Clue payloads to enriched documents in the index, with the dimensions of this moment.
 
-    ``index`` is a table, or a writer of ``id, doc, position`` rows to another index.
+    ``index`` is a table, or a writer of ``id, doc, position`` rows to another index. What a batch needs of a large
+    dimension is kept in a folder until the batch is written.
     """
     write = index.write if isinstance(index, IndexTable) else index
-    return split_sink(lambda batch: enriched_documents(batch, open_dimensions()), write, rejects, audit=audit)
+
+    def sink(batch: DataFrame, key: str) -> None:
+        with scratch(batch.sparkSession, "lookup") as place:
+            judge = lambda records: enriched_documents(records, open_dimensions(), place)
+            split_sink(judge, write, rejects, audit=audit)(batch, key)
+
+    return sink
 
 
 def folding(index: IndexTable, every: int | None = None) -> BatchSink:

@@ -6,6 +6,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from contextlib import contextmanager
+from typing import Iterator
 
 from pyspark.sql import SparkSession
 
@@ -32,3 +34,14 @@ def workspace(spark: SparkSession, name: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = _local_folder()
     return f"{base.rstrip('/')}/tidegate/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch(spark: SparkSession, name: str) -> Iterator[str]:
+    """A folder as ``workspace`` gives it, which goes when the block ends."""
+    place = workspace(spark, name)
+    try:
+        yield place
+    finally:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(place)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
