@@ -8,7 +8,9 @@ from tidegate.operators import oplog as O
 from tidegate.registry import inputs as I
 from tidegate.registry.core import query
 from tidegate.registry.join_queries import OPLOG_ENVELOPES_SQL, clue_dimensions
+from tidegate.sinks.publish import MESSAGE_ID
 from tidegate.sinks.tables import IndexTable, SnapshotTable
+from tidegate.sources.change_stream import file_stream, once
 from tidegate.streaming import pipelines as S
 from tidegate.workspace import workspace
 
@@ -147,6 +149,30 @@ def stream_router(spark, sf):
     return spark.read.parquet(f"{folder}/topics").select("topic", "value")
 
 
+@query(
+    "stream_publish_replayed",
+    """select topic, value from messages union all
+    select 'rejected', value from envelopes where value is null or not json_valid(value)""",
+    ("messages",),
+)
+def stream_publish_replayed(spark, sf):
+    """Two routers bring every message twice to one log, whose reader takes each once."""
+    folder = workspace(spark, "replayed")
+    envelopes = I.table_stream(spark, sf, "events").selectExpr("event_id", f"{I.ENVELOPE} as value")
+    records = I.with_position(envelopes, "changes", "event_id")
+    columns = ("topic", "key", "value", "partition", "offset", MESSAGE_ID)
+
+    def append(messages, _):
+        messages.select(*columns).write.mode("append").parquet(f"{folder}/log")
+
+    for run in ("first", "again"):
+        S.start(records, S.router_sink(append), f"{folder}/checkpoint-{run}").awaitTermination()
+    schema = "topic string, key string, value string, partition int, offset bigint, message_id string"
+    log = file_stream(spark, f"{folder}/log", schema)
+    S.start(once(log), append_sink(f"{folder}/out"), f"{folder}/checkpoint-reader").awaitTermination()
+    return spark.read.parquet(f"{folder}/out").select("topic", "value")
+
+
 @query("stream_dim_upsert", LATEST_DIM_SQL, ("dim_docs",))
 def stream_dim_upsert(spark, sf):
     folder = workspace(spark, "dim-stream")

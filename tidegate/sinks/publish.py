@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from typing import Callable
+from typing import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -10,6 +10,9 @@ from tidegate import fixed_values as V
 
 MESSAGE_COLUMNS = ("topic", "key", "value")
 
+# Names a message the same on every attempt to publish it, as a column and as a header.
+MESSAGE_ID = "message_id"
+
 # Where a change lies in its source; a message carries it as headers.
 SOURCE_POSITION = ("source_ts", "xid", "xoffset")
 
@@ -26,10 +29,32 @@ def position_headers() -> Column:
     )
 
 
+def message_id(origin: str, *position: Column) -> Column:
+    """Identity of what ``origin`` makes of the change at ``position``; the parts cannot run into each other.
+
+    It holds nothing of an attempt, so a batch that is repeated, or read anew by a query without checkpoint, gives it again.
+    """
+    return F.to_json(F.array(F.lit(origin), *(part.cast("string") for part in position)))
+
+
+def message_headers(columns: Sequence[str]) -> Column | None:
+    """The headers of messages with these columns: position and identity, as far as they have them."""
+    parts = []
+    if set(SOURCE_POSITION) <= set(columns):
+        parts.append(position_headers())
+    if MESSAGE_ID in columns:
+        parts.append(F.array(F.struct(F.lit(MESSAGE_ID).alias("key"), F.col(MESSAGE_ID).cast("binary").alias("value"))))
+    return F.concat(*parts) if parts else None
+
+
+def header_text(headers: Column, name: str) -> Column:
+    """The text in the first header of this name."""
+    return F.get(F.filter(headers, lambda h: h["key"] == name), F.lit(0))["value"].cast("string")
+
+
 def header_long(headers: Column, name: str) -> Column:
     """The number in the first header of this name."""
-    found = F.get(F.filter(headers, lambda h: h["key"] == name), F.lit(0))
-    return found["value"].cast("string").try_cast("bigint")
+    return header_text(headers, name).try_cast("bigint")
 
 
 def kafka_sink_options(servers: str) -> dict[str, str]:
@@ -39,8 +64,9 @@ def kafka_sink_options(servers: str) -> dict[str, str]:
 def publish_to_kafka(messages: DataFrame, options: dict[str, str]) -> None:
     """Each message to the topic it names. A keyed message keeps its order per key."""
     columns = [c for c in MESSAGE_COLUMNS if c in messages.columns]
-    if set(SOURCE_POSITION) <= set(messages.columns):
-        columns.append(position_headers().alias("headers"))
+    headers = message_headers(messages.columns)
+    if headers is not None:
+        columns.append(headers.alias("headers"))
     messages.select(*columns).write.format("kafka").options(**options).save()
 
 

@@ -18,7 +18,7 @@ from tidegate.plans.derived_dimensions import DerivedDimensions
 from tidegate.sinks.audit import AuditTable
 from tidegate.sinks.publish import Publisher
 from tidegate.sinks.tables import IndexTable, SnapshotTable
-from tidegate.sources.change_stream import kafka_options, kafka_stream
+from tidegate.sources.change_stream import kafka_options, kafka_stream, once
 from tidegate.sources.operation_log import EVERY_ROW, oplog_stream
 from tidegate.streaming import pipelines as S
 
@@ -35,7 +35,8 @@ class Site:
 
     ``open_stream`` gives the records of a topic, from Kafka or from files. Below ``root`` lie the
     tables, rejects and checkpoints. Without ``seconds`` a query runs over what is there and ends. What a table has
-    replaced stays for ``hold_seconds``, and longer for readers with a lease.
+    replaced stays for ``hold_seconds``, and longer for readers with a lease. ``once_within`` (such as "1 hour") drops
+    messages that come again within that time; the tables do without, as they take a repeat without effect.
     """
 
     spark: SparkSession
@@ -43,6 +44,7 @@ class Site:
     root: str
     seconds: int | None = V.BATCH_SECONDS
     hold_seconds: float = 600.0
+    once_within: str | None = None
 
     def table(self, name: str) -> SnapshotTable:
         place = f"{self.root}/dim/{name}"
@@ -71,7 +73,10 @@ class Site:
 
     def start_topic(self, name: str, topic: str, sink: S.BatchSink) -> StreamingQuery:
         """Run ``sink`` over a topic; the positions of a batch are saved after it."""
-        return self.start(name, self.open_stream(topic), S.with_positions(sink, self.positions(topic), V.group_of(topic)))
+        records = self.open_stream(topic)
+        if self.once_within:
+            records = once(records, self.once_within)
+        return self.start(name, records, S.with_positions(sink, self.positions(topic), V.group_of(topic)))
 
 
 def saved_positions(spark: SparkSession, root: str, topic: str) -> SnapshotTable:

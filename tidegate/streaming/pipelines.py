@@ -31,7 +31,7 @@ from tidegate.plans.clue_enrichment import ClueDimensions, enrich_clues
 from tidegate.plans.oplog_capture import capture_entries, judged_entries
 from tidegate.schemas import LEDGER
 from tidegate.sinks.audit import AuditTable, log_outcome, observed, observed_audit, outcome_counts, write_audit
-from tidegate.sinks.publish import SOURCE_POSITION, Publisher, file_publisher
+from tidegate.sinks.publish import MESSAGE_ID, SOURCE_POSITION, Publisher, file_publisher, message_id
 from tidegate.sinks.tables import IndexTable, SnapshotTable
 from tidegate.workspace import scratch
 
@@ -142,15 +142,18 @@ def router_sink(
 ) -> BatchSink:
     """Change envelopes to topics: files below a path, or whatever a publisher such as ``kafka_publisher`` writes.
 
-    Rejected records go to a topic of their own. Messages carry the position of the change in its source. ``audit``
-    gets the counts per reason, which the write itself has observed.
+    Rejected records go to a topic of their own. Messages carry the position of the change in its source, and an id
+    that is the same if the record is published again (see ``change_stream.once``). ``audit`` gets the counts per reason,
+    which the write itself has observed.
     """
     publish = _publisher(to)
 
     def sink(batch: DataFrame, key: str) -> None:
-        routed = route(parse_envelopes(batch.drop("topic", *SOURCE_POSITION)))
+        identity = message_id("router", *(F.col(c) for c in ROW_KEY if c in batch.columns))
+        records = batch.withColumn(MESSAGE_ID, identity).drop("topic", *SOURCE_POSITION)
+        routed = route(parse_envelopes(records))
         messages = publishable_with_rejects(
-            routed.withColumn("source_ts", F.col("ts")), carry=["type", *POSITION]
+            routed.withColumn("source_ts", F.col("ts")), carry=["type", *POSITION, MESSAGE_ID]
         )
         counts = Observation()
         publish(observed(messages, counts, REASONS), key)
@@ -278,7 +281,7 @@ def oplog_sink(
     """Log entries to envelopes on the change topic, then the cursor per shard.
 
     Entries without document or key are kept below ``rejects`` and counted. The batch is read once and the judged
-    entries are kept for all that is taken from them. Of a collection that is a table with the keys ``on``, only the
+    entries are kept for all that is taken from them. Messages carry an id as those of the router do. Of a collection that is a table with the keys ``on``, only the
     buckets of the batch's documents are read.
     """
     publish = _publisher(to)
@@ -300,7 +303,8 @@ def oplog_sink(
                 )
                 unusable.write.mode("overwrite").parquet(f"{rejects}/batch={key}")
             messages = capture_entries(accepted(judged), current(accepted(judged)), on)
-            publish(messages.withColumn("topic", F.lit(V.CHANGE_TOPIC)), key)
+            identity = message_id("oplog", *(F.col(c) for c in ("ts", "ns", "type", "doc_id")))
+            publish(messages.withColumns({"topic": F.lit(V.CHANGE_TOPIC), MESSAGE_ID: identity}), key)
             cursors.upsert(high_water_mark(batch, ["shard"]))
             on_counts(key, counts)
         finally:
