@@ -1,0 +1,116 @@
+"""Entries wait for the slowest shard: order of a moved document, repeats, quiet shards, null timestamps."""
+
+import json
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidegate.functions import payload as P
+from tidegate.sinks.tables import SnapshotTable
+from tidegate.streaming import pipelines as S
+from tidegate.streaming.frontier import Frontier
+
+SCHEMA = "shard string, ts bigint, k string"
+
+
+def entries(spark, *rows):
+    return spark.createDataFrame(list(rows), SCHEMA)
+
+
+def take(frontier, batch, key, commit=True):
+    step = frontier.step(batch, key)
+    out = sorted(((r["ts"], r["shard"], r["k"]) for r in step.released.collect()), key=str)
+    if commit:
+        frontier.commit(step)
+    return out
+
+
+def test_a_lagging_shard_holds_the_others_back(spark, tmp_path):
+    f = Frontier(spark, str(tmp_path), ["a", "b"])
+    assert take(f, entries(spark, ("a", 5, "x"), ("a", 9, "x")), "0") == [] and f.value() is None
+    assert take(f, entries(spark, ("b", 1, "x"), ("b", 3, "x")), "1") == [(1, "b", "x"), (3, "b", "x")]
+    assert take(f, entries(spark, ("a", 20, "y")), "2") == []
+    assert take(f, entries(spark, ("b", 9, "z")), "3") == [(5, "a", "x"), (9, "a", "x"), (9, "b", "z")]
+    assert take(f, entries(spark, ("b", 40, "z")), "4") == [(20, "a", "y")] and f.value() == 20
+    assert take(f, entries(spark), "5") == []
+    assert take(f, entries(spark, ("a", 41, "w")), "6") == [(40, "b", "z")]
+
+
+def test_any_cut_into_batches_releases_all_once_and_in_order(spark, tmp_path):
+    import random
+
+    for seed in range(2):
+        rng = random.Random(seed)
+        logs = {s: [(s, t, f"{s}{t}") for t in sorted(rng.sample(range(60), 15))] for s in "abc"}
+        f, seen, n = Frontier(spark, f"{tmp_path}/{seed}", list("abc")), [], 0
+        while any(logs.values()):
+            batch = []
+            for s in "abc":
+                cut = rng.randrange(0, 7)
+                batch += logs[s][:cut]
+                logs[s] = logs[s][cut:]
+            before = f.value()
+            if rng.random() < 0.5:  # a crash before the state is there
+                first = take(f, entries(spark, *batch), str(n), commit=False)
+                assert take(f, entries(spark, *batch), str(n)) == first
+            else:
+                first = take(f, entries(spark, *batch), str(n))
+            assert take(f, entries(spark, *batch), str(n)) == first  # a crash behind it
+            assert all(before is None or t > before for t, _, _ in first)
+            assert all(t <= f.value() for t, _, _ in first)
+            seen += first
+            n += 1
+        last = take(f, entries(spark, *((s, 99, "end") for s in "abc")), "end")
+        assert len(seen) + len(last) == 3 * 15 + 3 and len(set(seen + last)) == 48
+        assert len(os.listdir(f"{tmp_path}/{seed}/states")) <= 2 * 2  # with check sums
+
+
+def test_released_folders_go(spark, tmp_path):
+    f = Frontier(spark, str(tmp_path), ["a", "b"])
+    for i in range(5):
+        take(f, entries(spark, ("a", 10 * i + 5, "x"), ("b", 10 * i, "y")), str(i))
+    for i in range(5, 8):
+        take(f, entries(spark, ("a", 100, "x"), ("b", 100, "y")), str(i))
+    assert [n for n in os.listdir(f"{tmp_path}/held") if n.startswith("batch=")] == []
+
+
+def test_a_quiet_shard_stops_counting_and_its_late_entries_are_released(spark, tmp_path):
+    now = [0.0]
+    f = Frontier(spark, str(tmp_path), ["a", "b"], quiet_seconds=10, clock=lambda: now[0])
+    assert take(f, entries(spark, ("a", 5, "x")), "0") == []
+    now[0] = 11.0
+    assert take(f, entries(spark, ("a", 8, "x")), "1") == [(5, "a", "x"), (8, "a", "x")]
+    assert take(f, entries(spark, ("b", 2, "y"), ("b", 9, "y")), "2") == [(2, "b", "y")] and f.value() == 8
+    now[0] = 40.0  # all are quiet: nothing is waited for
+    assert take(f, entries(spark), "3") == [(9, "b", "y")]
+
+
+def test_null_timestamps_and_unknown_shards(spark, tmp_path):
+    f = Frontier(spark, str(tmp_path), ["a"])
+    got = take(f, entries(spark, ("a", None, "n"), (None, 3, "s"), ("a", 3, "x"), ("c", 1, "new")), "0")
+    assert got == [(1, "c", "new"), (None, "a", "n")]
+    assert take(f, entries(spark, ("c", 9, "c")), "1") == [(3, "a", "x"), (3, None, "s")]
+
+
+def test_messages_of_a_moved_document_go_out_in_order(spark, tmp_path):
+    followed = spark.createDataFrame([("crm.a",)], "ns string")
+    cursors = SnapshotTable(spark, f"{tmp_path}/cursors", ["shard"], ["cursor_ts"])
+    empty = spark.createDataFrame([], "ns string, doc_id string, doc map<string,variant>")
+    sent = []
+
+    def publish(messages, key):
+        sent.append([json.loads(r["value"])["data"]["n"] for r in messages.collect()])
+
+    sink = S.oplog_sink(lambda: empty, followed, publish, cursors, ("ns", "doc_id"), frontier=Frontier(spark, f"{tmp_path}/f", ["old", "new"]))
+
+    def log(*rows):
+        data = [(ts, "crm.a", "i", json.dumps({"_id": "d", "n": ts}), shard) for shard, ts in rows]
+        frame = spark.createDataFrame(data, "ts bigint, ns string, op string, o string, shard string")
+        return frame.withColumn("o", P.parse_object(F.col("o"))).withColumn("o2", P.parse_object(F.lit(None).cast("string")))
+
+    sink(log(("new", 7), ("new", 6)), "0")  # where the document has moved to
+    sink(log(("old", 2), ("old", 1)), "1")
+    sink(log(("old", 8), ("old", 5)), "2")
+    assert sent == [[], [1, 2], [5, 6, 7]]
+    assert {r["shard"]: r["cursor_ts"] for r in cursors.read().collect()} == {"old": 8, "new": 7}

@@ -12,6 +12,7 @@ from tidegate.sinks.publish import MESSAGE_ID
 from tidegate.sinks.tables import IndexTable, SnapshotTable
 from tidegate.sources.change_stream import file_stream, once
 from tidegate.streaming import pipelines as S
+from tidegate.streaming.frontier import Frontier
 from tidegate.workspace import workspace
 
 LATEST_DIM_SQL = """select cast(id as int) as id, doc from dim_docs
@@ -196,3 +197,24 @@ def stream_oplog(spark, sf):
     )
     S.start(log, sink, f"{folder}/checkpoint").awaitTermination()
     return spark.read.parquet(f"{folder}/topics").select("ts", "ns", "type", "doc_id", "value")
+
+
+@query(
+    "oplog_frontier",
+    """select shard, ts, op, ns from (select 'shard1' as shard, ts, op, ns from oplog union all
+    select 'shard2', ts, op, ns from other_shard)
+    where ts <= least((select max(ts) from oplog), (select max(ts) from other_shard))""",
+    ("oplog", "other_shard"),
+)
+def oplog_frontier(spark, sf):
+    """One shard comes first and is held; the other releases both up to the lower of their ends."""
+    folder = workspace(spark, "frontier")
+    frontier = Frontier(spark, f"{folder}/state", ("shard1", "shard2"))
+    columns = ("ts", "op", "ns")
+    one = I.oplog(spark, sf).select(*columns, F.lit("shard1").alias("shard"))
+    two = I.other_shard(spark, sf).select(*columns, F.lit("shard2").alias("shard"))
+    for key, batch in (("0", one), ("1", two)):
+        step = frontier.step(batch, key)
+        step.released.write.parquet(f"{folder}/out/batch={key}")
+        frontier.commit(step)
+    return spark.read.parquet(f"{folder}/out").select("shard", *columns)

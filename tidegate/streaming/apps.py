@@ -21,6 +21,7 @@ from tidegate.sinks.tables import IndexTable, SnapshotTable
 from tidegate.sources.change_stream import kafka_options, kafka_stream, once
 from tidegate.sources.operation_log import EVERY_ROW, oplog_stream
 from tidegate.streaming import pipelines as S
+from tidegate.streaming.frontier import Frontier
 
 FIELD_TABLE, PARAM_TABLE = V.FIELD_TABLE, V.PARAM_TABLE
 CLUE_SEA_TABLE, CUSTOMER_SEA_TABLE = V.CLUE_SEA_TABLE, V.CUSTOMER_SEA_TABLE
@@ -199,14 +200,18 @@ def start_oplog(
     topics: str | Publisher,
     on: Sequence[str] = ("ns", "doc_id"),
     checkpoint: str | None = None,
+    shards: Sequence[str] | None = None,
+    quiet_seconds: float | None = None,
 ) -> StreamingQuery:
     """Operation-log entries of all shards (``shard`` names them) to the change topic.
 
     ``log`` is a folder of log files, or a stream of entries. The folder is read in bounded reads; without a checkpoint
-    they begin behind the cursors that were saved.
+    they begin behind the cursors that were saved. With ``shards``, the names of all shards, an entry waits until none of them
+    can give an older one (see ``Frontier``).
     """
     cursors = SnapshotTable(site.spark, f"{site.root}/cursors", ["shard"], ["cursor_ts"])
-    sink = S.oplog_sink(open_collection, followed, topics, cursors, on, site.rejects("oplog"))
+    frontier = Frontier(site.spark, f"{site.root}/frontier", shards, quiet_seconds) if shards else None
+    sink = S.oplog_sink(open_collection, followed, topics, cursors, on, site.rejects("oplog"), frontier=frontier)
     rows = V.OPLOG_READ_ROWS if site.seconds is not None else EVERY_ROW
     records = oplog_stream(site.spark, log, cursors.state(), rows) if isinstance(log, str) else log
     return S.start(records, sink, checkpoint or site.checkpoint("oplog"), "oplog", site.seconds)

@@ -33,6 +33,7 @@ from tidegate.schemas import LEDGER
 from tidegate.sinks.audit import AuditTable, log_outcome, observed, observed_audit, outcome_counts, write_audit
 from tidegate.sinks.publish import MESSAGE_ID, SOURCE_POSITION, Publisher, file_publisher, message_id
 from tidegate.sinks.tables import IndexTable, SnapshotTable
+from tidegate.streaming.frontier import Frontier, in_order
 from tidegate.workspace import scratch
 
 # The highest wins: the position in the source if the record carries it, else the offset. Records of an id lie
@@ -277,12 +278,14 @@ def oplog_sink(
     on: Sequence[str],
     rejects: str | None = None,
     on_counts: Callable[[str, Mapping[str, int]], None] = log_outcome,
+    frontier: Frontier | None = None,
 ) -> BatchSink:
     """Log entries to envelopes on the change topic, then the cursor per shard.
 
     Entries without document or key are kept below ``rejects`` and counted. The batch is read once and the judged
     entries are kept for all that is taken from them. Messages carry an id as those of the router do. Of a collection that is a table with the keys ``on``, only the
-    buckets of the batch's documents are read.
+    buckets of the batch's documents are read. With a ``frontier``, entries wait until no shard can give an older one, and
+    the messages of a document go out in order.
     """
     publish = _publisher(to)
 
@@ -294,7 +297,8 @@ def oplog_sink(
 
     def capture(batch: DataFrame, key: str) -> None:
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
-        judged = judged_entries(batch, followed).persist(StorageLevel.MEMORY_AND_DISK)
+        step = frontier.step(batch, key) if frontier else None
+        judged = judged_entries(step.released if step else batch, followed).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             counts = judged.agg(*outcome_counts()).first().asDict()
             if rejects:
@@ -304,7 +308,10 @@ def oplog_sink(
                 unusable.write.mode("overwrite").parquet(f"{rejects}/batch={key}")
             messages = capture_entries(accepted(judged), current(accepted(judged)), on)
             identity = message_id("oplog", *(F.col(c) for c in ("ts", "ns", "type", "doc_id")))
-            publish(messages.withColumns({"topic": F.lit(V.CHANGE_TOPIC), MESSAGE_ID: identity}), key)
+            messages = messages.withColumns({"topic": F.lit(V.CHANGE_TOPIC), MESSAGE_ID: identity})
+            publish(in_order(messages) if step else messages, key)
+            if step:
+                frontier.commit(step)
             cursors.upsert(high_water_mark(batch, ["shard"]))
             on_counts(key, counts)
         finally:
