@@ -502,6 +502,34 @@ def test_quotation_is_no_abuse():
     assert made.features(None) == made.features("") == made.features(" \n") == (0, 0, 0)
 
 
+def test_toxicity_learns_words_that_part_late_and_all_that_have_support(documents, spark):
+    """A toxic word equal to a clean one over 16 letters, and more toxic words than any count of entries would hold."""
+    rows, marks = [], []
+    for i in range(900):
+        word = "counterproductivxe" if i % 3 == 0 else "counterproductive"
+        rows.append((i, f"{prose(i, 12)} {word} {prose(i + 1, 3)}", "s"))
+        marks.append((i, int(i % 3 == 0), 1))
+    labels = spark.createDataFrame(marks, "doc_id long, toxic int, quality int")
+    model = toxicity.fit(documents(*rows), labels)
+    assert ("counterproductivxe", True) in model.lexicon
+    got = {r["doc_id"]: r["predicted"] for r in toxicity.scored(documents(*rows), model).collect()}
+    assert got == {i: toxic for i, toxic, _ in marks}
+
+    letters = [a + b + c for a in "bcdfgkl" for b in "aeiou" for c in "mnprst"]
+    terms = [x + y for x in letters for y in letters[:14]]
+    sample = [(" ".join(terms), 1)] * 6 + [("a clean text", 0)] * 6
+    lexicon, _ = toxicity.learned_lexicon(spark.createDataFrame(sample, "text string, toxic int"))
+    made = toxicity.Lexicon(lexicon)
+    assert len(terms) == 2940 and all(made.kind(t) == 1 for t in terms)
+
+
+def test_toxicity_of_very_long_texts_and_words(documents, spark):
+    model = toxicity.Model([("moron", True)], [], list(toxicity.PRIOR))
+    rows = [(1, "fine " * 400_000 + "you moron", "s"), (2, "x" * 2_000_000, "s"), (2, "x" * 2_000_000, "s"), (3, "moron" * 100_000, "s")]
+    got = sorted((r["doc_id"], r["exact"], r["predicted"]) for r in toxicity.scored(documents(*rows), model, threshold=0.4).collect())
+    assert got == [(1, 1, 1), (2, 0, 0), (2, 0, 0), (3, 0, 0)]
+
+
 def test_toxicity_learns_from_its_rows_alone(documents, spark):
     rows, marks = [], []
     for i in range(400):

@@ -24,9 +24,12 @@ from tidegate.llm.store import stored
 
 #: Rows that the lexicon and the model are fitted on, at most (in expectation; drawn by a hash of the id).
 TRAIN_ROWS = 16_000
-#: Entries of the lexicon, at most; those in the most toxic documents go first.
-LEXICON_ROWS = 2_000
+#: Toxic documents of the sample that an entry is in, at least, and their share if that is more.
+SUPPORT, SUPPORT_SHARE = 4, 0.004
+#: Places that the draw of the sample can tell apart.
+DRAWS = 10**15
 FUZZY_TERM, FUZZY_STEM = 5, 8
+#: Lengths of the beginnings that can be stems. Whole words are terms at any length.
 PREFIXES = range(3, 13)
 WINDOW = 8
 MEMO = 400_000
@@ -173,31 +176,34 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def learned_lexicon(sample: DataFrame, rows: int = LEXICON_ROWS) -> tuple[list[tuple[str, bool]], list[str]]:
+def learned_lexicon(sample: DataFrame) -> tuple[list[tuple[str, bool]], list[str]]:
     """Entries, and misspellings that are no hits, from rows of ``text`` and ``toxic``.
 
-    The entries are the shortest sure beginnings, each grown while most of it agrees. There are at most ``rows`` of
-    them, and so of the misspellings, as those are within one error of a closed term or a stem's beginning.
+    The entries are the shortest sure beginnings, each grown while most of it agrees, and the sure words of any length that
+    no such beginning covers. Support alone bounds them: each is in ``SUPPORT`` toxic documents of the sample or more. The
+    misspellings are words of the sample within one error of a closed term or a stem's beginning.
     """
     counts = sample.mapInArrow(_counted, "whole boolean, term string, toxic long, clean long")
     counts = stored(counts.groupBy("whole", "term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")), "toxic-terms")
     toxic = sample.agg(F.coalesce(F.sum("toxic"), F.lit(0))).first()[0]
-    least = max(4, math.ceil(toxic * 0.004))
-    sure = counts.filter((F.col("toxic") >= least) & (F.col("clean") <= F.col("toxic") * 0.02))
-    found = sure.orderBy(F.desc("toxic"), "term", "whole").limit(8 * rows).collect()
+    least = max(SUPPORT, math.ceil(toxic * SUPPORT_SHARE))
+    found = counts.filter((F.col("toxic") >= least) & (F.col("clean") <= F.col("toxic") * 0.02)).collect()
     nodes = {r.term: r.toxic for r in found if not r.whole}
     words = {r.term: r.toxic for r in found if r.whole}
+    children: dict[str, list[str]] = {}
+    for term in sorted(nodes, key=lambda t: (-nodes[t], t)):
+        children.setdefault(term[:-1], []).append(term)
     entries = {}
     for term in sorted(nodes, key=len):
         if any(term[:n] in nodes for n in range(1, len(term))):
             continue
-        while child := next((t for t in nodes if len(t) == len(term) + 1 and t.startswith(term) and nodes[t] >= 0.9 * nodes[term]), None):
-            term = child
+        while (longer := children.get(term)) and nodes[longer[0]] >= 0.9 * nodes[term]:
+            term = longer[0]
         entries[term] = words.get(term, 0) >= 0.7 * nodes[term]
-    for word in words:  # shorter than any counted beginning
-        if len(word) < PREFIXES[0]:
-            entries[word] = True
-    lexicon = sorted(entries.items(), key=lambda e: (-nodes.get(e[0], 0), e[0]))[:rows]
+    stems = {term for term, closed in entries.items() if not closed}
+    # Words that no entry covers: short ones, those that part late from a clean word, siblings of a grown beginning.
+    entries |= {word: True for word in words if not any(word[:n] in stems for n in PREFIXES)}
+    lexicon = sorted(entries.items(), key=lambda e: (-nodes.get(e[0], words.get(e[0], 0)), e[0]))
     misspelt = counts.filter("whole and clean > 0").select("term").mapInArrow(_misspelt(lexicon), "term string")
     return lexicon, [r.term for r in misspelt.collect()]
 
@@ -257,7 +263,7 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Mod
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     n = known.count()
     share = min(1.0, train_rows / max(n, 1))
-    drawn = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000)) if share < 1 else known
+    drawn = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(DRAWS)) < int(share * DRAWS)) if share < 1 else known
     third = F.pmod(F.xxhash64("doc_id", F.lit("third")), F.lit(3)) == 0
     sample = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id")
     sample = stored(sample.select("text", F.col("toxic").cast("int").alias("toxic"), third.alias("third")), "toxic-sample")
@@ -273,7 +279,7 @@ def scored(docs: DataFrame, model: Model, threshold: float = 0.7) -> DataFrame:
     """doc_id, held_out, score, predicted and the hits of each kind for each row of ``docs``, without a shuffle.
 
     A null text counts as empty; texts without a hit, empty ones too, get the score of no hits. Other columns are
-    not looked at.
+    not looked at. Repeated rows stay repeated, an empty table gives no rows, and a text or word may be of any length.
     """
     given = docs.select("doc_id", "text")
     schema = f"doc_id {dict(given.dtypes)['doc_id']}, " + ", ".join(f"{f} long" for f in FEATURES)
