@@ -182,23 +182,23 @@ def _found(row_key: Sequence[str], hits: DataFrame, slot: Column, key: Column) -
 
 
 def _wanted_seas(docs: DataFrame, row_key: Sequence[str]) -> DataFrame:
-    """One row per document with a sea: row key and ``id``."""
-    return docs.select(*row_key, F.col("_sea").alias("id")).filter(X.is_not_blank(F.col("id")))
+    """One row per document with a sea: row key and ``_ref``, its id."""
+    return docs.select(*row_key, F.col("_sea").alias("_ref")).filter(X.is_not_blank(F.col("_ref")))
 
 
 def _wanted_users(docs: DataFrame, row_key: Sequence[str]) -> DataFrame:
-    """One row per document and role that names a user: row key, ``_slot``, ``_key`` of the name, and ``id``."""
+    """One row per document and role that names a user: row key, ``_slot``, ``_key`` of the name, and ``_ref``."""
     roles = F.array(
         *(
             F.struct(
                 F.lit(SEA + 1 + i).alias("_slot"),
                 F.lit(role + V.NAME_SUFFIX).alias("_key"),
-                F.col(f"_user{i}").alias("id"),
+                F.col(f"_user{i}").alias("_ref"),
             )
             for i, role in enumerate(V.USER_ROLE_KEYS)
         )
     )
-    return docs.select(*row_key, F.inline(roles)).filter(F.col("id").isNotNull())
+    return docs.select(*row_key, F.inline(roles)).filter(F.col("_ref").isNotNull())
 
 
 def _narrowed(
@@ -207,9 +207,9 @@ def _narrowed(
     """Large seas and users cut down to what ``docs`` name, the plan that follows, and the counted ids."""
     parts: dict[str, Narrowed] = {}
     if not plan.seas:
-        parts["seas"] = narrowed(dims.seas, _wanted_seas(docs, []), ["id"], f"{place}/seas")
+        parts["seas"] = narrowed(dims.seas, _wanted_seas(docs, []).toDF("id"), ["id"], f"{place}/seas")
     if not plan.users:
-        users = _wanted_users(docs, []).select("id")
+        users = _wanted_users(docs, []).select(F.col("_ref").alias("id"))
         parts["users"] = narrowed(dims.users, users, ["id"], f"{place}/users", dims.find_users)
     dims = replace(dims, **{name: part.rows for name, part in parts.items()})
     plan = replace(plan, **{name: part.fits for name, part in parts.items()})
@@ -233,12 +233,12 @@ def _shuffled_names(
         )
         parts.append(_found(row_key, decoded, F.lit(CUSTOM), F.col("key")))
     if not plan.seas:
-        wanted = _wanted_seas(docs, row_key).withColumnRenamed("id", "_ref")
+        wanted = _wanted_seas(docs, row_key)
         seas = dims.seas.toDF("_ref", "name")
         hits = split_hot_keys_join(wanted, seas, ["_ref"], "inner", row_key, hot, counts=_counted(counts, "seas"))
         parts.append(_found(row_key, hits, F.lit(SEA), F.lit(V.SEA_NAME_KEY)))
     if not plan.users:
-        wanted = _wanted_users(docs, row_key).withColumnRenamed("id", "_ref")
+        wanted = _wanted_users(docs, row_key)
         users = dims.users.toDF("_ref", "name")
         spread = [*row_key, "_slot"]
         hits = split_hot_keys_join(wanted, users, ["_ref"], "inner", spread, hot, counts=_counted(counts, "users"))
