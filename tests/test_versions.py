@@ -228,3 +228,27 @@ def test_one_scan_of_the_changes(spark, table, change):
     table.upsert(changes.mapInArrow(count, changes.schema))
     assert seen.value == 100 and table.read().count() == 150
     assert table.read().agg(F.sum("v")).first()[0] == 50 + 200
+
+
+@pytest.mark.parametrize("buckets", [1, 3])
+def test_many_rows_are_many_buckets(spark, tmp_path, buckets):
+    """No bucket holds much more than its rows, from the first upsert and the first run on; replaced rows add none."""
+    rows = spark.range(1000).selectExpr("id", "0 as version", "'x' as name")
+    dim = T.SnapshotTable(spark, f"{tmp_path}/dim", ["id"], ["version"], buckets=buckets, bucket_rows=100)
+    dim.upsert(rows)
+    sizes = [r["count"] for r in dim.read().groupBy(T.bucket_of(["id"], dim.manifests.newest()[1]["buckets"])).count().collect()]
+    assert len(sizes) >= 10 and max(sizes) < 200
+    before = dim.manifests.newest()[1]["buckets"]
+    dim.upsert(rows.selectExpr("id", "1 as version", "'y' as name"))
+    assert dim.manifests.newest()[1]["buckets"] == before
+    dim.upsert(spark.range(1000, 3000).selectExpr("id", "2 as version", "'z' as name"))
+    assert dim.manifests.newest()[1]["buckets"] > before and dim.read().count() == 3000
+    assert dim.read().groupBy("name").count().collect() and dim.lookup(spark.range(2990, 3010)).count() == 10
+    index = T.IndexTable(spark, f"{tmp_path}/index", ["id"], ["version"], buckets=buckets, bucket_rows=100)
+    index.write(rows, "a")
+    index.compact()
+    (run,) = index.folders()
+    written = spark.read.parquet(f"{tmp_path}/index/{run}").groupBy("_bucket").count().collect()
+    assert len(written) >= 10 and max(r["count"] for r in written) < 200
+    index.write(rows.selectExpr("id", "1 as version", "'y' as name"), "b")
+    assert index.read().filter("name = 'y'").count() == 1000 and index.lookup(spark.range(5)).count() == 5

@@ -25,6 +25,8 @@ from tidegate.sinks.manifests import Leases, Manifests, drop_folder, filesystem,
 VERSIONS_KEPT = 100
 # Bytes of files that a bucket has on the average before the number of buckets is doubled.
 BUCKET_BYTES = 64 * 1024 * 1024
+# Rows of a bucket on the average, likewise: one task sorts them, and files say little of their size in memory.
+BUCKET_ROWS = 250_000
 # Runs of a level that are folded into one of the next level.
 FANOUT = 8
 LEASE_SECONDS = 3600.0
@@ -50,6 +52,13 @@ def bucket_of(keys: Sequence[str], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
 
 
+def _doubled(buckets: int, rows: int, bucket_rows: int, size: int = 0, bucket_bytes: int = BUCKET_BYTES) -> int:
+    """``buckets`` doubled until they hold no more than the given rows and bytes on the average."""
+    while rows > buckets * bucket_rows or size > buckets * bucket_bytes:
+        buckets *= 2
+    return buckets
+
+
 def _read(spark: SparkSession, schema: str, folders: Sequence[str]) -> DataFrame:
     struct = StructType.fromJson(json.loads(schema))
     return spark.read.schema(struct).parquet(*folders) if folders else spark.createDataFrame([], struct)
@@ -61,7 +70,8 @@ class SnapshotTable:
 
     A manifest per version names one folder for each bucket, that of the version that wrote it last. Readers take the
     newest manifest, so they see a batch whole or not at all. The buckets begin as ``buckets`` and are doubled by an
-    upsert that finds them larger than ``bucket_bytes`` on the average, so that small tables are one file.
+    upsert that finds them larger than ``bucket_bytes``, or gives them more than ``bucket_rows``, on the average, so that
+    small tables are one file and no task holds a large one.
 
     A version stays while it is one of the newest ``keep``, younger than ``hold_seconds``, or held by a reader's lease.
     Deleted keys stay as marked rows, so that a late or replayed older change cannot bring them back.
@@ -75,6 +85,7 @@ class SnapshotTable:
     buckets: int = 1
     bucket_bytes: int = BUCKET_BYTES
     hold_seconds: float = 0.0
+    bucket_rows: int = BUCKET_ROWS
 
     @property
     def manifests(self) -> Manifests:
@@ -148,17 +159,22 @@ class SnapshotTable:
         """
         number, manifest = self.manifests.newest()
         buckets = manifest["buckets"] if manifest else self.buckets
-        grown = manifest is not None and sum(manifest["bytes"].values()) > buckets * self.bucket_bytes
-        if grown:
-            while sum(manifest["bytes"].values()) > buckets * self.bucket_bytes:
-                buckets *= 2
         newest = latest_per_key(changes, self.keys, self.version).withColumn("_bucket", bucket_of(self.keys, buckets))
         newest = newest.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            touched = sorted(row["_bucket"] for row in newest.select("_bucket").distinct().collect())
+            found = {row["_bucket"]: row["count"] for row in newest.groupBy("_bucket").count().collect()}
+            touched = sorted(found)
             if not touched and manifest is not None:
                 return
-            self._write(newest, number + 1, manifest, buckets, None if grown else touched)
+            rows = sum(found.values()) + (self._opened(manifest).count() if manifest else 0)  # new keys at the most
+            size = sum(manifest["bytes"].values()) if manifest else 0
+            wanted = _doubled(buckets, rows, self.bucket_rows, size, self.bucket_bytes)
+            if wanted > buckets and size <= buckets * self.bucket_bytes and manifest:  # replaced rows are no growth
+                rows = self._opened(manifest).select(*self.keys).union(newest.select(*self.keys)).distinct().count()
+                wanted = _doubled(buckets, rows, self.bucket_rows)
+            grown, buckets = wanted > buckets, wanted
+            dealt = newest.withColumn("_bucket", bucket_of(self.keys, buckets)) if grown else newest
+            self._write(dealt, number + 1, manifest, buckets, None if grown else touched)
         finally:
             newest.unpersist()
         self.expire(self.keep)
@@ -172,7 +188,7 @@ class SnapshotTable:
             dealt = both.repartition(len(touched) if touched else buckets, "_bucket")  # the groups are in these already
             merged = latest_per_key(dealt, ["_bucket", *self.keys], self.version)
         else:
-            merged = merged.repartition(max(1, len(touched or [])), "_bucket")
+            merged = merged.repartition(max(1, len(touched) if touched is not None else buckets), "_bucket")
         folder = f"{self.path}/{version_folder(number)}"
         merged.write.mode("overwrite").partitionBy("_bucket").parquet(folder)
         written = [name.removeprefix("_bucket=") for name in names(self.spark, folder) if name.startswith("_bucket=")]
@@ -228,7 +244,7 @@ class IndexTable:
     A write costs what the batch holds, whatever the table's size. A replayed batch replaces its own folder. ``fold``
     merges ``fanout`` batches into a run of the first level, ``fanout`` runs of a level into one of the next, so a row is
     written once per level, and a reader opens no more than ``fanout`` folders of each of a logarithmic number of levels.
-    Runs are bucketed by key, which ``lookup`` uses.
+    Runs are bucketed by key, which ``lookup`` uses; a run has ``buckets``, doubled to ``bucket_rows`` and ``BUCKET_BYTES`` each.
 
     Folded folders stay for readers that opened the table before: until ``hold_seconds`` have passed, and longer for those
     that took a lease.
@@ -241,6 +257,7 @@ class IndexTable:
     fanout: int = FANOUT
     buckets: int = 1
     hold_seconds: float = 0.0
+    bucket_rows: int = BUCKET_ROWS
 
     def __post_init__(self) -> None:
         if self.fanout < 2:
@@ -350,9 +367,11 @@ class IndexTable:
     def _replace(self, number: int, manifest: dict, levels: list[list[str]], first: int, last: int) -> None:
         """One run of the level behind ``last`` for all that is in the levels from ``first`` on."""
         folded = [folder for level in levels[first : last + 1] for folder in level]
-        run = f"runs/{uuid.uuid4().hex}-{self.buckets}"
-        merged = self._merged(folded).withColumn("_bucket", bucket_of(self.keys, self.buckets))
-        merged.repartition(self.buckets, "_bucket").write.partitionBy("_bucket").parquet(f"{self.path}/{run}")
+        rows = sum(self.spark.read.parquet(*group).count() for group in self._alike(folded))  # told by the files' footers
+        buckets = _doubled(self.buckets, rows, self.bucket_rows, sum(folder_bytes(self.spark, f"{self.path}/{f}") for f in folded))
+        run = f"runs/{uuid.uuid4().hex}-{buckets}"
+        merged = self._merged(folded).withColumn("_bucket", bucket_of(self.keys, buckets))
+        merged.repartition(buckets, "_bucket").write.partitionBy("_bucket").parquet(f"{self.path}/{run}")
         target = last + 1 if first == last else last
         runs = [[] if first <= i <= last else list(level) for i, level in enumerate(levels)] + [[]]
         runs[max(target, 1)].append(run)
