@@ -61,7 +61,7 @@ def sink_dim_upsert(spark, sf):
     case c_custkey%3 when 0 then '未改过密码' when 1 then '改过密码' end as change_pass_name from customer""",
 )
 def sink_user_dim_upsert(spark, sf):
-    customers = I.table(spark, sf, "customer")
+    customers = I.work_table(spark, sf, "customer", "c_custkey")
     now = I.with_position(
         customers.selectExpr(f"{I.USER_DOC} as value", "c_custkey + 1 as n"), "ods_sys_user2", "n"
     )
