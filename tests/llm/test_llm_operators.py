@@ -648,3 +648,19 @@ def test_similar_passages_around_a_hot_line(documents):
     assert all(r["class_id"] == i - i % 2 and r["n_links"] == 1 for i, r in got.items())
     assert all(any(p["start"] <= 30 and p["end"] >= 90 for p in r["passages"]) for r in got.values())
     assert len(got) == 160
+
+
+def test_all_links_are_counted(documents):
+    """A passage in 40 texts and one in 5 of them, a line that alone ties nobody, and texts of one edit each, near enough if they have them side by side."""
+    from tidegate.llm import passage_dedup
+
+    rng = np.random.default_rng(6)
+    words = lambda n: [f"v{x}" for x in rng.integers(0, 10**9, n)]
+    hot, few, line = words(70), words(60), words(20)
+    rows = [words(20) + hot + words(20) + (few if i < 5 else []) + words(20) for i in range(40)]
+    rows += [words(30) + few + words(20) for _ in range(3)]
+    rows += [words(30) + line + words(60) for _ in range(10)]
+    body = words(60)
+    rows += [words(30) + [w if j != 30 + i else "edited" for j, w in enumerate(body)] + words(30) for i in range(6)]
+    got = {r["doc_id"]: r["n_links"] for r in passage_dedup.repeated_passages(documents(*[(i, " ".join(r), "s") for i, r in enumerate(rows)])).collect()}
+    assert got == {i: 42 if i < 5 else 39 for i in range(40)} | {i: 7 for i in (40, 41, 42)} | {53: 1, 54: 2, 55: 2, 56: 2, 57: 2, 58: 1}
