@@ -437,6 +437,24 @@ def segmentations_of(pieces, text, n):
     return segment_sampling.segmentations(pieces, [text] * n, list(range(n)), 2)
 
 
+def test_words_are_worked_out_once(monkeypatch):
+    """Also for the groups of texts that follow; samples do not depend on what was worked out before."""
+    pieces = segment_sampling.Pieces(MODEL)
+    texts = [prose(7, 300), "日本🙂 " + "information" * 30, " two  spaces ", ""]
+    steps = []
+    monkeypatch.setattr(pieces, "step", lambda *given, real=pieces.step: steps.append(1) or real(*given))
+    made = segment_sampling.segmentations(pieces, texts, [1, 2, 3, 4], 3)
+    assert steps and made
+    steps.clear()
+    again = segment_sampling.segmentations(pieces, texts[::-1], [4, 3, 2, 1], 3)[::-1]
+    assert not steps
+    monkeypatch.setattr(segment_sampling, "KEPT_CHARS", 1)
+    segment_sampling.segmentations(pieces, [prose(8, 300)], [9], 3)
+    anew = segment_sampling.segmentations(pieces, [prose(9, 50), *texts], [9, 1, 2, 3, 4], 3)[1:]
+    told = [[[(ids.tolist(), p, i) for ids, p, i in samples] for samples in x] for x in (made, again, anew)]
+    assert steps and told[0] == told[1] == told[2]
+
+
 def test_samples_of_a_number_for_each_row(spark):
     docs = spark.createDataFrame([(1, "the of and", 3), (2, "", 2), (3, "the of", 1)], "doc_id long, text string, n int")
     got = segment_sampling.sampled(docs, MODEL, k=F.col("n"), again=True).collect()

@@ -30,6 +30,8 @@ TEMPERATURE = 2e-4
 WORD_CHARS = 128
 #: Places of a longer word whose edges are looked up at once.
 BLOCK = 65_536
+#: Characters of the words whose lattices stay for the next texts, some; an edge takes 17 bytes.
+KEPT_CHARS = 1_000_000
 #: Scores from here down mark pieces without a rank of their own, as runs of spaces; they count as the least rank.
 NO_RANK = -1e8
 #: Characters of the texts that share one table of word lattices, and ids that go out at once, some. A sample of a text takes
@@ -48,7 +50,9 @@ class Pieces:
 
         model = sentencepiece.SentencePieceProcessor(model_file=model_file)
         ids = range(model.get_piece_size())
-        self.text = [b"" if model.is_control(i) or model.is_unknown(i) else bytes([int(model.id_to_piece(i)[3:5], 16)]) if model.is_byte(i) else model.id_to_piece(i).replace(SPACE, " ").encode() for i in ids]
+        text = [b"" if model.is_control(i) or model.is_unknown(i) else bytes([int(model.id_to_piece(i)[3:5], 16)]) if model.is_byte(i) else model.id_to_piece(i).replace(SPACE, " ").encode() for i in ids]
+        self.text = pa.array(text, pa.large_binary())
+        self._lattices: Lattices | None = None
         self.bytes = np.array([model.piece_to_id(f"<0x{b:02X}>") for b in range(256)], np.int32)
         plain = [i for i in ids if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i) or model.is_unused(i))]
         chars = sorted({c for i in plain for c in model.id_to_piece(i)})
@@ -72,6 +76,7 @@ class Pieces:
         order = np.argsort(keys)
         self.keys, self.next = keys[order], np.array(list(moves.values()), np.int64)[order]
         self.piece, self.score = np.array(piece, np.int32), np.array(score)
+        self.begin = self.step(np.zeros(self.n_chars, np.int64), np.arange(self.n_chars))
         self.bytes_score = least * TEMPERATURE + BYTES_SCORE
 
     def step(self, node: np.ndarray, char: np.ndarray) -> np.ndarray:
@@ -82,90 +87,177 @@ class Pieces:
 
     def decoded(self, ids: np.ndarray) -> str:
         """The text of a whole segmentation; spaces come back for their marks."""
-        text = b"".join(map(self.text.__getitem__, ids.tolist()))
-        return text[1:].decode(errors="replace")
+        return self.written(ids)[1:].decode(errors="replace")
+
+    def written(self, ids: np.ndarray) -> bytes:
+        """The bytes of all pieces in a row, with the space that a text begins with."""
+        if not len(ids):
+            return b""
+        taken = self.text.take(pa.array(ids))
+        low, high = taken.offset, taken.offset + len(taken)
+        ends = np.frombuffer(taken.buffers()[1], np.int64)
+        return taken.buffers()[2][int(ends[low]) : int(ends[high])].to_pybytes()
+
+    def lattices(self) -> Lattices:
+        """The lattices of the words met so far, or new ones where these are ``KEPT_CHARS`` or more."""
+        if self._lattices is None or self._lattices.rows >= KEPT_CHARS:
+            self._lattices = Lattices(self)
+        return self._lattices
 
 
 class Lattices:
-    """Word lattices in tables with a row for each node and a column for each length of an edge."""
-
-    def __init__(self, pieces: Pieces, words: list[str]):
-        self.length = np.array([len(w) for w in words], np.int64)
-        by_length = np.argsort(self.length, kind="stable")  # the rows of words of one length lie together
-        self.base = np.zeros(len(words), np.int64)
-        self.base[by_length] = np.cumsum(self.length[by_length]) - self.length[by_length]
-        total, width = int(self.length.sum()), pieces.longest
-        self.cum = np.ones((total, width), np.float32)
-        self.logp = np.full((total, width), -np.inf)
-        self.piece = np.full((total, width), -1, np.int32)
-        self.char = np.zeros(total, np.uint32)
-        for index in np.split(by_length, np.nonzero(np.diff(self.length[by_length]))[0] + 1) if len(words) else ():
-            if self.length[index[0]] > WORD_CHARS:
-                for i in index.tolist():
-                    self._fill_long(pieces, int(self.base[i]), np.frombuffer(words[i].encode("utf-32-le"), np.uint32))
-            elif self.length[index[0]]:
-                self._fill(pieces, "".join(words[i] for i in index.tolist()), int(self.base[index[0]]), len(index))
-
-    def _fill(self, pieces: Pieces, text: str, base: int, words: int) -> None:
-        """Rows of ``words`` words of one length, whose characters follow each other in ``text``."""
-        code = np.frombuffer(text.encode("utf-32-le"), np.uint32)
-        total, most = len(code), pieces.longest
-        n = total // words
-        rows = slice(base, base + total)
-        logp, piece = self.logp[rows], self.piece[rows]
-        logp[:, 0], piece[:, 0] = pieces.bytes_score, _BYTES
-        char, left = pieces.char[code], n - np.tile(np.arange(n), words)
-        alive, node = np.arange(total), np.zeros(total, np.int64)
-        for d in range(min(n, most)):
+    """Word lattices, the edges of each node side by side; words that were met stay, so that later texts find them."""
+
+    def __init__(self, pieces: Pieces):
+        self.pieces = pieces
+        self.index = _Index()
+        self.rows = self.edges = 0
+        self.length, self.base = np.zeros(0, np.int64), np.zeros(0, np.int64)  # of each word
+        self.first, self.char = np.zeros(1, np.int64), np.zeros(0, np.uint32)  # of each node
+        # Of each edge; ``cum`` are the odds up to an edge in parts of 2 ** 32, the whole for the last one of a node.
+        self.cum, self.logp = np.zeros(0, np.uint32), np.zeros(0)
+        self.piece, self.size = np.zeros(0, np.int32), np.zeros(0, np.uint8)
+
+    def numbers(self, text: str) -> np.ndarray:
+        """The number of each word of a text; new ones await ``fill``."""
+        keys = text.replace(SPACE, " ").split(" ") if text else []
+        if "" in keys:
+            keys = [w[1:] for w in _words(SPACE + text.replace(" ", SPACE))]
+        return np.fromiter(map(self.index.__getitem__, keys), np.int64, len(keys))
+
+    def fill(self) -> None:
+        """Work out the words that are new."""
+        words, self.index.new = [SPACE + w for w in self.index.new], []
+        if not words:
+            return
+        length = np.fromiter(map(len, words), np.int64, len(words))
+        self.length = np.concatenate([self.length, length])
+        self.base = np.concatenate([self.base, self.rows + np.cumsum(length) - length])
+        start = 0
+        for i in [*np.nonzero(length > WORD_CHARS)[0].tolist(), len(words)]:
+            if start < i:
+                self._fill("".join(words[start:i]), length[start:i])
+            if i < len(words):
+                self._fill_long(np.frombuffer(words[i].encode("utf-32-le"), np.uint32))
+            start = i + 1
+
+    def row(self, edge: np.ndarray) -> np.ndarray:
+        """The nodes of these edges."""
+        return np.searchsorted(self.first[: self.rows + 1], edge, side="right") - 1
+
+    def draw(self, row: np.ndarray, u: np.ndarray) -> np.ndarray:
+        """The edge of each node that a number of 32 bits picks."""
+        u = np.minimum(u, np.uint64(0xFFFFFFFE)).astype(np.uint32)
+        edge = self.first[row]
+        on = np.nonzero(self.cum[edge] <= u)[0]
+        at, left = edge[on], u[on]
+        while len(on):
+            at += 1
+            edge[on] = at
+            more = self.cum[at] <= left
+            on, at, left = on[more], at[more], left[more]
+        return edge
+
+    def _found(self, code: np.ndarray, left: np.ndarray, n: int) -> tuple[np.ndarray, ...]:
+        """(node, size, piece, score) of the edges of the first ``n`` nodes, by node and size; ``left`` are the characters to a word's end."""
+        pieces, char = self.pieces, self.pieces.char[code]
+        alive, node, found = np.arange(n), np.zeros(n, np.int64), []
+        for d in range(pieces.longest):
             there = left[alive] > d
             alive, node = alive[there], node[there]
-            node = pieces.step(node, char[alive + d])
+            node = pieces.step(node, char[alive + d]) if d else pieces.begin[char[:n]]
+            ends = (node >= 0) & (pieces.piece[node] >= 0)
+            if d:
+                found.append((alive[ends], pieces.piece[node[ends]], pieces.score[node[ends]]))
+            else:  # a character that is no piece goes out as bytes
+                found.append((alive, np.where(ends, pieces.piece[node], _BYTES), np.where(ends, pieces.score[node], pieces.bytes_score)))
             alive, node = alive[node >= 0], node[node >= 0]
             if not len(alive):
                 break
-            ends = pieces.piece[node] >= 0
-            logp[alive[ends], d], piece[alive[ends], d] = pieces.score[node[ends]], pieces.piece[node[ends]]
-        self.char[rows] = code
-        logp, cum, ahead = logp.reshape(words, n, most), self.cum[rows].reshape(words, n, most), np.zeros((words, n + 1))
-        for i in range(n - 1, -1, -1):
-            width = min(most, n - i)
-            weight = logp[:, i, :width] + ahead[:, i + 1 : i + 1 + width]
-            top = weight.max(axis=1)
-            odds = np.exp(weight - top[:, None])
-            mass = odds.sum(axis=1)
-            ahead[:, i] = top + np.log(mass)
-            cum[:, i, :width] = np.cumsum(odds / mass[:, None], axis=1)
-            cum[:, i, width:] = cum[:, i, width - 1, None]
-            logp[:, i, :width] = weight - ahead[:, i, None]
-
-    def _fill_long(self, pieces: Pieces, base: int, code: np.ndarray) -> None:
+        size = np.repeat(np.arange(1, len(found) + 1), [len(f[0]) for f in found])
+        row, piece, score = (np.concatenate([f[i] for f in found]) for i in range(3))
+        order = np.argsort(row, kind="stable")
+        return row[order], size[order], piece[order], score[order]
+
+    def _add(self, code: np.ndarray, row: np.ndarray, size: np.ndarray, piece: np.ndarray, logp: np.ndarray) -> None:
+        """Append nodes with their edges, whose odds add up to one for each node."""
+        count = np.bincount(row, minlength=len(code))
+        first = np.cumsum(count) - count
+        odds, cum = np.exp(logp), np.empty(len(logp), np.uint32)
+        total, at = np.zeros(len(code)), np.arange(len(code))
+        for k in range(int(count.max())):  # node by node, so that the place in the tables does not matter
+            at = at[count[at] > k]
+            total[at] += odds[first[at] + k]
+            cum[first[at] + k] = np.minimum(total[at] * 2.0**32, 0xFFFFFFFF)
+        cum[first + count - 1] = 0xFFFFFFFF
+        for name, n, values in (("first", self.rows + 1, self.edges + first + count), ("char", self.rows, code)):
+            setattr(self, name, _appended(getattr(self, name), n, values))
+        for name, values in (("cum", cum), ("logp", logp), ("piece", piece), ("size", size)):
+            setattr(self, name, _appended(getattr(self, name), self.edges, values))
+        self.rows, self.edges = self.rows + len(code), self.edges + len(logp)
+
+    def _fill(self, text: str, length: np.ndarray) -> None:
+        """Words of these lengths, whose characters follow each other in ``text``."""
+        code = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+        n = len(code)
+        left = np.repeat(np.cumsum(length), length) - np.arange(n)
+        row, size, piece, score = self._found(code, left, n)
+        ahead = np.zeros(n + 1)  # the mass behind each node, the last one for all ends of words
+        to = np.where(size == left[row], n, row + size)
+        order = np.argsort(left[row].astype(np.uint8), kind="stable")  # from the ends of the words on
+        new = np.diff(row[order], prepend=-1) != 0
+        begins, rows = np.nonzero(new)[0], row[order][new]
+        by_to, by_score, count = to[order], score[order], np.diff(begins, append=len(order))
+        nodes = np.concatenate([[0], np.cumsum(np.bincount(left[rows]))])
+        for a, b in zip(nodes[:-1].tolist(), nodes[1:].tolist()):
+            if a == b:
+                continue
+            low, high = begins[a], begins[b] if b < len(begins) else len(order)
+            weight = by_score[low:high] + ahead[by_to[low:high]]
+            top = np.maximum.reduceat(weight, begins[a:b] - low)
+            odds = np.exp(weight - np.repeat(top, count[a:b]))
+            ahead[rows[a:b]] = top + np.log(np.add.reduceat(odds, begins[a:b] - low))
+        self._add(code, row, size, piece, score + ahead[to] - ahead[row])
+
+    def _fill_long(self, code: np.ndarray) -> None:
         """As ``_fill`` for one word, in blocks from its end; the masses behind a block are carried over its border."""
-        n, most = len(code), pieces.longest
-        char, ahead = pieces.char[code], np.full(n + most, -np.inf)
+        n, most = len(code), self.pieces.longest
+        ahead, blocks = np.full(n + most, -np.inf), []
         ahead[n] = 0.0
         for low in range((n - 1) // BLOCK * BLOCK, -1, -BLOCK):
             high = min(low + BLOCK, n)
-            weight, piece = np.full((high - low, most), -np.inf), np.full((high - low, most), -1, np.int32)
-            weight[:, 0], piece[:, 0] = pieces.bytes_score, _BYTES
-            alive, node = np.arange(low, high), np.zeros(high - low, np.int64)
-            for d in range(most):
-                there = alive + d < n
-                alive, node = alive[there], node[there]
-                node = pieces.step(node, char[alive + d])
-                alive, node = alive[node >= 0], node[node >= 0]
-                if not len(alive):
-                    break
-                ends = pieces.piece[node] >= 0
-                weight[alive[ends] - low, d], piece[alive[ends] - low, d] = pieces.score[node[ends]], pieces.piece[node[ends]]
-            for i in range(high - 1, low - 1, -1):
-                row = weight[i - low]
-                row += ahead[i + 1 : i + 1 + most]
-                top = row.max()
-                ahead[i] = top + math.log(np.exp(row - top).sum())
-            weight -= ahead[low:high, None]
-            rows = slice(base + low, base + high)
-            self.cum[rows], self.logp[rows], self.piece[rows] = np.cumsum(np.exp(weight), axis=1), weight, piece
-        self.char[base : base + n] = code
+            row, size, piece, score = self._found(code[low : high + most], n - np.arange(low, high), high - low)
+            begins, to = np.searchsorted(row, np.arange(high - low + 1)).tolist(), row + size + low
+            for i in range(high - low - 1, -1, -1):
+                a, b = begins[i], begins[i + 1]
+                weight = score[a:b] + ahead[to[a:b]]
+                top = weight.max()
+                ahead[low + i] = top + math.log(np.exp(weight - top).sum())
+            blocks.append((code[low:high], row, size, piece, score + ahead[to] - ahead[row + low]))
+        for block in reversed(blocks):
+            self._add(*block)
+
+
+class _Index(dict):
+    """Number of each word, given when it is first met; words are named without the space that each begins with."""
+
+    def __init__(self) -> None:
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        self[word] = n = len(self)
+        self.new.append(word)
+        return n
+
+
+def _appended(table: np.ndarray, n: int, values: np.ndarray) -> np.ndarray:
+    """The first ``n`` values of a table and ``values``, with room for more if the table must grow."""
+    if n + len(values) > len(table):
+        grown = np.empty((n + len(values)) * 5 // 4, table.dtype)
+        grown[:n] = table[:n]
+        table = grown
+    table[n : n + len(values)] = values
+    return table
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -174,16 +266,15 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def uniform(seed: np.ndarray, *place) -> np.ndarray:
-    """Numbers in (0, 1) that depend on seed and place alone."""
-    x = np.atleast_1d(np.asarray(seed)).astype(np.uint64)
+def _hashed(seed: np.ndarray, *place) -> np.ndarray:
+    """Numbers of 64 bits that depend on seed and place alone."""
     for p in place:
-        x = _mixed(x + np.asarray(p).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(1))
-    return ((x >> np.uint64(11)).astype(np.float64) + 0.5) / 2.0**53
+        seed = _mixed(seed + np.asarray(p).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(1))
+    return seed
 
 
 def _uniform_one(seed: int, place: int) -> float:
-    """As ``uniform`` for one number."""
+    """A number in (0, 1), of the hash of one place."""
     full = (1 << 64) - 1
     x = (seed + place * 0x9E3779B97F4A7C15 + 1) & full
     x = ((x ^ (x >> 30)) * 0xBF58476D1CE4E5B9) & full
@@ -198,13 +289,14 @@ def _truncated(log_mass: float, bound: float, u: float) -> float:
 
 
 class _Path:
-    """Steps (row, edge, word occurrence) of one segmentation and the log mass of each prefix."""
+    """Steps (edge, word occurrence) of one segmentation and the log mass of each prefix."""
 
-    __slots__ = ("row", "edge", "occ", "before")
+    __slots__ = ("edge", "occ", "before")
 
-    def __init__(self, lattices: Lattices, row: np.ndarray, edge: np.ndarray, occ: np.ndarray):
-        self.row, self.edge, self.occ = row, edge, occ
-        self.before = np.concatenate([[0.0], np.cumsum(lattices.logp[row, edge])])
+    def __init__(self, lattices: Lattices, edge: np.ndarray, occ: np.ndarray):
+        self.edge, self.occ = edge, occ
+        self.before = np.zeros(len(edge) + 1)
+        np.cumsum(lattices.logp[edge], out=self.before[1:])
 
 
 class _Search:
@@ -218,7 +310,7 @@ class _Search:
         self.seed, self.drawn = seed, 0
         self.queue: list[tuple] = []
         self.found = [(first, -math.log(-math.log(self._u())))]
-        self._add_leaving(first, 0, len(first.row), self.found[0][1])
+        self._add_leaving(first, 0, len(first.edge), self.found[0][1])
 
     def _u(self) -> float:
         self.drawn += 1
@@ -243,52 +335,54 @@ class _Search:
             self._add_leaving(path, a, t, bound)
             self._add_leaving(path, t + 1, b, bound)
             taken = (int(path.edge[t]),)
-        odds = np.exp(lattices.logp[path.row[t]])
-        odds[list(taken)] = 0
+        row = int(lattices.row(path.edge[t]))
+        first = int(lattices.first[row])
+        odds = np.exp(lattices.logp[first : lattices.first[row + 1]])
+        odds[[e - first for e in taken]] = 0
         cum = np.cumsum(odds)
         edge = min(int(np.searchsorted(cum, self._u() * cum[-1], side="right")), int(np.nonzero(odds)[0][-1]))
         odds[edge] = 0
         if (left := odds.sum()) > 0:
-            self.queue.append((_truncated(float(path.before[t]) + math.log(left), bound, self._u()), path, t, t + 1, (*taken, edge)))
-        return bound, path, t, edge
+            self.queue.append((_truncated(float(path.before[t]) + math.log(left), bound, self._u()), path, t, t + 1, (*taken, first + edge)))
+        return bound, path, t, first + edge
 
     def add(self, path: _Path, t: int, bound: float) -> None:
         self.found.append((path, bound))
-        self._add_leaving(path, t + 1, len(path.row), bound)
+        self._add_leaving(path, t + 1, len(path.edge), bound)
 
     def bound(self) -> float:
         """Perturbed score of the best path not found."""
         return max((q[0] for q in self.queue), default=-np.inf)
 
 
-def _walk(lattices: Lattices, word: np.ndarray, start: np.ndarray, seed: np.ndarray, number: np.ndarray, turn: int):
-    """Draw the rest of each word: steps (row, edge, occurrence) in the order of the occurrences."""
-    at, pos, steps = np.nonzero(start < lattices.length[word])[0], start.astype(np.int64), []
+def _walk(lattices: Lattices, word: np.ndarray, start: np.ndarray, noise: np.ndarray):
+    """Draw the rest of each word: steps (edge, occurrence) in the order of the occurrences."""
+    length, base = lattices.length[word], lattices.base[word]
+    at = np.nonzero(start < length)[0]
+    row, base, noise, steps = base[at] + start[at], base[at], noise[at], []
+    end = base + length[at]
     while len(at):
-        row = lattices.base[word[at]] + pos[at]
-        cum = lattices.cum[row]
-        u = uniform(seed[at], turn, number[at], pos[at]).astype(np.float32)[:, None] * cum[:, -1:]
-        edge = np.minimum((cum <= u).sum(axis=1), cum.shape[1] - 1)
-        edge = np.where(lattices.piece[row, edge] == -1, (cum < cum[:, -1:]).sum(axis=1), edge)
-        steps.append((at, row, edge))
-        pos[at] += edge + 1
-        at = at[pos[at] < lattices.length[word[at]]]
+        edge = lattices.draw(row, _hashed(noise, row - base) >> np.uint64(32))
+        steps.append((at, edge))
+        row += lattices.size[edge]
+        on = row < end
+        at, row, base, end, noise = at[on], row[on], base[on], end[on], noise[on]
     counts = np.zeros(len(word), np.int64)
-    for i, (at, _, _) in enumerate(steps):
+    for i, (at, _) in enumerate(steps):
         counts[at] = i + 1
     offset = np.concatenate([[0], np.cumsum(counts)])
-    row, edge = np.empty(offset[-1], np.int64), np.empty(offset[-1], np.int64)
-    for i, (at, r, e) in enumerate(steps):
-        row[offset[at] + i], edge[offset[at] + i] = r, e
-    return row, edge, np.repeat(np.arange(len(word)), counts), offset
+    edges = np.empty(offset[-1], np.int64)
+    for i, (at, edge) in enumerate(steps):
+        edges[offset[at] + i] = edge
+    return edges, np.repeat(np.arange(len(word)), counts), offset
 
 
 def _ids(pieces: Pieces, lattices: Lattices, path: _Path) -> np.ndarray:
-    ids = lattices.piece[path.row, path.edge]
+    ids = lattices.piece[path.edge]
     raw = np.nonzero(ids == _BYTES)[0]
     if not len(raw):
         return ids
-    char = lattices.char[path.row[raw]]
+    char = lattices.char[lattices.row(path.edge[raw])]
     if char.max() < 128:
         ids[raw] = pieces.bytes[char]
         return ids
@@ -304,21 +398,18 @@ def segmentations(pieces: Pieces, texts: list[str], seeds: list[int], k: int | l
     ``k`` is one number of 1 or more, or one for each text.
     """
     wanted = [k] * len(texts) if isinstance(k, int) else k
-    index: dict[str, int] = {}
-    word, ends = [], [0]
-    for text in texts:
-        words = _words(SPACE + text.replace(" ", SPACE)) if text else []
-        word += [index.setdefault(w, len(index)) for w in words]
-        ends.append(len(word))
-    word, ends = np.array(word, np.int64), np.array(ends)
-    lattices = Lattices(pieces, list(index))
+    lattices = pieces.lattices()
+    words = [lattices.numbers(text) for text in texts]
+    lattices.fill()
+    ends = np.concatenate([[0], np.cumsum([len(w) for w in words], dtype=np.int64)])
+    word = np.concatenate([np.zeros(0, np.int64), *words])
     number = np.arange(len(word)) - np.repeat(ends[:-1], np.diff(ends))
     seed = np.repeat(np.array(seeds, np.int64).view(np.uint64), np.diff(ends))
-    row, edge, occ, offset = _walk(lattices, word, np.zeros(len(word), np.int64), seed, number, 1)
+    edge, occ, offset = _walk(lattices, word, np.zeros(len(word), np.int64), _hashed(seed, 1, number))
     searches = []
     for i, s in enumerate(seeds):
         a, b = offset[ends[i]], offset[ends[i + 1]]
-        searches.append(_Search(s & (2**64 - 1), _Path(lattices, row[a:b], edge[a:b], occ[a:b])))
+        searches.append(_Search(s & (2**64 - 1), _Path(lattices, edge[a:b], occ[a:b])))
     for turn in range(2, max(wanted, default=0) + 1):
         opened = [(i, *best) for i, s in enumerate(searches) if wanted[i] >= turn and (best := s.open_best(lattices))]
         if not opened:
@@ -328,18 +419,13 @@ def segmentations(pieces: Pieces, texts: list[str], seeds: list[int], k: int | l
             o = int(path.occ[t])
             spans.append(np.arange(o, ends[i + 1]))
             starts.append(np.zeros(ends[i + 1] - o, np.int64))
-            starts[-1][0] = path.row[t] - lattices.base[word[o]] + e + 1
+            starts[-1][0] = lattices.row(e) - lattices.base[word[o]] + lattices.size[e]
         span = np.concatenate(spans)
-        row, edge, occ, offset = _walk(lattices, word[span], np.concatenate(starts), seed[span], number[span], turn)
+        edge, occ, offset = _walk(lattices, word[span], np.concatenate(starts), _hashed(seed[span], turn, number[span]))
         border = np.concatenate([[0], np.cumsum([len(s) for s in spans])])
         for j, (i, bound, path, t, e) in enumerate(opened):
             a, b = offset[border[j]], offset[border[j + 1]]
-            new = _Path(
-                lattices,
-                np.concatenate([path.row[: t + 1], row[a:b]]),
-                np.concatenate([path.edge[:t], [e], edge[a:b]]),
-                np.concatenate([path.occ[: t + 1], span[occ[a:b]]]),
-            )
+            new = _Path(lattices, np.concatenate([path.edge[:t], [e], edge[a:b]]), np.concatenate([path.occ[: t + 1], span[occ[a:b]]]))
             searches[i].add(new, t, bound)
     out = []
     for s in searches:
@@ -425,7 +511,7 @@ def sampled(docs: DataFrame, model_file: str, k: int | Column, seed: int = 1, wi
             pa.array([len(f[1]) for f in flat], pa.int64()),
             pa.array([f[2] for f in flat], pa.float64()),
             pa.array([f[3] for f in flat], pa.float64()),
-            pa.array([pieces.decoded(f[1]) == texts[i].replace(SPACE, " ") for i, f in zip(of, flat)], pa.bool_()),
+            pa.array([pieces.written(f[1])[1:] == texts[i].replace(SPACE, " ").encode() for i, f in zip(of, flat)], pa.bool_()),
             pa.array([hashlib.sha256(f[1].astype("<i4").tobytes()).hexdigest() for f in flat], pa.string()),
         ]
         names = ["doc_id", "sample", "n_pieces", "log_prob", "log_inclusion", "round_trip", "ids_sha256"]
