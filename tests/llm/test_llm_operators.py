@@ -582,6 +582,22 @@ def test_toxicity_learns_from_its_rows_alone(documents, spark):
 # 3 passages
 
 
+def test_windows_do_not_travel_with_pairs(documents, monkeypatch):
+    """Texts that repeat a line meet once, however often they have it, and the passage between the lines is found."""
+    from tidegate.llm import passage_dedup
+
+    rng = np.random.default_rng(8)
+    words = lambda n: [f"v{x}" for x in rng.integers(0, 10**9, n)]
+    line, passage, kept = words(40), words(60), {}
+    rows = [sum((line + words(25) for _ in range(60)), []) + (passage + words(30) if i % 3 == 0 else []) for i in range(9)]
+    monkeypatch.setattr(passage_dedup, "stored", lambda frame, name, real=passage_dedup.stored: kept.setdefault(name, real(frame, name)))
+    got = {r["doc_id"]: r for r in passage_dedup.repeated_passages(documents(*[(i, " ".join(r), "s") for i, r in enumerate(rows)])).collect()}
+    assert kept["passage-pairs"].columns == ["a", "b"] and kept["passage-pairs"].count() <= 36
+    assert all(any(p["start"] <= 3900 and p["end"] >= 3960 for p in got[i]["passages"]) for i in (0, 3, 6))
+    members = kept["passage-members"]
+    assert members.groupBy("key", "side", "flank", "cls").count().filter("count > 1").count() == 0
+
+
 @pytest.mark.parametrize("n", [0, 19, 20, 21, 90])
 def test_compact_windows_against_brute_force(n):
     from tidegate.llm import passage_dedup
