@@ -73,8 +73,16 @@ class Pieces:
             piece[node], score[node] = i, max(model.get_score(i), least) * TEMPERATURE
         self.longest = max(len(model.id_to_piece(i)) for i in plain)
         keys = np.array([a * self.n_chars + b for a, b in moves], np.int64)
-        order = np.argsort(keys)
-        self.keys, self.next = keys[order], np.array(list(moves.values()), np.int64)[order]
+        self.shift = np.uint64(64 - (4 * len(keys)).bit_length())
+        self.keys = np.full(1 << (4 * len(keys)).bit_length(), -1, np.int64)  # a hash table; a key lies in its slot or one behind it
+        self.next = np.full(len(self.keys), -1, np.int64)
+        left, to, slot = keys, np.array(list(moves.values()), np.int64), self._slot(keys)
+        while len(left):
+            free = self.keys[slot] == -1
+            self.keys[slot[free]] = left[free]
+            there = self.keys[slot] == left
+            self.next[slot[there]] = to[there]
+            left, to, slot = left[~there], to[~there], (slot[~there] + 1) % len(self.keys)
         self.piece, self.score = np.array(piece, np.int32), np.array(score)
         self.begin = self.step(np.zeros(self.n_chars, np.int64), np.arange(self.n_chars))
         self.bytes_score = least * TEMPERATURE + BYTES_SCORE
@@ -82,8 +90,20 @@ class Pieces:
     def step(self, node: np.ndarray, char: np.ndarray) -> np.ndarray:
         """Nodes behind the given ones, -1 for none."""
         key = node * self.n_chars + char
-        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-        return np.where(self.keys[at] == key, self.next[at], -1)
+        slot = self._slot(key)
+        held = self.keys[slot]
+        out = np.where(held == key, self.next[slot], -1)
+        on = np.nonzero((held != key) & (held != -1))[0]
+        while len(on):
+            slot[on] = (slot[on] + 1) % len(self.keys)
+            held = self.keys[slot[on]]
+            hit = held == key[on]
+            out[on[hit]] = self.next[slot[on[hit]]]
+            on = on[~hit & (held != -1)]
+        return out
+
+    def _slot(self, key: np.ndarray) -> np.ndarray:
+        return ((key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
 
     def decoded(self, ids: np.ndarray) -> str:
         """The text of a whole segmentation; spaces come back for their marks."""
