@@ -598,6 +598,70 @@ def test_windows_do_not_travel_with_pairs(documents, monkeypatch):
     assert members.groupBy("key", "side", "flank", "cls").count().filter("count > 1").count() == 0
 
 
+def test_texts_do_not_travel_with_pairs(documents, monkeypatch):
+    """Each two of 40 texts are compared, those of different places too, and each text goes once to a place."""
+    from tidegate.llm import passage_dedup
+
+    rng = np.random.default_rng(9)
+    words = lambda n: [f"v{x}" for x in rng.integers(0, 10**9, n)]
+    line, rows = words(26), []
+    for _ in range(20):
+        left, right = words(17), words(17)
+        rows += [words(30) + left + line + right + words(30), words(30) + left[:15] + words(1) + left[16:] + line + right + words(30)]
+    for chars in (passage_dedup.PLACE_CHARS, 4_000):
+        kept = {}
+        with monkeypatch.context() as m:
+            m.setattr(passage_dedup, "PLACE_CHARS", chars)
+            m.setattr(passage_dedup, "stored", lambda frame, name, real=passage_dedup.stored, kept=kept: kept.update({name: real(frame, name)}) or kept[name])
+            got = {r["doc_id"]: r for r in passage_dedup.repeated_passages(documents(*[(i, " ".join(r), "s") for i, r in enumerate(rows)])).collect()}
+        assert {i: (r["class_id"], r["n_links"]) for i, r in got.items()} == {i: (i - i % 2, 1) for i in range(40)}
+        pairs, sent = kept["passage-pairs"].count(), kept["passage-placed"]
+        assert pairs > 700 and sent.count() == sent.distinct().count() and sent.count() < (pairs if chars == 4_000 else pairs / 2)
+        assert (kept["passage-places"].select("x", "y").distinct().count() > 1) == (chars == 4_000)
+
+
+def test_runs_of_a_word_are_told_apart_early():
+    """A word said 40 times in two texts is no passage; said 60 times it is one. Only then are windows looked through."""
+    from tidegate.llm import passage_dedup
+
+    def texts(n):
+        return [" ".join([f"{of}{i}" for i in range(70)] + ["the"] * n + [f"{of}{i}" for i in range(70, 140)]).encode() for of in "ab"]
+
+    (one, two), (three, four) = passage_dedup._texts(texts(40)), passage_dedup._texts(texts(60))
+    hit = passage_dedup._among(one.shingles, two.sorted)
+    assert hit.sum() == 36 and not one.similar(0, hit) and passage_dedup._passages(one, two) == []
+    assert three.similar(0, passage_dedup._among(three.shingles, four.sorted))
+    assert any(p[0] <= 70 and p[1] >= 130 and p[2] <= 70 and p[3] >= 130 for p in passage_dedup._passages(three, four))
+
+
+def test_texts_worked_on_together_are_as_alone():
+    from tidegate.llm import passage_dedup
+
+    line = prose(1, 30)
+    bodies = [" ".join([prose(i, 60), line, "the " * 70 * (i % 2), line, prose(i + 9, 60)]).encode() for i in range(6)]
+    for body, together in zip(bodies, passage_dedup._texts(bodies)):
+        (alone,) = passage_dedup._texts([body])
+        assert together.shingles.tolist() == alone.shingles.tolist() and len(alone.grouped[0])
+        assert all(x.tolist() == y.tolist() for x, y in zip(together.grouped, alone.grouped))
+
+
+def test_word_hashes_tell_words_apart():
+    """As bytes.split() has them, with A-Z lower-cased; words that are equal but for a zero byte, their length or a late byte differ."""
+    from tidegate.llm import passage_dedup
+
+    rnd, seen = random.Random(4), {}
+    letters = [b"a", b"A", b"b", b"\0", b" ", b"\t", b"\x0b", b"\x0c", b"\r", b"\n", b"\x1c", b"\x85", "\u00e4".encode()]
+    texts = [b"", b" ", b"a", b"\0", b"\0\0 a\0"] + [b"".join(rnd.choices(letters, k=rnd.randrange(60))) for _ in range(500)]
+    texts += [b" ".join(b"ab"[i % 2 :][:1] * n + b"x" * (i // 2) for i in range(4)) for n in range(140)]
+    for text in texts:
+        words = text.translate(bytes.maketrans(b"AB", b"ab")).split()
+        hashes = passage_dedup.word_hashes(text).tolist()
+        assert len(hashes) == len(words)
+        seen.update(zip(words, hashes))
+        assert [seen[w] for w in words] == hashes
+    assert len(set(seen.values())) == len(seen)
+
+
 @pytest.mark.parametrize("n", [0, 19, 20, 21, 90])
 def test_compact_windows_against_brute_force(n):
     from tidegate.llm import passage_dedup
