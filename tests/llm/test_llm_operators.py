@@ -645,6 +645,46 @@ def test_texts_worked_on_together_are_as_alone():
         assert all(x.tolist() == y.tolist() for x, y in zip(together.grouped, alone.grouped))
 
 
+def test_windows_of_pairs_without_a_passage_are_not_worked_out(monkeypatch):
+    """Each two of 40 texts that share a line, and two of them alone a passage around it: windows are taken of these two."""
+    import pyarrow as pa
+
+    from tidegate.llm import passage_dedup
+
+    rng = np.random.default_rng(11)
+    words = lambda n: [f"v{x}" for x in rng.integers(0, 10**9, n)]
+    line, left, right, seen = words(26), words(17), words(17), []
+    texts = [" ".join(words(47) + line + words(47)) for _ in range(38)]
+    texts += [" ".join(words(30) + left + line + right + words(30)), " ".join(words(30) + left[:15] + words(1) + left[16:] + line + right + words(30))]
+    rows = [(i, None, text) for i, text in enumerate(texts)] + [(i, j, None) for j in range(40) for i in range(j)]
+    place = [pa.array([0] * len(rows))] * 3
+    columns = [*place, *(pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.string())))]
+    batch = pa.RecordBatch.from_arrays(columns, ["block", "x", "y", "a", "b", "text"])
+    monkeypatch.setattr(passage_dedup, "_compact", lambda values, *of, real=passage_dedup._compact: seen.append(len(values)) or real(values, *of))
+    batches = [batch.slice(i, 100) for i in range(0, len(rows), 100)]
+    found = [tuple(r.values()) for got in passage_dedup._verified(iter(batches)) for r in got.to_pylist()]
+    assert {f[:2] for f in found} == {(38, 39)} and any(f[2] <= 30 and f[3] >= 90 for f in found)
+    assert len(seen) == passage_dedup.FUNCTIONS and max(seen) <= 2 * 120
+
+
+def test_pairs_told_many_at_once_are_as_one_by_one():
+    """Texts of few words, runs and lines: no pair with a passage is left out, and others as ``similar`` has it."""
+    from tidegate.llm import passage_dedup
+
+    rnd = random.Random(7)
+    parts = [prose(i, 30).split() for i in range(8)] + [["the"] * 45, ["a", "b"] * 20]
+    bodies = [" ".join(sum(rnd.choices(parts, k=4), []) + prose(100 + i, rnd.randrange(20, 90)).split()).encode() for i in range(40)]
+    texts = passage_dedup._texts(bodies)
+    lot = passage_dedup._Lot(texts)
+    x, y = (np.array(of) for of in zip(*((i, j) for i in range(40) for j in range(40) if i != j)))
+    got = lot.similar(x, y)
+    assert 0 < got.sum() < len(got)
+    for i, j, told in zip(x.tolist(), y.tolist(), got.tolist()):
+        hit = passage_dedup._among(texts[i].shingles, texts[j].sorted)
+        assert told == texts[i].similar(0, hit) or np.count_nonzero(hit) >= passage_dedup.SIMILARITY * len(hit)
+        assert told or not passage_dedup._passages(texts[i], texts[j])
+
+
 def test_word_hashes_tell_words_apart():
     """As bytes.split() has them, with A-Z lower-cased; words that are equal but for a zero byte, their length or a late byte differ."""
     from tidegate.llm import passage_dedup
@@ -662,6 +702,16 @@ def test_word_hashes_tell_words_apart():
     assert len(set(seen.values())) == len(seen)
 
 
+def test_word_hashes_of_any_length():
+    """Those of the library, worked out together."""
+    import xxhash
+
+    from tidegate.llm import passage_dedup
+
+    words = [bytes(random.Random(n).choices(b"abc\0\xff\x85", k=n)) for n in [*range(1, 80), 200]]
+    assert passage_dedup.word_hashes(b" ".join(words)).tolist() == [xxhash.xxh64_intdigest(w) for w in words]
+
+
 @pytest.mark.parametrize("n", [0, 19, 20, 21, 90])
 def test_compact_windows_against_brute_force(n):
     from tidegate.llm import passage_dedup
